@@ -12,4 +12,4 @@ WORD_GAP = r"(?U)[\s\x1c-\x1f]+"
 
 def words(text: Column) -> Column:
     """The words of a text as an array of strings, none of them empty."""
-    return F.filter(F.split(text, WORD_GAP), lambda w: w != "")
+    return F.array_remove(F.split(text, WORD_GAP), "")

@@ -91,7 +91,9 @@ def sweep(
 
     Of equal scores the smallest k wins. The vectors are cached once for all fits and
     released at the end. ``parallelism`` fits run side by side, each in its own job
-    group, so that the executors have work while another fit is between its jobs.
+    group, so that the executors have work while another fit is between its jobs. A
+    running fit holds a blocked copy of the vectors: use 1 where a copy fills the
+    executors.
     """
     spark = prepared.sparkSession
     vectors = prepared.select(VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
@@ -106,8 +108,8 @@ def sweep(
             return k, _score(model.transform(vectors), distance, metric), model
 
         with ThreadPoolExecutor(parallelism) as pool:
-            jobs = [pool.submit(inheritable_thread_target(spark)(fit_and_score), k) for k in range(k_min, k_max + 1)]
-            tried = [job.result() for job in jobs]
+            run = inheritable_thread_target(spark)(fit_and_score)
+            tried = list(pool.map(run, range(k_min, k_max + 1)))
     finally:
         vectors.unpersist()
 

@@ -54,8 +54,8 @@ def row_rank(df: DataFrame, seed: int = 42, keys: Sequence[str] | None = None) -
     return F.concat(F.md5(key_text), _hex(_row_hash(df, seed)))
 
 
-def smallest(df: DataFrame, rank: Column, n: int) -> tuple[DataFrame, int]:
-    """The ``n`` rows with the smallest rank (all rows if there are no more), and how many that are.
+def smallest(df: DataFrame, rank: Column, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest rank, or ``df`` itself if it has no more.
 
     The cut is found from row counts per leading digits of the rank, two digits at a
     time. Rows clearly below it are then a plain filter, without shuffle or limit;
@@ -68,7 +68,7 @@ def smallest(df: DataFrame, rank: Column, n: int) -> tuple[DataFrame, int]:
         scope = ranked.where(F.col(_RANK).startswith(prefix)) if prefix else ranked
         counts = dict(scope.groupBy(F.substring(_RANK, 1, width)).count().collect())
         if not prefix and sum(counts.values()) <= n:
-            return df, sum(counts.values())
+            return df
         for digits in sorted(counts):
             if counts[digits] >= need:
                 break
@@ -76,17 +76,17 @@ def smallest(df: DataFrame, rank: Column, n: int) -> tuple[DataFrame, int]:
         exhausted = digits == prefix  # the rank has no further digits
         prefix = digits
         if counts[prefix] == need:
-            return ranked.where(F.substring(_RANK, 1, len(prefix)) <= prefix).drop(_RANK), n
+            return ranked.where(F.substring(_RANK, 1, len(prefix)) <= prefix).drop(_RANK)
         if counts[prefix] <= _EDGE_ROWS or exhausted:
             break
     below = ranked.where(F.substring(_RANK, 1, len(prefix)) < prefix)
     edge = ranked.where(F.col(_RANK).startswith(prefix)).orderBy(_RANK).limit(need)
-    return below.unionByName(edge).drop(_RANK), n
+    return below.unionByName(edge).drop(_RANK)
 
 
 def _first(df: DataFrame, n: int, seed: int) -> DataFrame:
     # A limit brings its rows to one task, so beyond a bounded number cut by hash.
-    return df.limit(n) if n <= _EDGE_ROWS else smallest(df, row_rank(df, seed), n)[0]
+    return df.limit(n) if n <= _EDGE_ROWS else smallest(df, row_rank(df, seed), n)
 
 
 def cap_rows(
@@ -105,7 +105,7 @@ def cap_rows(
     if n < 1:
         raise ValueError("n must be at least 1")
     if mode == "hash":
-        return smallest(df, row_rank(df, seed, keys), n)[0]
+        return smallest(df, row_rank(df, seed, keys), n)
     if mode != "bernoulli":
         raise ValueError(f"mode must be 'bernoulli' or 'hash', not {mode!r}")
     rows = df.count()
@@ -132,7 +132,9 @@ def distinct_sample(df: DataFrame, n: int, seed: int, rows: int) -> tuple[DataFr
         wanted = min(share(), 1.0)
         below = df if wanted == 1.0 else df.where(point < F.lit(int(_SIGN + wanted * 2**64)))
         candidates = stage(below.dropDuplicates(), "candidates")
-        sample, found = smallest(candidates, row_rank(candidates, seed), n)
+        found = candidates.count()  # from the file footers
+        if found > n:
+            return smallest(candidates, row_rank(candidates, seed), n), n
         if found == n or wanted == 1.0:
-            return sample, found
+            return candidates, found
     raise AssertionError("unreachable: the last bound admits every row")

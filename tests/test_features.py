@@ -1,0 +1,68 @@
+import pytest
+from pyspark.sql import functions as F
+
+from segmill.operators import features
+from segmill.operators.features import choose_features, column_stats, numeric_columns
+
+NAN, INF = float("nan"), float("inf")
+
+
+def test_numeric_columns_by_type_in_schema_order(spark):
+    df = spark.range(1).select(
+        F.lit("t").alias("text"),
+        *[F.lit(1).cast(t).alias(t.split("(")[0]) for t in ("byte", "short", "int", "long")],
+        F.lit(True).alias("flag"),
+        F.current_date().alias("day"),
+        F.lit(1).cast("decimal(9,2)").alias("decimal"),
+        F.struct(F.lit(1.0).alias("x")).alias("nested"),
+        F.lit(1).cast("float").alias("float"),
+        F.lit(1.0).alias("double"),
+    )
+    assert numeric_columns(df.schema) == ["byte", "short", "int", "long", "decimal", "float", "double"]
+
+
+def test_fill_threshold_is_inclusive_and_nan_counts_as_filled(spark):
+    df = spark.createDataFrame(
+        [(1.0, 1.0 if i < 9 else None, 1.0 if i < 8 else None, float(i)) for i in range(10)],
+        "flat double, nine double, eight double, varies double",
+    ).withColumn("nine", F.col("nine") * F.col("varies")).withColumn("eight", F.col("eight") * F.col("varies"))
+    assert choose_features(df, 0.9) == (["nine", "varies"], 10)
+    assert choose_features(df, 0.8) == (["nine", "eight", "varies"], 10)
+    stats = column_stats(spark.createDataFrame([(NAN,), (None,)], "a double"), ["a"]).first()
+    assert (stats.rows, stats.filled, stats.fill_ratio) == (2, 1, 0.5)
+
+
+def test_columns_without_a_finite_positive_deviation_are_dropped(spark):
+    rows = [(1, 5.0, NAN, INF, None), (2, 5.0, 1.0, 1.0, None), (3, 5.0, 2.0, 2.0, None)]
+    df = spark.createDataFrame(rows, "good int, flat double, with_nan double, with_inf double, none double")
+    assert choose_features(df, 0.0) == (["good"], 3)
+
+
+def test_single_value_has_no_deviation(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (None, 2.0)], "one double, two double")
+    assert choose_features(df, 0.0)[0] == ["two"]
+
+
+def test_dotted_names(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 3.0)], "`a.b` double, `c``d` double")
+    assert choose_features(df)[0] == ["a.b", "c`d"]
+
+
+def test_more_columns_than_one_aggregate_takes(spark, monkeypatch):
+    monkeypatch.setattr(features, "STATS_COLUMNS", 3)
+    df = spark.range(5).select(*[(F.col("id") * (i % 4)).alias(f"c{i}") for i in range(10)])
+    assert choose_features(df)[0] == [f"c{i}" for i in range(10) if i % 4]
+
+
+@pytest.mark.parametrize(
+    ("rows", "schema", "message"),
+    [
+        ([], "a double", "empty"),
+        ([("x",)], "a string", "no numeric columns"),
+        ([(None,), (1.0,)], "a double", "filled in at least 0.9"),
+        ([(1.0,), (1.0,)], "a double", "no numeric feature column"),
+    ],
+)
+def test_guards(spark, rows, schema, message):
+    with pytest.raises(ValueError, match=message):
+        choose_features(spark.createDataFrame(rows, schema))
