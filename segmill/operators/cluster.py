@@ -16,6 +16,7 @@ from segmill.operators.evaluate import silhouette
 from segmill.operators.prepare import VECTOR
 
 LABEL = "prediction"
+SMALL_ROWS = 1_000_000
 
 
 def fit_kmeans(
@@ -28,12 +29,19 @@ def fit_kmeans(
     """K-means with Spark's defaults for everything but the arguments.
 
     Dense rows go through the block solver, which finds the same centers with matrix
-    products instead of one distance at a time.
+    products instead of one distance at a time. It cannot handle an initialisation
+    that yields fewer centers than asked for (few distinct points, or outliers that
+    draw all the sampling); the row solver can, and gives a model of fewer clusters.
     """
-    solver = "block" if distance == "euclidean" else "auto"
-    return KMeans(
-        featuresCol=vector, predictionCol=LABEL, k=k, seed=seed, distanceMeasure=distance, solver=solver
-    ).fit(df)
+    kmeans = KMeans(featuresCol=vector, predictionCol=LABEL, k=k, seed=seed, distanceMeasure=distance, solver="row")
+    if distance != "euclidean":
+        return kmeans.fit(df)
+    try:
+        return kmeans.copy({kmeans.solver: "block"}).fit(df)
+    except Exception as error:
+        if "ArrayIndexOutOfBoundsException" not in str(error):
+            raise
+        return kmeans.fit(df)
 
 
 def original_centers(model: KMeansModel, scaler: StandardScalerModel) -> list[list[float]]:
@@ -85,20 +93,21 @@ def sweep(
     metric: str = "silhouette",
     fit_distance: str = "euclidean",
     rows: int | None = None,
-    parallelism: int = 3,
+    parallelism: int | None = None,
 ) -> Sweep:
     """Fit every k from ``k_min`` to ``k_max`` (less than the number of rows) and keep the best score.
 
     Of equal scores the smallest k wins. The vectors are cached once for all fits and
     released at the end. ``parallelism`` fits run side by side, each in its own job
     group, so that the executors have work while another fit is between its jobs. A
-    running fit holds a blocked copy of the vectors: use 1 where a copy fills the
-    executors.
+    running fit holds a blocked copy of the vectors, so the default is low for large
+    tables; use 1 where a copy fills the executors.
     """
     spark = prepared.sparkSession
     vectors = prepared.select(VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        k_max = min(k_max, (vectors.count() if rows is None else rows) - 1)
+        rows = vectors.count() if rows is None else rows
+        k_max = min(k_max, rows - 1)
         if k_max < k_min:
             raise ValueError(f"too few rows to form {k_min} clusters")
 
@@ -107,7 +116,7 @@ def sweep(
             model = fit_kmeans(vectors, k, seed, distance=fit_distance)
             return k, _score(model.transform(vectors), distance, metric), model
 
-        with ThreadPoolExecutor(parallelism) as pool:
+        with ThreadPoolExecutor(parallelism or (8 if rows <= SMALL_ROWS else 3)) as pool:
             run = inheritable_thread_target(spark)(fit_and_score)
             tried = list(pool.map(run, range(k_min, k_max + 1)))
     finally:

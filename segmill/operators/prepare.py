@@ -7,9 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import Imputer, ImputerModel, StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from segmill.functions.columns import named
-from segmill.operators.features import column_stats
+from segmill.functions.columns import as_double, named
 from segmill.operators.quantiles import exact_quantiles
 
 # Fixed value: the default precision of the median, a share of the row count.
@@ -69,9 +69,10 @@ def fit_imputer(
         return imputer.fit(data)
     except Exception as error:
         if "surrogate cannot be computed" in str(error):
-            counts = column_stats(data, plain).where("filled = 0").collect()
-            empty = [c for c, p in zip(features, plain) if p in {r.column for r in counts}]
-            raise ValueError(f"features without any value: {', '.join(empty) or ', '.join(features)}") from error
+            values = [F.count(F.nanvl(as_double(named(p)), F.lit(None))).alias(p) for p in plain]
+            counts = data.agg(*values).first()
+            empty = [c for c, n in zip(features, counts) if n == 0]
+            raise ValueError(f"features without any value: {', '.join(empty)}") from error
         raise
 
 

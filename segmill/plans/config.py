@@ -43,7 +43,8 @@ class Training:
     distance_measure: str = "squaredEuclidean"
     fit_distance: str = "euclidean"
     canonical_labels: bool = True
-    parallelism: int = 3
+    parallelism: int | None = None
+    """Fits run side by side, see ``operators.cluster.sweep``."""
 
 
 @dataclass(frozen=True)

@@ -16,10 +16,11 @@ LABEL_COLUMNS = ["product_name_langs", "product_name_texts", "a", "b", "predicti
 def products(spark):
     """400 distinct products in two groups, each twice; one feature with gaps, others unusable."""
     n = F.col("id") % 400
+    group = (n % 4 == 0).cast("int")
     return spark.range(800).select(
         F.array(F.struct(F.lit("en").alias("lang"), n.cast("string").alias("text"))).alias("product_name"),
-        (n % 2 * 100 + n % 9).cast("int").alias("a"),
-        F.when(n % 20 != 0, n % 2 * -50.0 + n % 4).alias("b"),
+        (group * 100 + n % 9).cast("int").alias("a"),
+        F.when(n % 20 != 1, group * -50.0 + n % 5).alias("b"),
         F.lit(3).alias("flat"),
         F.when(n % 2 == 0, n).alias("sparse"),
         F.lit("x").alias("other"),
@@ -49,7 +50,7 @@ def test_capped_table(products):
 def test_training_result(result):
     assert result.best_k == 2 and result.best_score > 0.9
     assert result.labelled.columns == LABEL_COLUMNS
-    assert [(r.prediction, r.n) for r in result.profiles.collect()] == [(0, 200), (1, 200)]
+    assert [(r.prediction, r.n) for r in result.profiles.collect()] == [(0, 300), (1, 100)]
     assert result.centers.columns == ["prediction", "a", "b"]
     metrics = result.metrics.first()
     assert (metrics.rows_total, metrics.rows_working, metrics.features) == (800, 400, ["a", "b"])
@@ -64,7 +65,7 @@ def test_training_result(result):
 def test_uncanonical_labels_are_the_raw_ones(products):
     result = train(products, Preprocessing(median_error=0), Training(k_max=3, canonical_labels=False))
     assert result.bundle.label_order == []
-    assert sorted(r.n for r in result.profiles.collect()) == [200, 200]
+    assert sorted(r.n for r in result.profiles.collect()) == [100, 300]
 
 
 def test_bundle_round_trip_gives_the_same_labels(spark, products, result, tmp_path):
