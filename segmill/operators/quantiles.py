@@ -1,10 +1,12 @@
 """Exact quantiles of many columns at once, without sorting a column or holding it in one place.
 
-Per column, the values are counted in equal-width bins, the bin that holds the
-wanted rank is found from the counts, and the search goes on inside it. Every round
-is one pass with map-side counting, whose shuffle carries at most a few hundred
-rows per column and task. It ends when a bin holds a single value, or so few rows
-that one exact aggregate over them settles the rest.
+The search narrows a range of values per column that holds the wanted rank. A sample
+of a large table gives a first range of less than one percent of the rows, which a
+count over all rows confirms or moves. Inside the range, values are counted in
+equal-width bins and the bin with the wanted rank is the next range. Every round is
+one pass for all columns, with counting inside the tasks; its shuffle carries at most
+a few hundred rows per column and task. It ends when a range holds a single value,
+or so few rows that one exact aggregate over them settles the rest.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,28 +23,110 @@ from segmill.functions.columns import as_double, named
 
 _BINS = 256
 _SETTLE_ROWS = 10_000
+_SAMPLE_ROWS = 1_000_000
 
 
 @dataclass
-class _Search:
+class _Range:
+    """Values of a column from ``low`` to ``high``, both of which occur; ``rank`` counts from 1 within it."""
+
     column: str
-    rank: int  # 1-based, among the values between low and high
+    rank: int
     low: float
     high: float
-    inside: int
+    rows: int
+
+    @property
+    def x(self) -> Column:
+        return F.col(self.column)
 
-    def value(self) -> Column:
-        x = F.col(self.column)
-        return F.when(x.between(self.low, self.high), x)
+    @property
+    def inside(self) -> Column:
+        return self.x.between(self.low, self.high)
 
-    def bin(self, x: Column) -> Column:
-        """A bin number that never falls as ``x`` rises; infinities have bins of their own."""
+    @property
+    def bin(self) -> Column:
+        """A number that never falls as the value rises; infinities have bins of their own."""
         low, high = max(self.low, -1.7976931348623157e308), min(self.high, 1.7976931348623157e308)
         if math.isfinite(high - low):
-            part = (x - low) / (high - low)
+            part = (self.x - low) / (high - low)
         else:
-            part = (x / 2 - low / 2) / (high / 2 - low / 2)
-        return F.when(x == -math.inf, -1).when(x == math.inf, _BINS + 1).otherwise(F.floor(part * _BINS)).cast("int")
+            part = (self.x / 2 - low / 2) / (high / 2 - low / 2)
+        inner = F.floor(part * _BINS)
+        return F.when(self.x == -math.inf, -1).when(self.x == math.inf, _BINS + 1).otherwise(inner).cast("int")
+
+    def part(self, parts: Sequence[tuple[int, float, float]]) -> _Range:
+        """The one of the ``parts`` (rows, low, high; in order of value) that holds the rank."""
+        rank = self.rank
+        for rows, low, high in parts:
+            if rank <= rows:
+                return _Range(self.column, rank, low, high, rows)
+            rank -= rows
+        raise AssertionError("the parts hold fewer rows than the range")
+
+
+def _whole(values: DataFrame, p: float) -> list[_Range]:
+    measures = [
+        f(c).alias(f"{name}_{c}") for c in values.columns for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))
+    ]
+    got = values.agg(*measures).first()
+    return [
+        _Range(c, max(1, math.ceil(p * got[f"n_{c}"])), got[f"lo_{c}"], got[f"hi_{c}"], got[f"n_{c}"])
+        for c in values.columns
+        if got[f"n_{c}"]
+    ]
+
+
+def _narrow_by_sample(values: DataFrame, ranges: list[_Range], p: float) -> list[_Range]:
+    share = _SAMPLE_ROWS / max(r.rows for r in ranges)
+    margin = 3 / _SAMPLE_ROWS**0.5  # six standard deviations of a sample median's rank
+    guesses = values.sample(share, 1).approxQuantile(
+        [r.column for r in ranges], [max(p - margin, 0.0), min(p + margin, 1.0)], margin / 10
+    )
+    guessed = [(r, *guess) for r, guess in zip(ranges, guesses) if len(guess) == 2]
+    measures = []
+    for r, low, high in guessed:
+        for name, where in (("lt", r.x < low), ("in", r.x.between(low, high)), ("gt", r.x > high)):
+            x = F.when(where, r.x)
+            measures += [
+                F.count(x).alias(f"{name}_n_{r.column}"),
+                F.min(x).alias(f"{name}_lo_{r.column}"),
+                F.max(x).alias(f"{name}_hi_{r.column}"),
+            ]
+    got = values.agg(*measures).first()
+    parts = {
+        r.column: [[got[f"{name}_{m}_{r.column}"] for m in ("n", "lo", "hi")] for name in ("lt", "in", "gt")]
+        for r, _, _ in guessed
+    }
+    return [r.part(parts[r.column]) if r.column in parts else r for r in ranges]
+
+
+def _narrow_by_bins(values: DataFrame, ranges: list[_Range]) -> list[_Range]:
+    cells = [
+        F.struct(F.lit(i).alias("i"), F.when(r.inside, r.bin).alias("bin"), r.x.alias("x"))
+        for i, r in enumerate(ranges)
+    ]
+    counted = (
+        values.where(reduce(Column.__or__, [r.inside for r in ranges]))
+        .select(F.inline(F.array(*cells)))
+        .where(F.col("bin").isNotNull())
+        .groupBy("i", "bin")
+        .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+        .collect()  # at most a few hundred rows per column
+    )
+    counted.sort(key=lambda c: c.bin)
+    return [r.part([(c.n, c.low, c.high) for c in counted if c.i == i]) for i, r in enumerate(ranges)]
+
+
+def _settle(values: DataFrame, ranges: list[_Range]) -> dict[str, float]:
+    # With an accuracy beyond the number of rows the aggregate is exact.
+    measures = [
+        F.percentile_approx(
+            F.when(r.inside, r.x), F.lit((r.rank - 0.5) / r.rows), F.lit(4 * max(_SETTLE_ROWS, 1000))
+        ).alias(r.column)
+        for r in ranges
+    ]
+    return values.agg(*measures).first().asDict()
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], p: float = 0.5) -> dict[str, float | None]:
@@ -50,51 +135,25 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], p: float = 0.5) -> di
     Null and NaN do not count as values; a column without values gives None. ``df``
     is read a few times, so it should be a table or staged.
     """
-    short = [f"c{i}" for i in range(len(columns))]
-    values = df.select(*[F.nanvl(as_double(named(c)), F.lit(None)).alias(s) for c, s in zip(columns, short)])
-    bounds = values.agg(
-        *[f(s).alias(f"{name}_{s}") for s in short for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
-    ).first()
-
-    found: dict[str, float | None] = {s: None for s in short}
-    open_, last = [], []
-
-    def continue_with(search: _Search) -> None:
-        if search.low == search.high:
-            found[search.column] = search.low
-        else:
-            (last if search.inside <= _SETTLE_ROWS else open_).append(search)
-
-    for s in short:
-        if bounds[f"n_{s}"]:
-            rank = max(1, math.ceil(p * bounds[f"n_{s}"]))
-            continue_with(_Search(s, rank, bounds[f"lo_{s}"], bounds[f"hi_{s}"], bounds[f"n_{s}"]))
-
-    while open_:
-        searches, open_ = open_, []
-        cells = [F.struct(F.lit(i).alias("i"), s.bin(s.value()).alias("bin"), s.value().alias("x"))
-                 for i, s in enumerate(searches)]
-        counted = (
-            values.select(F.inline(F.array(*cells)))
-            .where(F.col("x").isNotNull())
-            .groupBy("i", "bin")
-            .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-            .collect()  # at most a few hundred rows per column
-        )
-        for i, search in enumerate(searches):
-            rank = search.rank
-            for cell in sorted((c for c in counted if c.i == i), key=lambda c: c.bin):
-                if rank <= cell.n:
-                    continue_with(_Search(search.column, rank, cell.low, cell.high, cell.n))
-                    break
-                rank -= cell.n
-
-    if last:
-        exact = values.agg(
-            *[
-                F.percentile_approx(s.value(), F.lit((s.rank - 0.5) / s.inside), F.lit(4 * _SETTLE_ROWS)).alias(s.column)
-                for s in last
-            ]
-        ).first()
-        found.update(exact.asDict())
-    return dict(zip(columns, found.values()))
+    short = {f"c{i}": c for i, c in enumerate(columns)}
+    values = df.select(*[F.nanvl(as_double(named(c)), F.lit(None)).alias(s) for s, c in short.items()])
+
+    found: dict[str, float | None] = dict.fromkeys(short)
+    few: list[_Range] = []
+
+    def still_open(ranges: list[_Range]) -> list[_Range]:
+        found.update({r.column: r.low for r in ranges if r.low == r.high})
+        several = [r for r in ranges if r.low != r.high]
+        few.extend(r for r in several if r.rows <= _SETTLE_ROWS)
+        return [r for r in several if r.rows > _SETTLE_ROWS]
+
+    ranges = still_open(_whole(values, p))
+    large = [r for r in ranges if r.rows > _SAMPLE_ROWS]
+    if large:
+        rest = [r for r in ranges if r.rows <= _SAMPLE_ROWS]
+        ranges = rest + still_open(_narrow_by_sample(values, large, p))
+    while ranges:
+        ranges = still_open(_narrow_by_bins(values, ranges))
+    if few:
+        found.update(_settle(values, few))
+    return {c: found[s] for s, c in short.items()}

@@ -38,9 +38,10 @@ def test_exact_quantiles(spark, rows, p, settle):
     assert found == {c: lower_quantile([r[i] for r in rows], p) for i, c in enumerate("ab")}
 
 
-@pytest.mark.parametrize("settle", [1, 10_000])
-def test_exact_quantiles_of_many_rows(spark, monkeypatch, settle):
+@pytest.mark.parametrize(("settle", "sample"), [(1, 10**6), (10_000, 10**6), (1, 400), (5, 4), (5, 25_000)])
+def test_exact_quantiles_of_many_rows(spark, monkeypatch, settle, sample):
     monkeypatch.setattr(quantiles, "_SETTLE_ROWS", settle)
+    monkeypatch.setattr(quantiles, "_SAMPLE_ROWS", sample)
     rng = np.random.default_rng(0)
     columns = [
         rng.lognormal(0, 8, 30_000),
