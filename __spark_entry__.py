@@ -79,6 +79,15 @@ def _blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _uneven_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as points around two near centers and a far one: two clusters are as plain as three."""
+    group = F.col("o_orderkey") % 3
+    return _read(spark, sf_dir, "orders").select(
+        (F.when(group == 2, 9000).otherwise(group * 1000) + F.col("o_custkey") % 10).alias("x"),
+        (group * -500 + F.col("o_custkey") % 7).alias("y"),
+    )
+
+
 def _train_blobs(spark: SparkSession, sf_dir: str) -> TrainResult:
     options = Preprocessing(target_n=None, median_error=0.0)
     return train(_blobs(spark, sf_dir), options, Training(k_min=2, k_max=4), f"{sf_dir}/orders.parquet")
@@ -261,6 +270,12 @@ def kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.table(spark).where(F.col("k") == best.best_k).select("k", _rounded(F.col("score"), 6, "score"))
 
 
+def sweep_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blobs = _uneven_blobs(spark, sf_dir)
+    prepared = fit_preparation(blobs, ["x", "y"]).apply(blobs)
+    return cluster.sweep(prepared, 2, 3).table(spark).select("k", _rounded(F.col("score"), 6, "score"))
+
+
 def cluster_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain, prepared = _prepared_blobs(spark, sf_dir)
     model = cluster.fit_kmeans(prepared.select(VECTOR), k=3, seed=42)
@@ -352,7 +367,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         flatten_names_scalar, align_schema, json_safe_rows, dedup_rows, sample_bernoulli, sample_repeatable,
         sample_distinct, prepare_training_rows, prepare_training_capped, median_values, mean_values, mode_values,
         impute_rows, standardise_rows, cluster_profile, silhouette_by_label, silhouette_cosine, kmeans_labels,
-        kmeans_sweep, cluster_centers, lineitem_segments, train_labels, training_metrics, model_info,
+        kmeans_sweep, sweep_scores, cluster_centers, lineitem_segments, train_labels, training_metrics, model_info,
         train_predict, published_profiles, csv_round_trip, json_rows, word_counts, word_counts_from_lines,
     ]
     return {query.__name__: query for query in registered}
@@ -380,6 +395,12 @@ _BLOBS = """blobs as (
         (o_orderkey % 3)::integer as prediction
     from orders)"""
 
+_UNEVEN_BLOBS = """blobs as (
+    select (case when o_orderkey % 3 = 2 then 9000 else o_orderkey % 3 * 1000 end) + o_custkey % 10 as x,
+        o_orderkey % 3 * -500 + o_custkey % 7 as y,
+        {label}::integer as prediction
+    from orders)"""
+
 _BLOB_POINTS = """points as (
     select prediction, [(x - avg(x) over ()) / stddev_samp(x) over (),
                         (y - avg(y) over ()) / stddev_samp(y) over ()] as v
@@ -395,7 +416,7 @@ _BAND_VECTORS = "select prediction, [l_quantity, l_extendedprice, l_discount, l_
 
 def _silhouette_sql(points: str, dims: int, cosine: bool = False) -> str:
     """CTEs up to ``score(score)``: the closed form over a relation (prediction, v)."""
-    unit = f"list_transform(v, lambda e: e / sqrt(list_inner_product(v, v)))" if cosine else "v"
+    unit = "list_transform(v, lambda e: e / sqrt(list_inner_product(v, v)))" if cosine else "v"
     sums = ", ".join(f"sum(v[{i + 1}])" for i in range(dims))
     if cosine:
         mean_distance = "1 - list_inner_product(p.v, c.total) / c.n"
@@ -504,6 +525,13 @@ def oracle_sql() -> dict[str, str]:
         "kmeans_labels": f"with {_BLOBS} select product_name, x::double as x, y::double as y, prediction from blobs",
         "kmeans_sweep": f"""
             with {_BLOBS}, {_BLOB_POINTS}, {blob_score} select 3::integer as k, round(score, 6) as score from score""",
+        "sweep_scores": " union all ".join(
+            f"""
+            select * from (
+                with {_UNEVEN_BLOBS.format(label=label)}, {_BLOB_POINTS}, {blob_score}
+                select {k}::integer as k, round(score, 6) as score from score)"""
+            for k, label in ((2, "(o_orderkey % 3) // 2"), (3, "(o_orderkey % 3)"))
+        ),
         "cluster_centers": f"""
             with {_BLOBS}
             select prediction, round(avg(x), 6) as x, round(avg(y), 6) as y from blobs group by prediction""",

@@ -117,8 +117,10 @@ def sweep(
             return k, _score(model.transform(vectors), distance, metric), model
 
         with ThreadPoolExecutor(parallelism or (8 if rows <= SMALL_ROWS else 3)) as pool:
-            run = inheritable_thread_target(spark)(fit_and_score)
-            tried = list(pool.map(run, range(k_min, k_max + 1)))
+            # One wrapped call per k: each holds job properties of its own.
+            ks = range(k_min, k_max + 1)
+            jobs = [pool.submit(inheritable_thread_target(spark)(fit_and_score), k) for k in ks]
+            tried = [job.result() for job in jobs]
     finally:
         vectors.unpersist()
 

@@ -18,6 +18,7 @@ from segmill.plans.config import Config, Preprocessing, Training
 from segmill.sinks import publish_results, save_bundle, write_csv, write_document
 from segmill.sources import Bundle, read_table
 
+SMALL_ROWS = 1_000_000
 ROWS_PER_PARTITION = 50_000
 
 
@@ -56,9 +57,9 @@ def prepare_training(
         distinct = stage(table.dropDuplicates(), "distinct")
         working = stage(cap_rows(distinct, options.target_n, seed, options.sampling), "working")
         rows_working = working.count()
-    # Model fitting runs many short jobs: a small sample should not be spread thin.
-    # A table that is large enough for its partitions is left as it is.
-    working = working.coalesce(rows_working // ROWS_PER_PARTITION + 1)
+    if rows_working <= SMALL_ROWS:
+        # Model fitting runs many short jobs: a small sample should not be spread thin.
+        working = working.coalesce(rows_working // ROWS_PER_PARTITION + 1)
     return PreparedTable(working, features, texts, rows_total, rows_working)
 
 

@@ -52,6 +52,14 @@ def test_sweep_finds_the_groups(spark):
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
+def test_each_k_has_its_job_group(spark):
+    _, prepared = prepared_points(spark, [1, 2, 10, 11, 20, 21])
+    cluster.sweep(prepared, 2, 3)
+    tracker = spark.sparkContext.statusTracker()
+    assert all(len(tracker.getJobIdsForGroup(f"kmeans-k-{k}")) > 2 for k in (2, 3))
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
 def test_sweep_stops_below_the_number_of_rows(spark):
     _, prepared = prepared_points(spark, [1, 2, 10, 11])
     assert [k for k, _ in cluster.sweep(prepared, 2, 10).scores] == [2, 3]
