@@ -89,7 +89,7 @@ def _uneven_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _train_blobs(spark: SparkSession, sf_dir: str) -> TrainResult:
-    options = Preprocessing(target_n=None, median_error=0.0)
+    options = Preprocessing(target_n=None)
     return train(_blobs(spark, sf_dir), options, Training(k_min=2, k_max=4), f"{sf_dir}/orders.parquet")
 
 
@@ -203,7 +203,7 @@ def prepare_training_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fitted_values(spark: SparkSession, sf_dir: str, columns: list[str], strategy: str) -> DataFrame:
     lines = _read(spark, sf_dir, "lineitem").select(*columns)
-    return fit_imputer(lines, columns, strategy, relative_error=0).surrogateDF
+    return fit_imputer(lines, columns, strategy).surrogateDF
 
 
 def median_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,7 +221,7 @@ def mode_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impute_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events_gaps(spark, sf_dir)
-    imputer = fit_imputer(events, ["value", "sparse"], "median", relative_error=0)
+    imputer = fit_imputer(events, ["value", "sparse"], "median")
     return imputer.transform(events).select("event_id", "value", "sparse", "value_imp", "sparse_imp")
 
 

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from segmill.functions.columns import as_double, named
 from segmill.operators.quantiles import exact_quantiles
 
-# Fixed value: the default precision of the median, a share of the row count.
-MEDIAN_ERROR = 0.001
-
 RAW_VECTOR = "features_raw"
 VECTOR = "features"
 
@@ -43,18 +40,19 @@ def fit_imputer(
     df: DataFrame,
     features: Sequence[str],
     strategy: str = "median",
-    relative_error: float = MEDIAN_ERROR,
+    relative_error: float = 0.0,
 ) -> ImputerModel:
     """Learn what replaces null and NaN: the median, mean or mode of each feature.
 
-    The median is an element of the data within ``relative_error`` of the middle
-    rank; 0 asks for the exact one, which is searched for in passes over ``df``.
-    Equally frequent values give the smallest as mode.
+    The median is an element of the data within ``relative_error`` of the middle rank.
+    0, the default, is the exact one, from a few passes over ``df`` that scale with the
+    number of tasks; Spark's approximate one takes a single pass but merges a sketch
+    per task and column in one place. Equally frequent values give the smallest as mode.
     """
     plain = _plain_names(features)
-    imputer = Imputer(
-        inputCols=plain, outputCols=imputed_names(plain), strategy=strategy, relativeError=relative_error or MEDIAN_ERROR
-    )
+    imputer = Imputer(inputCols=plain, outputCols=imputed_names(plain), strategy=strategy)
+    if relative_error:
+        imputer = imputer.setRelativeError(relative_error)
     data = with_plain_names(df, features).select(*[named(c) for c in plain])
     if strategy == "median" and relative_error == 0:
         medians = exact_quantiles(data, plain)
@@ -107,9 +105,9 @@ def fit_preparation(
     df: DataFrame,
     features: Sequence[str],
     strategy: str = "median",
-    relative_error: float = MEDIAN_ERROR,
+    relative_error: float = 0.0,
 ) -> Preparation:
-    """Fit the chain on ``df``, which is read twice for the default settings."""
+    """Fit the chain on ``df``, which should be a table or staged: it is read several times."""
     imputer = fit_imputer(df, features, strategy, relative_error)
     imputed = imputer.transform(with_plain_names(df, features))
     return Preparation(list(features), imputer, fit_scaler(assemble(imputed, features)))

@@ -29,7 +29,8 @@ class Preprocessing:
     target_n: int | None = 2000
     """Rows to train on at most; None trains on all."""
     imputer_strategy: str = "median"
-    median_error: float = 0.001
+    median_error: float = 0.0
+    """0 for the exact median, else the relative rank error of an approximate one."""
     sampling: str = "hash"
     """``hash`` (repeatable) or ``bernoulli``, see ``operators.sampling``."""
 

@@ -29,7 +29,7 @@ def products(spark):
 
 @pytest.fixture(scope="module")
 def result(products):
-    return train(products, Preprocessing(median_error=0), Training(k_max=4))
+    return train(products, Preprocessing(), Training(k_max=4))
 
 
 def test_prepared_table(products):
@@ -63,7 +63,7 @@ def test_training_result(result):
 
 
 def test_uncanonical_labels_are_the_raw_ones(products):
-    result = train(products, Preprocessing(median_error=0), Training(k_max=3, canonical_labels=False))
+    result = train(products, Preprocessing(), Training(k_max=3, canonical_labels=False))
     assert result.bundle.label_order == []
     assert sorted(r.n for r in result.profiles.collect()) == [100, 300]
 
@@ -116,7 +116,7 @@ def test_configured_jobs_write_every_output(spark, products, tmp_path):
     source = str(tmp_path / "products.parquet")
     products.write.parquet(source)
     paths = {f: str(tmp_path / f) for f in DataPaths.__dataclass_fields__ if f != "input_path"}
-    config = Config(DataPaths(input_path=source, **paths), Preprocessing(), Training(k_max=3))
+    config = Config(DataPaths(input_path=source, **paths), Preprocessing(median_error=0.001), Training(k_max=3))
     result = run_training(spark, config)
     run_prediction(spark, config)
 

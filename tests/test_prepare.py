@@ -73,7 +73,7 @@ def test_chain_fills_assembles_and_standardises(spark):
     df = spark.createDataFrame(
         [(1.0, 5.0, 1.0), (None, 5.0, 2.0), (3.0, 5.0, 6.0)], "a double, flat double, `x.y` double"
     )
-    chain = fit_preparation(df, ["a", "flat", "x.y"], relative_error=0)
+    chain = fit_preparation(df, ["a", "flat", "x.y"])
     out = chain.apply(df)
     assert [r.a for r in out.collect()] == [1.0, None, 3.0]
     assert [r.a_imp for r in out.collect()] == [1.0, 1.0, 3.0]
