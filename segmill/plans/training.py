@@ -50,16 +50,17 @@ def prepare_training(
     texts = list(name_columns(raw.schema, name_column))
     table = training_columns(raw, features, name_column)
 
-    if options.target_n is None or options.sampling == "hash":
-        target = rows_total if options.target_n is None else options.target_n
-        working, rows_working = distinct_sample(table, target, seed, rows_total)
+    target = rows_total if options.target_n is None else min(options.target_n, rows_total)
+    if target == rows_total or options.sampling == "hash":
+        working, _ = distinct_sample(table, target, seed, rows_total)
     else:
-        distinct = stage(table.dropDuplicates(), "distinct")
-        working = stage(cap_rows(distinct, options.target_n, seed, options.sampling), "working")
-        rows_working = working.count()
-    if rows_working <= SMALL_ROWS:
+        working = cap_rows(stage(table.dropDuplicates(), "distinct"), target, seed, options.sampling)
+    if target <= SMALL_ROWS:
         # Model fitting runs many short jobs: a small sample should not be spread thin.
-        working = working.coalesce(rows_working // ROWS_PER_PARTITION + 1)
+        working = working.coalesce(target // ROWS_PER_PARTITION + 1)
+    if target < rows_total:
+        working = stage(working, "working")
+    rows_working = working.count()
     return PreparedTable(working, features, texts, rows_total, rows_working)
 
 

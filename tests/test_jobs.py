@@ -1,6 +1,7 @@
 import json
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +92,40 @@ def test_predict_options(products, result):
     assert lacking.where("b is not null or product_name_langs is not null").count() == 0
 
 
+def test_dotted_feature_names_from_training_to_prediction(spark, products, tmp_path):
+    dotted = products.withColumnRenamed("a", "a.x").withColumnRenamed("b", "b`y")
+    result = train(dotted, Preprocessing(), Training(k_max=3))
+    assert result.best_k == 2 and result.profiles.columns == ["prediction", "n", "a.x", "b`y"]
+    save_bundle(spark, result.bundle, str(tmp_path / "bundle"))
+    predicted = predict(dotted, load_bundle(spark, str(tmp_path / "bundle")))
+    assert sorted(map(str, predicted.collect())) == sorted(map(str, result.labelled.collect()))
+
+
+def test_score_and_profile_follow_from_the_labelled_rows(spark, products):
+    """A capped run: what is reported is what the labelled rows of the sample give."""
+    result = train(products, Preprocessing(target_n=120), Training(k_max=4))
+    rows = result.labelled.collect()
+    assert len(rows) == len(set(rows)) == result.metrics.first().rows_working == 120
+    for profile in result.profiles.collect():
+        own = [r for r in rows if r.prediction == profile.prediction]
+        present = [r.b for r in own if r.b is not None]
+        assert profile.n == len(own)
+        assert profile.a == pytest.approx(sum(r.a for r in own) / len(own), abs=1e-4)
+        assert profile.b == pytest.approx(sum(present) / len(present), abs=1e-4)
+    middle = sorted(r.b for r in rows if r.b is not None)
+    middle = middle[(len(middle) + 1) // 2 - 1]
+    points = np.array([[r.a, middle if r.b is None else r.b] for r in rows])
+    points = (points - points.mean(axis=0)) / points.std(axis=0, ddof=1)
+    labels = np.array([r.prediction for r in rows])
+    gaps = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+    scores = []
+    for i, label in enumerate(labels):
+        near = gaps[i][labels == label].sum() / ((labels == label).sum() - 1)
+        far = min(gaps[i][labels == other].mean() for other in set(labels) - {label})
+        scores.append((far - near) / max(near, far))
+    assert result.best_score == pytest.approx(np.mean(scores), abs=1e-9)
+
+
 def test_missing_bundle_is_an_error(spark, tmp_path):
     with pytest.raises(Exception):
         load_bundle(spark, str(tmp_path / "none"))
