@@ -20,7 +20,7 @@ from segmill.operators.features import column_stats, numeric_columns, usable_fea
 from segmill.operators.prepare import VECTOR, fit_imputer, fit_preparation
 from segmill.operators.project import align, flatten_names, json_safe, training_columns
 from segmill.operators.sampling import cap_rows, distinct_sample
-from segmill.operators.staging import stage, staging_path
+from segmill.operators.staging import staging_path
 from segmill.operators.text import word_count
 from segmill.plans import Preprocessing, Training, TrainResult, predict, prepare_training, train
 from segmill.sinks import publish_results, read_published, save_bundle, write_csv, write_document, write_json_rows

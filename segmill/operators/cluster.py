@@ -117,10 +117,10 @@ def sweep(
             return k, _score(model.transform(vectors), distance, metric), model
 
         with ThreadPoolExecutor(parallelism or (8 if rows <= SMALL_ROWS else 3)) as pool:
-            # One wrapped call per k: each holds job properties of its own.
-            ks = range(k_min, k_max + 1)
+            # Longest first. One wrapped call per k: each holds job properties of its own.
+            ks = range(k_max, k_min - 1, -1)
             jobs = [pool.submit(inheritable_thread_target(spark)(fit_and_score), k) for k in ks]
-            tried = [job.result() for job in jobs]
+            tried = [job.result() for job in reversed(jobs)]
     finally:
         vectors.unpersist()
 
