@@ -26,6 +26,11 @@ from segmill.plans import Preprocessing, Training, TrainResult, predict, prepare
 from segmill.sinks import publish_results, read_published, save_bundle, write_csv, write_document, write_json_rows
 from segmill.sources import load_bundle, read_json_rows, read_lines, read_table
 
+try:
+    from segmill.llm import queries as llm_queries
+except ImportError:
+    llm_queries = None
+
 ENTRY_DIR = "/root/testdata/sf0.001"
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -370,7 +375,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         kmeans_sweep, sweep_scores, cluster_centers, lineitem_segments, train_labels, training_metrics, model_info,
         train_predict, published_profiles, csv_round_trip, json_rows, word_counts, word_counts_from_lines,
     ]
-    return {query.__name__: query for query in registered}
+    named = {query.__name__: query for query in registered}
+    return named | llm_queries.queries() if llm_queries else named
 
 
 # SQL counterparts
@@ -465,7 +471,7 @@ def oracle_sql() -> dict[str, str]:
         from (select unnest(string_split_regex(text, '\\s+')) as word from documents)
         where word <> '' group by word"""
     profile = ", ".join(f"round(avg({c}), 4) as {c}" for c in LINE_FEATURES)
-    return {
+    statements = {
         "column_fill_stats": f"with {_GAPS} {stats}",
         "feature_selection": f"with {_FLAWED} {choice}",
         "cast_features": """
@@ -558,3 +564,4 @@ def oracle_sql() -> dict[str, str]:
         "word_counts": word_sql,
         "word_counts_from_lines": word_sql,
     }
+    return statements | llm_queries.oracle_sql() if llm_queries else statements
