@@ -110,7 +110,6 @@ def _signed(texts: Iterator[pd.Series], bands: int, rows: int, width: int) -> It
         yield pd.DataFrame(out, columns=["sig", "bands"])
 
 
-@F.pandas_udf("double")
 def _estimate(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(
         [float((np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)).mean()) for x, y in zip(a, b, strict=True)], dtype=float
@@ -130,7 +129,7 @@ def _linked(pairs: DataFrame, signed: DataFrame, texts: DataFrame, least: float,
     rated = (
         pairs.join(signed.select(F.col("key").alias("a"), F.col("sig").alias("sig_a")), "a")
         .join(signed.select(F.col("key").alias("b"), F.col("sig").alias("sig_b")), "b")
-        .select("a", "b", _estimate("sig_a", "sig_b").alias("about"))
+        .select("a", "b", F.pandas_udf(_estimate, "double")("sig_a", "sig_b").alias("about"))
         .where(F.col("about") >= least - MARGIN)
     )
     rated = stage(rated, "near-rated")

@@ -142,7 +142,9 @@ def _census(texts: pd.Series) -> np.ndarray:
     return out
 
 
-@F.pandas_udf("n_assign long, n_access long, n_hex long, base string, tested array<array<double>>, census array<long>")
+_FOUND = "n_assign long, n_access long, n_hex long, base string, tested array<array<double>>, census array<long>"
+
+
 def _scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in texts:
         rows = []
@@ -212,7 +214,7 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     """
     keep = docs.columns if keep is None else keep
     kept = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])
-    packed = pack(kept, found=_scan(kept[f"`{text}`"]))
+    packed = pack(kept, found=F.pandas_udf(_scan, _FOUND)(kept[f"`{text}`"]))
     row = F.struct(*[F.col("row").getField(c).alias(c) for c in keep]).alias("row")
     found = stage(packed.select(row, "found.*"), "secrets")
     census = np.zeros(130, np.int64)
@@ -259,7 +261,6 @@ def _with_spans(found: DataFrame) -> DataFrame:
     return found.withColumn("spans", F.array_join(spans, ",")).withColumn("n_random", F.size("good").cast("long"))
 
 
-@F.pandas_udf("string")
 def _blanked(texts: pd.Series, spans: pd.Series) -> pd.Series:
     out = []
     for text, listed in zip(texts, spans, strict=True):
@@ -276,4 +277,4 @@ def _blanked(texts: pd.Series, spans: pd.Series) -> pd.Series:
 
 def redact(text: Column, spans: Column) -> Column:
     """The text with every span (overlapping ones together) replaced by ``[SECRET]``."""
-    return F.when(spans == "", text).otherwise(_blanked(text, spans))
+    return F.when(spans == "", text).otherwise(F.pandas_udf(_blanked, "string")(text, spans))
