@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.llm import darts, mixing, quality, secrets, templates, toxicity
+from segmill.llm import darts, html_text, long_matches, mixing, multi_index, patience, quality, secrets, templates, toxicity
 from segmill.llm.common import held_out, unpack
 from segmill.sources import read_table
 
@@ -16,6 +16,11 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per license text or notice found in a document."""
+    return patience.scan_licenses(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(_read(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select(
@@ -43,6 +48,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpack(rows.join(leaks, "row_no"), *results)
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    text = pages.select("page_id", "url", html_text.extract(F.col("html")).alias("text"))
+    return text.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def _scored(docs: DataFrame, score, threshold: float) -> DataFrame:
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
@@ -55,11 +66,21 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, quality.score(F.col("text"), forest), quality.THRESHOLD)
 
 
+def op7_long_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = long_matches.remove_repeats(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_read(spark, sf_dir, "documents"), keep=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return multi_index.nearest(vectors, vectors["vec_id"] % 50 == 0)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     weights = toxicity.fit(docs, _read(spark, sf_dir, "labels"))
@@ -74,7 +95,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
-        op2_secrets, op3_near_duplicates, op4_decontamination, op6_quality, op8_mixing, op10_toxicity, pipeline,
+        op1_licenses, op2_secrets, op3_near_duplicates, op4_decontamination, op5_html_text, op6_quality, op7_long_matches,
+        op8_mixing, op9_nearest_vectors, op10_toxicity, pipeline,
     ]
     return {query.__name__: query for query in registered}
 
