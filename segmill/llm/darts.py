@@ -23,11 +23,11 @@ from segmill.llm.toxicity import word_hashes
 from segmill.operators.staging import stage
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: 44 bands of 7 coordinates: a pair at similarity 0.8 shares no band once in 30,000 cases,
-#: one at 0.85 once in 10**7, while texts at 0.4 meet in 7 of 100.
-BANDS, BAND_ROWS = 44, 7
+#: 32 bands of 6 coordinates: a pair at similarity 0.8 shares no band once in 16,000 cases,
+#: one at 0.85 once in 10**6, while texts at 0.4 meet in 12 of 100.
+BANDS, BAND_ROWS = 32, 6
 #: Estimates this far from the threshold (over four standard deviations) need no exact check.
-MARGIN = 0.1
+MARGIN = 0.12
 _FINEST = -12
 
 
@@ -66,24 +66,32 @@ def signature(elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
     number = np.arange(len(owner)) - np.repeat(np.cumsum(cells) - cells, cells)
     part = np.minimum(1.0, weights[owner] - number)
     cell = mix64(elements[owner] + number.astype(np.uint64) * GOLDEN)
-    low, band = 0.0, 0
+    # With about k log k + 2k darts, nearly always no coordinate is missing; all bands up to there are thrown at once.
+    enough = k * (np.log(k) + 2) / max(part.sum(), 1e-9)
+    begin, end = 0, max(1, int(np.ceil(np.log2(enough))) - _FINEST + 1)
     while missing.any():
-        high = 2.0 ** (_FINEST + band)
-        salt = mix64(np.array([band + 1], np.uint64))[0]
-        thrown = np.searchsorted(_poisson(high - low), unit(mix64(cell ^ salt)), side="right")
-        hit = np.flatnonzero(thrown)
-        if len(hit):
-            at = np.repeat(hit, thrown[hit])
-            nth = np.arange(len(at)) - np.repeat(np.cumsum(thrown[hit]) - thrown[hit], thrown[hit])
-            dart = mix64(mix64(cell[at] + salt) + (nth + 1).astype(np.uint64) * GOLDEN)
-            inside = unit(mix64(dart + np.uint64(1))) < part[at]
-            dart = dart[inside]
-            rank, where = unit(mix64(dart + np.uint64(2))), (dart % np.uint64(k)).astype(np.int64)
-            order = np.argsort(-rank)
-            order = order[missing[where[order]]]
-            out[where[order]] = dart[order]
-            missing[where[order]] = False
-        low, band = high, band + 1
+        bands = np.arange(begin, end)
+        salts = mix64(bands.astype(np.uint64) + np.uint64(1))
+        highs = 2.0 ** (_FINEST + bands)
+        lows = np.where(bands > 0, highs / 2, 0.0)
+        draws = mix64(cell ^ salts[:, None])
+        none = np.minimum(np.exp(lows - highs) * 2.0**64, 2.0**64 - 2048).astype(np.uint64)
+        band, at = np.nonzero(draws >= none[:, None])
+        thrown = np.ones(len(band), np.int64)
+        for i in range(len(bands)):
+            mine = slice(*np.searchsorted(band, [i, i + 1]))
+            thrown[mine] = np.searchsorted(_poisson(highs[i] - lows[i]), unit(draws[i, at[mine]]), side="right")
+        band, at = np.repeat(band, thrown), np.repeat(at, thrown)
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(thrown) - thrown, thrown)
+        dart = mix64(mix64(cell[at] + salts[band]) + (nth + 1).astype(np.uint64) * GOLDEN)
+        rank = lows[band] + unit(mix64(dart + np.uint64(2))) * (highs - lows)[band]
+        where = (dart % np.uint64(k)).astype(np.int64)
+        use = missing[where] & (unit(mix64(dart + np.uint64(1))) < part[at])
+        dart, rank, where = dart[use], rank[use], where[use]
+        order = np.argsort(-rank)
+        out[where[order]] = dart[order]
+        missing[where] = False
+        begin, end = end, end + 1
     return out
 
 
@@ -127,18 +135,19 @@ def _linked(pairs: DataFrame, signed: DataFrame, texts: DataFrame, least: float,
         return pd.Series([similarity(shingles(x, width), shingles(y, width)) for x, y in zip(a, b, strict=True)], dtype=float)
 
     rated = (
-        pairs.join(signed.select(F.col("key").alias("a"), F.col("sig").alias("sig_a")), "a")
-        .join(signed.select(F.col("key").alias("b"), F.col("sig").alias("sig_b")), "b")
+        pairs.join(signed.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
+        .join(signed.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
         .select("a", "b", F.pandas_udf(_estimate, "double")("sig_a", "sig_b").alias("about"))
         .where(F.col("about") >= least - MARGIN)
     )
     rated = stage(rated, "near-rated")
     doubtful = rated.where(F.col("about") < least + MARGIN).select("a", "b")
-    wanted = doubtful.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    needed = stage(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "near-texts")
+    wanted = signed.select("id", "key").join(doubtful.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id")
+    needed = texts.join(wanted, "key").groupBy("id").agg(F.first("text").alias("text"))
+    needed = stage(needed, "near-texts")
     checked = (
-        doubtful.join(needed.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(needed.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+        doubtful.join(needed.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(needed.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", exact("text_a", "text_b").alias("exact"))
         .where(F.col("exact") >= least)
     )
@@ -180,26 +189,26 @@ def near_duplicates(
     every = stage(packed.select(kept, "row_no", "key", "found.*"), "near-rows")
     texts = source.select(key.alias("key"), F.col(f"`{text}`").alias("text"))
     met = every.where("sig is not null")
-    signed = stage(met.groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands")), "near-signed")
-    members = signed.select("key", F.explode("bands").alias("band"))
-    firsts = members.groupBy("band").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1")
-    firsts = stage(firsts.select("band", "first"), "near-firsts")
+    signed = met.groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    signed = stage(signed.withColumn("id", F.monotonically_increasing_id()), "near-signed")
+    members = signed.select("id", F.explode("bands").alias("band"))
+    firsts = members.groupBy("band").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("band", "first")
     shared = stage(members.join(firsts, "band"), "near-members")
     pairs = stage(
-        shared.where(F.col("key") != F.col("first")).select(F.col("first").alias("a"), F.col("key").alias("b")).distinct(), "near-pairs"
+        shared.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "near-pairs"
     )
     links = _linked(pairs, signed, texts, least, width)
     classes = components(links)
-    labelled = shared.join(classes, shared["key"] == classes["node"], "left").select(
-        "band", "key", F.coalesce("component", "key").alias("class")
+    labelled = shared.join(classes, shared["id"] == classes["node"], "left").select(
+        "band", "id", F.coalesce("component", "id").alias("class")
     )
     labelled = stage(labelled, "near-labelled")
     sizes = labelled.groupBy("band", "class").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("band").agg(F.max_by("class", F.struct("n", "class")).alias("largest"), F.count("*").alias("classes"))
     largest = largest.where("classes > 1").select("band", "largest")
     split = stage(labelled.join(largest, "band"), "near-split")
-    minor = split.where(F.col("class") != F.col("largest")).select("band", F.col("key").alias("x"), F.col("class").alias("class_x"))
-    others = split.select("band", F.col("key").alias("y"), F.col("class").alias("class_y"))
+    minor = split.where(F.col("class") != F.col("largest")).select("band", F.col("id").alias("x"), F.col("class").alias("class_x"))
+    others = split.select("band", F.col("id").alias("y"), F.col("class").alias("class_y"))
     left = (
         minor.join(others, "band")
         .where(F.col("class_x") != F.col("class_y"))
@@ -209,9 +218,8 @@ def near_duplicates(
     )
     more = _linked(stage(left, "near-left"), signed, texts, least, width)
     classes = components(links.union(more))
-    named = every.join(classes, every["key"] == classes["node"], "left").withColumn(
-        "class_key", F.when(F.col("sig").isNotNull(), F.coalesce("component", "key"))
-    )
+    named = signed.select("key", "id").join(classes, F.col("id") == F.col("node"), "left")
+    named = every.select(ROW, "row_no", "key").join(named.select("key", F.coalesce("component", "id").alias("class_key")), "key", "left")
     return unpack(named, "row_no", "class_key")
 
 
