@@ -11,6 +11,7 @@ main text is every block of the smallest element that holds nearly all of that c
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -61,6 +62,14 @@ class _Element:
     path: tuple[str, ...]
     lineage: tuple[int, ...]
     dropped: bool
+    in_article: bool
+    in_link: bool
+
+
+#: What stands above the first tag.
+_ROOT = _Element("", 0, ("",), (0,), False, False, False)
+#: Elements nested deeper count as part of the one at this depth.
+_DEEPEST = 512
 
 
 @dataclass
@@ -96,19 +105,26 @@ class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[_Element] = []
+        self.opened: Counter[str] = Counter()
         self.count = 0
         self.blocks: list[Block] = []
         self.open: Block | None = None
 
     def _close_to(self, tags: set[str], stop: set[str] = frozenset()) -> None:
+        if not any(self.opened[t] for t in tags):
+            return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i].tag in tags:
-                del self.stack[i:]
+                self._drop_from(i)
                 self.open = None
                 return
             if self.stack[i].tag in stop:
                 return
 
+    def _drop_from(self, i: int) -> None:
+        self.opened.subtract(e.tag for e in self.stack[i:])
+        del self.stack[i:]
+
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES_P:
             self._close_to({"p"}, {"article", "section", "div", "td", "th", "li", "blockquote", "body", "button", "table", "figure"})
@@ -120,22 +136,23 @@ class _Reader(HTMLParser):
             elif tag not in INLINE:
                 self.open = None
             return
-        above = self.stack[-1] if self.stack else None
-        inside = any(e.tag in ("article", "main") for e in self.stack)
+        above = self.stack[-1] if self.stack else _ROOT
         self.count += 1
-        path = above.path if above else ()
-        lineage = above.lineage if above else ()
+        path, lineage = above.path, above.lineage
         if tag not in INLINE:
             self.open = None
-            path, lineage = (*path, tag), (*lineage, self.count)
-        dropped = (above.dropped if above else False) or _is_zone(tag, dict(attrs), inside)
-        self.stack.append(_Element(tag, self.count, path, lineage, dropped))
+            if len(path) < _DEEPEST:
+                path, lineage = (*path, tag), (*lineage, self.count)
+        dropped = above.dropped or _is_zone(tag, dict(attrs), above.in_article)
+        in_article, in_link = above.in_article or tag in ("article", "main"), above.in_link or tag == "a"
+        self.stack.append(_Element(tag, self.count, path, lineage, dropped, in_article, in_link))
+        self.opened[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if tag in VOID:
+        if not self.opened[tag]:
             return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i].tag == tag:
@@ -143,20 +160,20 @@ class _Reader(HTMLParser):
                     if tag in INLINE:
                         return  # an inline end tag does not close the blocks opened since
                     self.open = None
-                del self.stack[i:]
+                self._drop_from(i)
                 return
 
     def handle_data(self, data):
-        above = self.stack[-1] if self.stack else None
-        if above and above.dropped:
+        above = self.stack[-1] if self.stack else _ROOT
+        if above.dropped:
             return
         if self.open is None:
             if not data.strip():
                 return
-            self.open = Block(above.path if above else (), above.lineage if above else ())
+            self.open = Block(above.path, above.lineage)
             self.blocks.append(self.open)
         self.open.parts.append(data)
-        if any(e.tag == "a" for e in reversed(self.stack)):
+        if above.in_link:
             self.open.linked += len("".join(data.split()))
 
 
