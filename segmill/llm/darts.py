@@ -28,6 +28,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 32, 6
 #: Estimates this far from the threshold (over four standard deviations) need no exact check.
 MARGIN = 0.12
+#: Cells in which frequencies of shingles are counted; 4 MB.
+SKETCH = 1 << 20
 _FINEST = -12
 
 
@@ -154,6 +156,78 @@ def _linked(pairs: DataFrame, signed: DataFrame, texts: DataFrame, least: float,
     return stage(rated.where(F.col("about") >= least + MARGIN).select("a", "b").union(checked.select("a", "b")), "near-links")
 
 
+def _with_centre(members: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of every member of a band with the band's centre, the one that meets most texts in all bands.
+
+    Edited copies of one text resemble it more than each other, and it is the text that meets most of them.
+    """
+    centres = members.groupBy("band").agg(F.max(F.struct("met", F.negative("id").alias("back")))["back"].alias("back"))
+    met = members.select("id", "band").join(centres.select("band", F.negative("back").alias("centre")), "band").where("id != centre")
+    return met.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+
+
+def _split(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of bands that hold more than one class, with their class and the band's largest."""
+    named = members.join(classes, members["id"] == classes["node"], "left")
+    named = stage(named.select("band", "id", "met", F.coalesce("component", "id").alias("class")), "near-labelled")
+    sizes = named.groupBy("band", "class").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("band").agg(F.max(F.struct("n", "class"))["class"].alias("largest"), F.count("*").alias("classes"))
+    return stage(named.join(largest.where("classes > 1").select("band", "largest"), "band"), "near-split")
+
+
+def _elements(text: str | None, width: int) -> np.ndarray:
+    """The weighted set as a plain one: the c-th copy of a shingle is an element of its own."""
+    found, counts = shingles(text, width)
+    owner = np.repeat(np.arange(len(found)), counts)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return mix64(found[owner] + number.astype(np.uint64) * GOLDEN)
+
+
+def _with_common_prefix(split: DataFrame, signed: DataFrame, texts: DataFrame, least: float, width: int) -> DataFrame:
+    """Distinct pairs (a, b) of unlike classes that can be ``least`` similar, found by the prefixes of their sets.
+
+    With all sets in one order, two sets of similarity t share an element among the first
+    n - ceil(t * n) + 1 of each. Rare elements come first: what an edit left behind is rare, so a text
+    edited too much to be similar meets no other. Any order gives the same result; frequencies are
+    therefore counted in ``SKETCH`` hashed cells, a table of fixed size that tasks can hold. One side is
+    always a text that is outside the largest class of one of its bands.
+    """
+    roles = split.groupBy("id").agg(F.min("class").alias("class"), F.max(F.col("class") != F.col("largest")).alias("minor"))
+    held = texts.join(signed.select("id", "key").join(roles, "id"), "key")
+    held = held.groupBy("id", "class", "minor").agg(F.first("text").alias("text"))
+    held = stage(held, "near-held")
+
+    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [_elements(t, width) for t in batch["text"]]
+            if found:
+                cell, n = np.unique((np.concatenate(found) % np.uint64(SKETCH)).astype(np.int64), return_counts=True)
+                yield pd.DataFrame({"cell": cell, "n": n})
+
+    counts = held.select("text").mapInPandas(cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    often = np.zeros(SKETCH, np.int32)
+    often[counts["cell"].to_numpy(np.int64)] = np.minimum(counts["n"].to_numpy(np.int64), 2**31 - 1)
+
+    def prefixes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for text in batch:
+                x = _elements(text, width)
+                order = np.lexsort((x, often[(x % np.uint64(SKETCH)).astype(np.int64)]))
+                out.append((len(x), x[order[: len(x) - int(np.ceil(least * len(x) - 1e-9)) + 1]].view(np.int64)))
+            yield pd.DataFrame(out, columns=["n", "prefix"])
+
+    prefixes.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    rows = held.select("id", "class", "minor", F.pandas_udf(prefixes, "n long, prefix array<long>")("text").alias("p"))
+    rows = stage(rows.select("id", "class", "minor", "p.n", F.posexplode("p.prefix").alias("at", "element")), "near-prefixes")
+    one = rows.where("minor").select("element", F.col("id").alias("x"), F.col("class").alias("class_x"), F.col("n").alias("n_x"), F.col("at").alias("at_x"))
+    # At the first element that two sets share, what is left of both must suffice for the overlap they need.
+    enough = F.least(F.col("n") - F.col("at"), F.col("n_x") - F.col("at_x")) >= least / (1 + least) * (F.col("n") + F.col("n_x")) - 1e-6
+    near = (F.col("class") != F.col("class_x")) & (F.col("n") >= least * F.col("n_x") - 1e-6) & (F.col("n_x") >= least * F.col("n") - 1e-6) & enough
+    met = one.join(rows.drop("minor"), "element").where(near)
+    return met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     text: str = "text",
@@ -170,11 +244,12 @@ def near_duplicates(
     text. A text without words (null, empty, marks only) is a class of its own, with
     ``class_key`` null. ``row_no`` tells the rows of the result apart, also repeated ones.
 
-    Candidates meet in bands. Every member of a band is compared with the band's first text,
-    and the links found give classes. Then, in every band that still holds two classes, the
-    members outside its largest class are compared with all members of other classes: so
-    every pair that shares a band is either in one class or compared, and a
-    band of thousands of copies costs one comparison per member. Nothing is collected.
+    Candidates meet in bands. Every member of a band is compared with the band's centre,
+    and the links found give classes. Where a band then still holds two classes, the members outside its
+    largest class are compared with the centre among themselves. For bands that hold two classes
+    even then, an exact join finds all similar pairs of different classes (see ``_with_common_prefix``). So no
+    pair that shares a band is lost, and a band of thousands of copies costs about one comparison
+    per member.
     """
     keep = docs.columns if keep is None else keep
 
@@ -192,32 +267,19 @@ def near_duplicates(
     signed = met.groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     signed = stage(signed.withColumn("id", F.monotonically_increasing_id()), "near-signed")
     members = signed.select("id", F.explode("bands").alias("band"))
-    firsts = members.groupBy("band").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("band", "first")
-    shared = stage(members.join(firsts, "band"), "near-members")
-    pairs = stage(
-        shared.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "near-pairs"
-    )
+    sizes = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stage(members.join(sizes, "band"), "near-shared")
+    shared = stage(shared.select("id", "band").join(shared.groupBy("id").agg(F.sum("n").alias("met")), "id"), "near-members")
+    pairs = stage(_with_centre(shared), "near-pairs")
     links = _linked(pairs, signed, texts, least, width)
+    for last in (False, True):
+        split = _split(shared, components(links))
+        minor = split.where("class != largest")  # outside the band's largest class
+        left = _with_common_prefix(split, signed, texts, least, width) if last else _with_centre(minor)
+        left = stage(left.join(pairs, ["a", "b"], "left_anti"), "near-left")
+        links = links.union(_linked(left, signed, texts, least, width))
+        pairs = pairs.union(left)
     classes = components(links)
-    labelled = shared.join(classes, shared["id"] == classes["node"], "left").select(
-        "band", "id", F.coalesce("component", "id").alias("class")
-    )
-    labelled = stage(labelled, "near-labelled")
-    sizes = labelled.groupBy("band", "class").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("band").agg(F.max_by("class", F.struct("n", "class")).alias("largest"), F.count("*").alias("classes"))
-    largest = largest.where("classes > 1").select("band", "largest")
-    split = stage(labelled.join(largest, "band"), "near-split")
-    minor = split.where(F.col("class") != F.col("largest")).select("band", F.col("id").alias("x"), F.col("class").alias("class_x"))
-    others = split.select("band", F.col("id").alias("y"), F.col("class").alias("class_y"))
-    left = (
-        minor.join(others, "band")
-        .where(F.col("class_x") != F.col("class_y"))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
-    more = _linked(stage(left, "near-left"), signed, texts, least, width)
-    classes = components(links.union(more))
     named = signed.select("key", "id").join(classes, F.col("id") == F.col("node"), "left")
     named = every.select(ROW, "row_no", "key").join(named.select("key", F.coalesce("component", "id").alias("class_key")), "key", "left")
     return unpack(named, "row_no", "class_key")
