@@ -45,7 +45,7 @@ KINDS = ("assign", "access", "hex", "random")
 #: False discoveries allowed among the spans that the tests add, per length class.
 FALSE_SHARE = 0.01
 #: A candidate is not random if one of the three tests gives less than this.
-LEAST_RANDOM = 1e-3
+LEAST_RANDOM = 1e-4
 #: Lower ends of the length classes.
 LENGTHS = (20, 24, 32, 40, 64, 128)
 STEPS = 4000  # tenths of a decimal power
