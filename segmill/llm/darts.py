@@ -28,8 +28,9 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 32, 6
 #: Estimates this far from the threshold (over four standard deviations) need no exact check.
 MARGIN = 0.12
-#: Cells in which frequencies of shingles are counted; 4 MB.
-SKETCH = 1 << 20
+#: Cells in which frequencies of shingles are counted. However many rare shingles fill them evenly, those
+#: that many texts share stand out.
+SKETCH = 1 << 17
 _FINEST = -12
 
 
@@ -126,7 +127,7 @@ def _estimate(a: pd.Series, b: pd.Series) -> pd.Series:
     )
 
 
-def _linked(pairs: DataFrame, signed: DataFrame, texts: DataFrame, least: float, width: int) -> DataFrame:
+def _linked(pairs: DataFrame, met: DataFrame, least: float, width: int) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) whose similarity is ``least`` or more.
 
     Signatures decide where they leave no doubt; the texts of the other pairs are compared exactly.
@@ -137,19 +138,16 @@ def _linked(pairs: DataFrame, signed: DataFrame, texts: DataFrame, least: float,
         return pd.Series([similarity(shingles(x, width), shingles(y, width)) for x, y in zip(a, b, strict=True)], dtype=float)
 
     rated = (
-        pairs.join(signed.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
-        .join(signed.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
+        pairs.join(met.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
+        .join(met.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
         .select("a", "b", F.pandas_udf(_estimate, "double")("sig_a", "sig_b").alias("about"))
         .where(F.col("about") >= least - MARGIN)
     )
     rated = stage(rated, "near-rated")
     doubtful = rated.where(F.col("about") < least + MARGIN).select("a", "b")
-    wanted = signed.select("id", "key").join(doubtful.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id")
-    needed = texts.join(wanted, "key").groupBy("id").agg(F.first("text").alias("text"))
-    needed = stage(needed, "near-texts")
     checked = (
-        doubtful.join(needed.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(needed.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+        doubtful.join(met.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(met.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", exact("text_a", "text_b").alias("exact"))
         .where(F.col("exact") >= least)
     )
@@ -183,7 +181,7 @@ def _elements(text: str | None, width: int) -> np.ndarray:
     return mix64(found[owner] + number.astype(np.uint64) * GOLDEN)
 
 
-def _with_common_prefix(split: DataFrame, signed: DataFrame, texts: DataFrame, least: float, width: int) -> DataFrame:
+def _with_common_prefix(split: DataFrame, met: DataFrame, least: float, width: int) -> DataFrame:
     """Distinct pairs (a, b) of unlike classes that can be ``least`` similar, found by the prefixes of their sets.
 
     With all sets in one order, two sets of similarity t share an element among the first
@@ -193,9 +191,7 @@ def _with_common_prefix(split: DataFrame, signed: DataFrame, texts: DataFrame, l
     always a text that is outside the largest class of one of its bands.
     """
     roles = split.groupBy("id").agg(F.min("class").alias("class"), F.max(F.col("class") != F.col("largest")).alias("minor"))
-    held = texts.join(signed.select("id", "key").join(roles, "id"), "key")
-    held = held.groupBy("id", "class", "minor").agg(F.first("text").alias("text"))
-    held = stage(held, "near-held")
+    held = stage(met.select("id", "text").join(roles, "id"), "near-held")
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -224,8 +220,8 @@ def _with_common_prefix(split: DataFrame, signed: DataFrame, texts: DataFrame, l
     # At the first element that two sets share, what is left of both must suffice for the overlap they need.
     enough = F.least(F.col("n") - F.col("at"), F.col("n_x") - F.col("at_x")) >= least / (1 + least) * (F.col("n") + F.col("n_x")) - 1e-6
     near = (F.col("class") != F.col("class_x")) & (F.col("n") >= least * F.col("n_x") - 1e-6) & (F.col("n_x") >= least * F.col("n") - 1e-6) & enough
-    met = one.join(rows.drop("minor"), "element").where(near)
-    return met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+    found = one.join(rows.drop("minor"), "element").where(near)
+    return found.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -263,21 +259,23 @@ def near_duplicates(
     kept = F.struct(*[F.col(ROW).getField(c).alias(c) for c in keep]).alias(ROW)
     every = stage(packed.select(kept, "row_no", "key", "found.*"), "near-rows")
     texts = source.select(key.alias("key"), F.col(f"`{text}`").alias("text"))
-    met = every.where("sig is not null")
-    signed = met.groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    signed = every.where("sig is not null").groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     signed = stage(signed.withColumn("id", F.monotonically_increasing_id()), "near-signed")
     members = signed.select("id", F.explode("bands").alias("band"))
     sizes = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     shared = stage(members.join(sizes, "band"), "near-shared")
     shared = stage(shared.select("id", "band").join(shared.groupBy("id").agg(F.sum("n").alias("met")), "id"), "near-members")
+    # Signature and text of those that share a band; the only time that texts are shuffled.
+    met = signed.select("key", "id", "sig").join(shared.select("id").distinct(), "id")
+    met = stage(texts.join(met, "key").groupBy("id").agg(F.first("sig").alias("sig"), F.first("text").alias("text")), "near-texts")
     pairs = stage(_with_centre(shared), "near-pairs")
-    links = _linked(pairs, signed, texts, least, width)
+    links = _linked(pairs, met, least, width)
     for last in (False, True):
         split = _split(shared, components(links))
         minor = split.where("class != largest")  # outside the band's largest class
-        left = _with_common_prefix(split, signed, texts, least, width) if last else _with_centre(minor)
+        left = _with_common_prefix(split, met, least, width) if last else _with_centre(minor)
         left = stage(left.join(pairs, ["a", "b"], "left_anti"), "near-left")
-        links = links.union(_linked(left, signed, texts, least, width))
+        links = links.union(_linked(left, met, least, width))
         pairs = pairs.union(left)
     classes = components(links)
     named = signed.select("key", "id").join(classes, F.col("id") == F.col("node"), "left")
