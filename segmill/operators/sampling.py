@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmill.functions.columns import named
-from segmill.operators.staging import stage
+from segmill.operators.staging import drop_staged, stage
 
 _RANK = "__rank"
 _DIGITS = 2  # hex digits per refinement: 256 counts reach the driver
@@ -25,16 +25,23 @@ _EDGE_ROWS = 100_000  # rows that may be sorted and cut in one place
 _SIGN = -(2**63)
 
 
-def _hashable(dtype: T.DataType) -> bool:
+def _hashable(value: Column, dtype: T.DataType) -> Column:
+    """``value`` in a form that Spark hashes: maps as entries in order of key, variants as text."""
     if isinstance(dtype, T.StructType):
-        return all(_hashable(f.dataType) for f in dtype.fields)
+        parts = [_hashable(value.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(value.isNotNull(), F.struct(*parts)) if parts else value
     if isinstance(dtype, T.ArrayType):
-        return _hashable(dtype.elementType)
-    return not isinstance(dtype, (T.MapType, T.VariantType))
+        return F.transform(value, lambda x: _hashable(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        pair = T.StructType([T.StructField("key", dtype.keyType), T.StructField("value", dtype.valueType)])
+        keys = F.array_sort(F.map_keys(value))
+        pairs = F.transform(keys, lambda k: F.struct(k.alias("key"), F.element_at(value, k).alias("value")))
+        return _hashable(pairs, T.ArrayType(pair))
+    return value.cast("string") if isinstance(dtype, T.VariantType) else value
 
 
 def _row_hash(df: DataFrame, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), *[named(f.name) for f in df.schema.fields if _hashable(f.dataType)])
+    return F.xxhash64(F.lit(seed), *[_hashable(named(f.name), f.dataType) for f in df.schema.fields])
 
 
 def _hex(hash64: Column) -> Column:
@@ -59,9 +66,12 @@ def smallest(df: DataFrame, rank: Column, n: int) -> DataFrame:
 
     The cut is found from row counts per leading digits of the rank, two digits at a
     time. Rows clearly below it are then a plain filter, without shuffle or limit;
-    only the few rows that share the digits at the cut are sorted.
+    only the few rows that share the digits at the cut are sorted, ``_EDGE_ROWS`` at most.
+    Rows of the same rank are told apart by a hash of their place in the table, so a
+    cut through any number of equal rows is found in the same way.
     """
-    ranked = df.withColumn(_RANK, rank)
+    place = F.lpad(F.hex(F.xxhash64(F.monotonically_increasing_id())), 16, "0")
+    ranked = df.withColumn(_RANK, F.concat(rank, place))
     prefix, need = "", n
     while True:
         width = len(prefix) + _DIGITS
@@ -73,7 +83,7 @@ def smallest(df: DataFrame, rank: Column, n: int) -> DataFrame:
             if counts[digits] >= need:
                 break
             need -= counts[digits]
-        exhausted = digits == prefix  # the rank has no further digits
+        exhausted = digits == prefix  # two places with one hash, once in 10 ** 19 pairs
         prefix = digits
         if counts[prefix] == need:
             return ranked.where(F.substring(_RANK, 1, len(prefix)) <= prefix).drop(_RANK)
@@ -84,11 +94,6 @@ def smallest(df: DataFrame, rank: Column, n: int) -> DataFrame:
     return below.unionByName(edge).drop(_RANK)
 
 
-def _first(df: DataFrame, n: int, seed: int) -> DataFrame:
-    # A limit brings its rows to one task, so beyond a bounded number cut by hash.
-    return df.limit(n) if n <= _EDGE_ROWS else smallest(df, row_rank(df, seed), n)
-
-
 def cap_rows(
     df: DataFrame,
     n: int,
@@ -99,7 +104,7 @@ def cap_rows(
     """At most ``n`` rows of ``df``; a table that has no more is returned unchanged.
 
     ``df`` is read more than once, so it should be a table or ``stage``d, not the
-    outcome of a long plan. ``keys`` (for ``hash``) names the columns to hash; the
+    outcome of a long plan. Both modes cut by rank, ``bernoulli`` among the rows drawn. ``keys`` (for ``hash``) names the columns to hash; the
     default is the whole row.
     """
     if n < 1:
@@ -109,32 +114,35 @@ def cap_rows(
     if mode != "bernoulli":
         raise ValueError(f"mode must be 'bernoulli' or 'hash', not {mode!r}")
     rows = df.count()
-    return df if rows <= n else _first(df.sample(False, n / rows, seed), n, seed)
+    return df if rows <= n else smallest(stage(df.sample(False, n / rows, seed), "sampled"), row_rank(df, seed), n)
 
 
-def distinct_sample(df: DataFrame, n: int, seed: int, rows: int) -> tuple[DataFrame, int]:
+def distinct_sample(
+    df: DataFrame, n: int, seed: int, rows: int, keys: Sequence[str] | None = None
+) -> tuple[DataFrame, int]:
     """``smallest`` of the distinct rows of ``df``, which has ``rows`` rows, and how many that are.
 
     The result is that of removing duplicates first. But since copies of a row share
     its hash, all rows with a hash above a rough bound are filtered out before the
     duplicate removal, whose shuffle then moves about 2n rows instead of the table.
-    If many duplicates make the bound too tight, an estimate of the number of
-    distinct rows corrects it, and if that too falls short, the bound is lifted.
+    The bound follows from an estimate of the number of distinct ranks; if it falls
+    short all the same, it is lifted. With ``keys`` the rank is that of ``row_rank``;
+    rows of few distinct keys then all pass the bound, which costs their shuffle only.
     """
-    point = _row_hash(df, seed)
+    rank = row_rank(df, seed, keys)
+    head = F.substring(rank, 1, 15)
     slack = 6 * n**0.5 + 10  # far beyond what chance takes away from n hits
-
-    def share_of_all() -> float:
-        distinct = df.agg(F.approx_count_distinct(point, 0.01)).first()[0]
-        return (1.1 * n + slack) / max(distinct, 1)
-
-    for share in (lambda: (2 * n + slack) / rows, share_of_all, lambda: 1.0):
-        wanted = min(share(), 1.0)
-        below = df if wanted == 1.0 else df.where(point < F.lit(int(_SIGN + wanted * 2**64)))
+    wanted = 1.0
+    if n < rows:
+        distinct = df.agg(F.approx_count_distinct(head, 0.01)).first()[0]
+        wanted = min(1.0, (1.1 * n + slack) / max(distinct, 1))
+    for share in dict.fromkeys((wanted, 1.0)):
+        below = df if share == 1.0 else df.where(head < F.lit(f"{int(share * 16**15):015X}" if keys is None else f"{int(share * 16**15):015x}"))
         candidates = stage(below.dropDuplicates(), "candidates")
         found = candidates.count()  # from the file footers
         if found > n:
-            return smallest(candidates, row_rank(candidates, seed), n), n
-        if found == n or wanted == 1.0:
+            return smallest(candidates, row_rank(candidates, seed, keys), n), n
+        if found == n or share == 1.0:
             return candidates, found
+        drop_staged(candidates)
     raise AssertionError("unreachable: the last bound admits every row")

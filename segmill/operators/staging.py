@@ -7,6 +7,7 @@ the same rows every time.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,10 +20,16 @@ def staging_root(spark: SparkSession) -> str:
     Only a local session without one gets a temporary folder; on a cluster, where
     executors share no local disk, its absence is an error.
     """
+    local = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
+        if not local and "://" not in root and not root.startswith("file:"):
+            # Without a scheme the path is that of the cluster's default file system.
+            scheme = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+            if scheme.startswith("file:"):
+                raise ValueError(f"{root} is local to each machine: name its scheme, file: too if the folder is shared")
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="segmill-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -39,3 +46,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files of a table that ``stage`` returned. Files outside the staging root are left alone."""
+    spark = df.sparkSession
+    root = staging_root(spark)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    base = hadoop(root)
+    system = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    whole = system.makeQualified(base).toString()
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if system.makeQualified(hadoop(folder)).toString().startswith(f"{whole}/"):
+            system.delete(hadoop(folder), True)

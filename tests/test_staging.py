@@ -1,12 +1,14 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
-from segmill.operators.staging import stage, staging_root
+from segmill.operators.staging import drop_staged, stage, staging_root
 
 
-def session(configured, master="spark://host:7077"):
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+def session(configured, master="spark://host:7077", files="file:///"):
+    hadoop = SimpleNamespace(hadoopConfiguration=lambda: SimpleNamespace(get=lambda key, default: files))
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, _jsc=hadoop)
     return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: configured), sparkContext=context)
 
 
@@ -26,3 +28,21 @@ def test_staged_table_is_cut_from_its_plan(spark):
     assert staged.schema.simpleString() == df.schema.simpleString()
     assert "Exchange" not in staged._jdf.queryExecution().executedPlan().toString()
     assert staged.count() == 10
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[3,2,1024]", "yarn"])
+def test_local_folder_is_refused_on_a_cluster(master):
+    with pytest.raises(ValueError, match="local to each machine"):
+        staging_root(session("/tmp/staging", master))
+    assert staging_root(session("file:///shared/staging", master)) == "file:///shared/staging"
+    assert staging_root(session("/staging", master, "hdfs://name")) == "/staging"
+
+
+def test_staged_files_are_dropped_and_others_are_not(spark, tmp_path):
+    staged = stage(spark.range(5), "gone")
+    files = staged.inputFiles()
+    drop_staged(staged)
+    assert not any(Path(f.removeprefix("file://")).exists() for f in files)
+    spark.range(5).write.parquet(str(tmp_path / "table"))
+    drop_staged(spark.read.parquet(str(tmp_path / "table")))
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 5
