@@ -16,7 +16,6 @@ from segmill.operators.evaluate import silhouette
 from segmill.operators.prepare import VECTOR
 
 LABEL = "prediction"
-SMALL_ROWS = 1_000_000
 
 
 def fit_kmeans(
@@ -28,20 +27,12 @@ def fit_kmeans(
 ) -> KMeansModel:
     """K-means with Spark's defaults for everything but the arguments.
 
-    Dense rows go through the block solver, which finds the same centers with matrix
-    products instead of one distance at a time. It cannot handle an initialisation
-    that yields fewer centers than asked for (few distinct points, or outliers that
-    draw all the sampling); the row solver can, and gives a model of fewer clusters.
+    Always the row solver: it works on the cached vectors as they are, without a blocked
+    copy per fit, and gives a model of fewer clusters when initialisation finds fewer
+    centers than asked for (few distinct points, or outliers that draw all the sampling).
     """
     kmeans = KMeans(featuresCol=vector, predictionCol=LABEL, k=k, seed=seed, distanceMeasure=distance, solver="row")
-    if distance != "euclidean":
-        return kmeans.fit(df)
-    try:
-        return kmeans.copy({kmeans.solver: "block"}).fit(df)
-    except Exception as error:
-        if "ArrayIndexOutOfBoundsException" not in str(error):
-            raise
-        return kmeans.fit(df)
+    return kmeans.fit(df)
 
 
 def original_centers(model: KMeansModel, scaler: StandardScalerModel) -> list[list[float]]:
@@ -93,15 +84,14 @@ def sweep(
     metric: str = "silhouette",
     fit_distance: str = "euclidean",
     rows: int | None = None,
-    parallelism: int | None = None,
+    parallelism: int = 4,
 ) -> Sweep:
     """Fit every k from ``k_min`` to ``k_max`` (less than the number of rows) and keep the best score.
 
     Of equal scores the smallest k wins. The vectors are cached once for all fits and
-    released at the end. ``parallelism`` fits run side by side, each in its own job
-    group, so that the executors have work while another fit is between its jobs. A
-    running fit holds a blocked copy of the vectors, so the default is low for large
-    tables; use 1 where a copy fills the executors.
+    released at the end: 8 bytes per row and feature, in memory or on the executors' disks. ``parallelism`` fits run
+    side by side, each in its own job group, so that the executors have work while another fit
+    is between its jobs. A running fit adds 8 bytes per row (the vectors' norms) and k centers per task.
     """
     spark = prepared.sparkSession
     vectors = prepared.select(VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
@@ -114,9 +104,11 @@ def sweep(
         def fit_and_score(k: int) -> tuple[int, float | None, KMeansModel]:
             spark.sparkContext.setJobGroup(f"kmeans-k-{k}", f"K-means with k={k}: fit and score")
             model = fit_kmeans(vectors, k, seed, distance=fit_distance)
-            return k, _score(model.transform(vectors), distance, metric), model
+            # Without rows in two clusters there is nothing to score.
+            scored = sum(size > 0 for size in model.summary.clusterSizes) > 1
+            return k, silhouette(model.transform(vectors), LABEL, VECTOR, distance, metric) if scored else None, model
 
-        with ThreadPoolExecutor(parallelism or (8 if rows <= SMALL_ROWS else 3)) as pool:
+        with ThreadPoolExecutor(parallelism) as pool:
             # Longest first. One wrapped call per k: each holds job properties of its own.
             ks = range(k_max, k_min - 1, -1)
             jobs = [pool.submit(inheritable_thread_target(spark)(fit_and_score), k) for k in ks]
@@ -132,11 +124,3 @@ def sweep(
         raise ValueError(f"no k from {k_min} to {k_max} gives clusters that can be scored")
     return Sweep(best_k, best_score, best_model, [(k, score) for k, score, _ in tried])
 
-
-def _score(labelled: DataFrame, distance: str, metric: str) -> float | None:
-    try:
-        return silhouette(labelled, LABEL, VECTOR, distance, metric)
-    except Exception as error:  # all rows in one cluster, for want of distinct points
-        if "Number of clusters must be greater than one" in str(error):
-            return None
-        raise

@@ -17,7 +17,14 @@ VECTOR = "features"
 
 
 def imputed_names(features: Sequence[str]) -> list[str]:
-    return [f"{c}_imp" for c in features]
+    """``<feature>_imp``, with underscores after it where that is a feature itself."""
+    names: list[str] = []
+    for c in features:
+        name = f"{c}_imp"
+        while name in features or name in names:
+            name += "_"
+        names.append(name)
+    return names
 
 
 def _plain_names(features: Sequence[str]) -> list[str]:

@@ -12,6 +12,21 @@ from segmill.functions.jsonsafe import json_safe_value
 from segmill.functions.names import name_columns
 
 NAME_COLUMN = "product_name"
+# Columns that results add.
+RESULT_COLUMNS = ("prediction", "n", "features", "features_raw")
+
+
+def plain_results(df: DataFrame) -> DataFrame:
+    """``df`` with underscores after columns that are called like one of a result, until the name is free."""
+    names, renamed = {c.lower() for c in df.columns}, {}
+    for c in df.columns:
+        if c.lower() in RESULT_COLUMNS:
+            free = f"{c}_"
+            while free.lower() in names:
+                free += "_"
+            names.add(free.lower())
+            renamed[c] = free
+    return df.withColumnsRenamed(renamed) if renamed else df
 
 
 def flatten_names(df: DataFrame, column: str = NAME_COLUMN, keep: Sequence[str] = ()) -> DataFrame:

@@ -1,12 +1,13 @@
 """Exact quantiles of many columns at once, without sorting a column or holding it in one place.
 
-The search narrows a range of values per column that holds the wanted rank. A sample
-of a large table gives a first range of less than one percent of the rows, which a
-count over all rows confirms or moves. Inside the range, values are counted in
-equal-width bins and the bin with the wanted rank is the next range. Every round is
-one pass for all columns, with counting inside the tasks; its shuffle carries at most
-a few hundred rows per column and task. It ends when a range holds a single value,
-or so few rows that one exact aggregate over them settles the rest.
+The search narrows a range of values per column that holds the wanted rank. Quantiles of
+a sample of the values inside the range give a range of less than one percent of these
+rows, which a count over all rows confirms or moves. It ends when a range holds a single
+value, or so few rows that one exact aggregate over them settles the rest. Edges are
+set by rank, so the shape of a distribution does not matter: each round divides
+the rows by more than a hundred, and n rows take 2 + 2 * r passes for the smallest r with
+n <= SETTLE_ROWS * 150 ** r. All counting is done inside the tasks; columns are searched
+in groups of ``COLUMNS``, each reading its own columns only.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from segmill.functions.columns import as_double, named
 
-_BINS = 256
+COLUMNS = 24
 _SETTLE_ROWS = 10_000
 _SAMPLE_ROWS = 1_000_000
 _SAMPLE_PARTS = 8
@@ -45,17 +46,6 @@ class _Range:
     def inside(self) -> Column:
         return self.x.between(self.low, self.high)
 
-    @property
-    def bin(self) -> Column:
-        """A number that never falls as the value rises; infinities have bins of their own."""
-        low, high = max(self.low, -1.7976931348623157e308), min(self.high, 1.7976931348623157e308)
-        if math.isfinite(high - low):
-            part = (self.x - low) / (high - low)
-        else:
-            part = (self.x / 2 - low / 2) / (high / 2 - low / 2)
-        inner = F.floor(part * _BINS)
-        return F.when(self.x == -math.inf, -1).when(self.x == math.inf, _BINS + 1).otherwise(inner).cast("int")
-
     def part(self, parts: Sequence[tuple[int, float, float]]) -> _Range:
         """The one of the ``parts`` (rows, low, high; in order of value) that holds the rank."""
         rank = self.rank
@@ -78,46 +68,39 @@ def _whole(values: DataFrame, p: float) -> list[_Range]:
     ]
 
 
-def _narrow_by_sample(values: DataFrame, ranges: list[_Range], p: float) -> list[_Range]:
-    share = _SAMPLE_ROWS / max(r.rows for r in ranges)
-    margin = 3 / _SAMPLE_ROWS**0.5  # six standard deviations of a sample median's rank
-    # Quantile sketches of all tasks meet in one place: bring the sample together first.
-    sample = values.sample(share, 1).repartition(_SAMPLE_PARTS)
-    guesses = sample.approxQuantile(
-        [r.column for r in ranges], [max(p - margin, 0.0), min(p + margin, 1.0)], margin / 10
-    )
-    guessed = [(r, *guess) for r, guess in zip(ranges, guesses) if len(guess) == 2]
-    measures = []
-    for r, low, high in guessed:
-        for name, where in (("lt", r.x < low), ("in", r.x.between(low, high)), ("gt", r.x > high)):
-            x = F.when(where, r.x)
-            measures += [
-                F.count(x).alias(f"{name}_n_{r.column}"),
-                F.min(x).alias(f"{name}_lo_{r.column}"),
-                F.max(x).alias(f"{name}_hi_{r.column}"),
-            ]
-    got = values.agg(*measures).first()
-    parts = {
-        r.column: [[got[f"{name}_{m}_{r.column}"] for m in ("n", "lo", "hi")] for name in ("lt", "in", "gt")]
-        for r, _, _ in guessed
-    }
-    return [r.part(parts[r.column]) if r.column in parts else r for r in ranges]
-
+def _narrow(values: DataFrame, ranges: list[_Range]) -> list[_Range]:
+    """Two passes: sampled quantiles around the wanted rank, then exact counts between them.
 
-def _narrow_by_bins(values: DataFrame, ranges: list[_Range]) -> list[_Range]:
-    cells = [
-        F.struct(F.lit(i).alias("i"), F.when(r.inside, r.bin).alias("bin"), r.x.alias("x"))
-        for i, r in enumerate(ranges)
-    ]
+    The middle one of the three quantiles occurs in the range and is counted alone, so every
+    call leaves fewer values.
+    """
+    share = min(1.0, _SAMPLE_ROWS / max(r.rows for r in ranges))
+    inside = values.where(reduce(Column.__or__, [r.inside for r in ranges])).select(
+        *[F.when(r.inside, r.x).alias(r.column) for r in ranges]
+    )
+    # Quantile sketches of all tasks meet in one place: bring the sample together first.
+    sample = (inside.sample(share, 1) if share < 1 else inside).repartition(_SAMPLE_PARTS)
+    # Three deviations of a sample quantile's rank are 1.5 / sqrt(rows drawn).
+    margins = [0.001 if share == 1 else min(0.5, max(0.001, 2 / max(r.rows * share, 1.0) ** 0.5)) for r in ranges]
+    error = min(margins) / 10
+    shares = sorted({min(max((r.rank - 0.5) / r.rows + side * m, 0.0), 1.0) for r, m in zip(ranges, margins) for side in (-1, 0, 1)})
+    quantiles = sample.approxQuantile([r.column for r in ranges], shares, error)
+    cells = []
+    for i, (r, m, q) in enumerate(zip(ranges, margins, quantiles)):
+        p = (r.rank - 0.5) / r.rows
+        # Nothing of a narrow column may have been drawn: its smallest value is then counted alone.
+        low, mid, high = (q[shares.index(min(max(p + side * m, 0.0), 1.0))] if q else r.low for side in (-1, 0, 1))
+        part = F.when(r.x < low, 0).when(r.x < mid, 1).when(r.x == mid, 2).when(r.x <= high, 3).otherwise(4)
+        cells.append(F.struct(F.lit(i).alias("i"), F.when(r.inside, part).alias("part"), r.x.alias("x")))
     counted = (
         values.where(reduce(Column.__or__, [r.inside for r in ranges]))
         .select(F.inline(F.array(*cells)))
-        .where(F.col("bin").isNotNull())
-        .groupBy("i", "bin")
+        .where(F.col("part").isNotNull())
+        .groupBy("i", "part")
         .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-        .collect()  # at most a few hundred rows per column
+        .collect()  # at most five rows per column
     )
-    counted.sort(key=lambda c: c.bin)
+    counted.sort(key=lambda c: c.part)
     return [r.part([(c.n, c.low, c.high) for c in counted if c.i == i]) for i, r in enumerate(ranges)]
 
 
@@ -138,6 +121,14 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], p: float = 0.5) -> di
     Null and NaN do not count as values; a column without values gives None. ``df``
     is read a few times, so it should be a table or staged.
     """
+    found: dict[str, float | None] = {}
+    for start in range(0, len(columns), COLUMNS):
+        found |= search(df, columns[start : start + COLUMNS], p)[0]
+    return found
+
+
+def search(df: DataFrame, columns: Sequence[str], p: float) -> tuple[dict[str, float | None], int]:
+    """``exact_quantiles`` of one group of columns, and the number of passes over ``df`` it took."""
     short = {f"c{i}": c for i, c in enumerate(columns)}
     values = df.select(*[F.nanvl(as_double(named(c)), F.lit(None)).alias(s) for s, c in short.items()])
 
@@ -150,13 +141,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], p: float = 0.5) -> di
         few.extend(r for r in several if r.rows <= _SETTLE_ROWS)
         return [r for r in several if r.rows > _SETTLE_ROWS]
 
-    ranges = still_open(_whole(values, p))
-    large = [r for r in ranges if r.rows > _SAMPLE_ROWS]
-    if large:
-        rest = [r for r in ranges if r.rows <= _SAMPLE_ROWS]
-        ranges = rest + still_open(_narrow_by_sample(values, large, p))
+    ranges, passes = still_open(_whole(values, p)), 1
     while ranges:
-        ranges = still_open(_narrow_by_bins(values, ranges))
+        ranges, passes = still_open(_narrow(values, ranges)), passes + 2
     if few:
         found.update(_settle(values, few))
-    return {c: found[s] for s, c in short.items()}
+        passes += 1
+    return {c: found[s] for s, c in short.items()}, passes

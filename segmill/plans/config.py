@@ -26,8 +26,10 @@ class DataPaths:
 @dataclass(frozen=True)
 class Preprocessing:
     min_non_null_ratio: float = 0.9
-    target_n: int | None = 2000
-    """Rows to train on at most; None trains on all."""
+    target_n: int | None = None
+    """Rows to train on at most; None, the default, trains on all."""
+    sample_keys: tuple[str, ...] | None = None
+    """Columns whose MD5 orders the rows of a ``hash`` sample; by default it is a hash of the whole row."""
     imputer_strategy: str = "median"
     median_error: float = 0.0
     """0 for the exact median, else the relative rank error of an approximate one."""
@@ -44,8 +46,8 @@ class Training:
     distance_measure: str = "squaredEuclidean"
     fit_distance: str = "euclidean"
     canonical_labels: bool = True
-    parallelism: int | None = None
-    """Fits run side by side, see ``operators.cluster.sweep``."""
+    parallelism: int = 4
+    """Fits run side by side over one cached copy of the vectors, see ``operators.cluster.sweep``."""
 
 
 @dataclass(frozen=True)
@@ -60,7 +62,7 @@ def _section(kind: type, values: dict) -> object:
     unknown = sorted(set(values) - known)
     if unknown:
         raise ValueError(f"unknown {kind.__name__} options: {', '.join(unknown)}")
-    return kind(**values)
+    return kind(**{name: tuple(v) if isinstance(v, list) else v for name, v in values.items()})
 
 
 def load_config(path: str) -> Config:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from segmill.functions.columns import named
 from segmill.operators.cluster import LABEL, assign
 from segmill.operators.prepare import Preparation
-from segmill.operators.project import NAME_COLUMN, align
+from segmill.operators.project import NAME_COLUMN, align, plain_results
 from segmill.plans.config import Config
 from segmill.sinks import write_csv
 from segmill.sources import Bundle, load_bundle, read_table
@@ -26,14 +26,18 @@ def predict(
     """Text columns, features and label of each distinct row: one lazy plan.
 
     Its only shuffle is the duplicate removal, and without ``dedup`` there is none.
-    ``keep`` names columns of ``raw`` to carry along, such as a key.
+    ``keep`` names columns of ``raw`` to carry along, such as a key; one that is a
+    feature as well appears once, as it is in ``raw``.
     """
-    rows = align(raw, bundle.feature_cols, bundle.text_cols, name_column, on_bad, keep)
+    held = {c: f"__keep_{i}" for i, c in enumerate(dict.fromkeys(keep))}
+    source = raw.withColumns({name: named(c) for c, name in held.items()})
+    rows = align(plain_results(source), bundle.feature_cols, bundle.text_cols, name_column, on_bad, list(held.values()))
     if dedup:
         rows = rows.dropDuplicates()
     chain = Preparation(bundle.feature_cols, bundle.imputer, bundle.scaler)
     labelled = assign(chain.apply(rows), bundle.kmeans, bundle.label_order)
-    return labelled.select(*[named(c) for c in [*keep, *bundle.text_cols, *bundle.feature_cols]], LABEL)
+    kept = [named(name).alias(c) for c, name in held.items()]
+    return labelled.select(*kept, *[named(c) for c in [*bundle.text_cols, *bundle.feature_cols] if c not in held], LABEL)
 
 
 def run_prediction(

@@ -11,14 +11,14 @@ from segmill.functions.names import name_columns
 from segmill.operators import cluster, summarise
 from segmill.operators.features import choose_features
 from segmill.operators.prepare import Preparation, fit_preparation
-from segmill.operators.project import NAME_COLUMN, training_columns
+from segmill.operators.project import NAME_COLUMN, plain_results, training_columns
 from segmill.operators.sampling import cap_rows, distinct_sample
-from segmill.operators.staging import stage
+from segmill.operators.staging import drop_staged, stage
 from segmill.plans.config import Config, Preprocessing, Training
 from segmill.sinks import publish_results, save_bundle, write_csv, write_document
 from segmill.sources import Bundle, read_table
 
-SMALL_ROWS = 1_000_000
+#: Rows per partition of the working table, at every size.
 ROWS_PER_PARTITION = 50_000
 
 
@@ -44,23 +44,27 @@ def prepare_training(
     Fill ratios and variances are those of the raw rows. With ``hash`` sampling the
     raw table is read twice, once for the numeric columns only, and no more than the
     rows that can be in the sample are shuffled. ``bernoulli`` needs the number of
-    distinct rows, hence removes duplicates from the whole table first.
+    distinct rows, hence removes duplicates from the whole table first. The working table
+    is staged, and read in partitions of about ROWS_PER_PARTITION rows whatever its size.
+    Features that are called like a result column get a trailing underscore.
     """
+    raw = plain_results(raw)
     features, rows_total = choose_features(raw, options.min_non_null_ratio)
     texts = list(name_columns(raw.schema, name_column))
     table = training_columns(raw, features, name_column)
 
     target = rows_total if options.target_n is None else min(options.target_n, rows_total)
     if target == rows_total or options.sampling == "hash":
-        working, _ = distinct_sample(table, target, seed, rows_total)
+        working, rows_working = distinct_sample(table, target, seed, rows_total, options.sample_keys)
     else:
-        working = cap_rows(stage(table.dropDuplicates(), "distinct"), target, seed, options.sampling)
-    if target <= SMALL_ROWS:
-        # Model fitting runs many short jobs: a small sample should not be spread thin.
-        working = working.coalesce(target // ROWS_PER_PARTITION + 1)
+        distinct = stage(table.dropDuplicates(), "distinct")
+        working = cap_rows(distinct, target, seed, options.sampling)
+        rows_working = working.count()
+    partitions = rows_working // ROWS_PER_PARTITION + 1
     if target < rows_total:
-        working = stage(working, "working")
-    rows_working = working.count()
+        working = stage(working.repartition(partitions), "working")
+    else:  # a staged table already: fewer tasks read it, nothing is shuffled
+        working = working.coalesce(partitions)
     return PreparedTable(working, features, texts, rows_total, rows_working)
 
 
@@ -76,6 +80,10 @@ class TrainResult:
     scores: DataFrame
     prepared: PreparedTable
 
+    def release(self) -> None:
+        """Delete the staged working table; ``labelled`` cannot be computed any more."""
+        drop_staged(self.prepared.df)
+
     @property
     def best_k(self) -> int:
         return self.bundle.best_k

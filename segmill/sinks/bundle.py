@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import SparkSession
 
 from segmill.sinks.files import write_document
-from segmill.sources.bundle import IMPUTER_DIR, INFO_DOCUMENT, KMEANS_DIR, SCALER_DIR, Bundle
+from segmill.sources.bundle import IMPUTER_DIR, INFO_DOCUMENT, KMEANS_DIR, SCALER_DIR, VERSIONS, VERSIONS_SCHEMA, Bundle
+
 
+def save_bundle(spark: SparkSession, bundle: Bundle, root: str) -> str:
+    """Save under ``root`` and return the folder of this version.
 
-def save_bundle(spark: SparkSession, bundle: Bundle, root: str) -> None:
-    """Save under ``root``, replacing an earlier bundle. The record goes last, so it marks a whole bundle."""
-    root = root.rstrip("/")
-    bundle.kmeans.write().overwrite().save(f"{root}/{KMEANS_DIR}")
-    bundle.imputer.write().overwrite().save(f"{root}/{IMPUTER_DIR}")
-    bundle.scaler.write().overwrite().save(f"{root}/{SCALER_DIR}")
-    write_document(bundle.info(spark, root), f"{root}/{INFO_DOCUMENT}")
+    Every save goes to a folder of its own and is entered in the index of versions only when it
+    is whole. Readers take the latest entry, so they see the earlier bundle until
+    then, and also after a save that died half-way.
+    """
+    version = uuid.uuid4().hex
+    folder = f"{root.rstrip('/')}/{VERSIONS}/{version}"
+    bundle.kmeans.write().save(f"{folder}/{KMEANS_DIR}")
+    bundle.imputer.write().save(f"{folder}/{IMPUTER_DIR}")
+    bundle.scaler.write().save(f"{folder}/{SCALER_DIR}")
+    write_document(bundle.info(spark, folder), f"{folder}/{INFO_DOCUMENT}")
+    entry = spark.createDataFrame([(version, time.time_ns())], VERSIONS_SCHEMA)
+    entry.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{VERSIONS}/index")
+    return folder

@@ -7,6 +7,7 @@ and runs with different features do not have to share a schema.
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from segmill.operators.project import json_safe
 RESULT_TABLES = ("cluster_profiles", "cluster_centers", "training_metrics", "model_info")
 
 _RUNS = "published_runs"
+_RUN_SCHEMA = "run_id string, published_at bigint"
 _RUN_FORMAT = "%Y%m%dT%H%M%S%fZ"
 
 
@@ -30,13 +32,16 @@ def publish_results(
     info: DataFrame,
     run_id: str | None = None,
 ) -> str:
-    """Publish one run and return its id: a UTC time stamp, so that ids sort by age."""
+    """Publish one run and return its id, by default a UTC time stamp. The run published last is the latest, whatever its id.
+
+    The four tables have a row per cluster or one row; each goes through one task.
+    """
     root = root.rstrip("/")
     run_id = run_id or datetime.now(timezone.utc).strftime(_RUN_FORMAT)
     for name, table in zip(RESULT_TABLES, (profiles, centers, metrics, info), strict=True):
         stamped = json_safe(table).withColumn("run_id", F.lit(run_id))
         stamped.coalesce(1).write.mode("overwrite").parquet(f"{root}/{run_id}/{name}")
-    spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode("append").parquet(f"{root}/{_RUNS}")
+    spark.createDataFrame([(run_id, time.time_ns())], _RUN_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{_RUNS}")
     return run_id
 
 
@@ -46,5 +51,7 @@ def read_published(spark: SparkSession, root: str, table: str, run_id: str | Non
         raise ValueError(f"no such result table: {table!r}")
     root = root.rstrip("/")
     if run_id is None:
-        run_id = spark.read.schema("run_id string").parquet(f"{root}/{_RUNS}").agg(F.max("run_id")).first()[0]
+        runs = spark.read.schema(_RUN_SCHEMA).parquet(f"{root}/{_RUNS}")
+        # Runs entered without a time are older than all others.
+        run_id = runs.agg(F.max(F.struct(F.coalesce("published_at", F.lit(0)), "run_id"))["run_id"]).first()[0]
     return spark.read.parquet(f"{root}/{run_id}/{table}")

@@ -7,12 +7,17 @@ from dataclasses import dataclass, field
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import ImputerModel, StandardScalerModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from segmill.operators.prepare import imputed_names
 
 # Names inside the bundle, the recorded model type, and the record's fields.
 KMEANS_DIR = "kmeans_model"
 IMPUTER_DIR = "imputer_model"
 SCALER_DIR = "scaler_model"
 INFO_DOCUMENT = "model_info.json"
+VERSIONS = "versions"
+VERSIONS_SCHEMA = "version string, saved_at bigint"
 MODEL_TYPE = "pyspark.ml.clustering.KMeansModel"
 INFO_SCHEMA = (
     "model_type string, best_k int, best_score double, metric_name string, "
@@ -46,15 +51,27 @@ class Bundle:
         places = [f"{root.rstrip('/')}/{d}" for d in (KMEANS_DIR, IMPUTER_DIR, SCALER_DIR)] if root else None
         row = (
             MODEL_TYPE, self.best_k, self.best_score, self.metric_name,
-            self.feature_cols, [f"{c}_imp" for c in self.feature_cols], self.text_cols,
+            self.feature_cols, imputed_names(self.feature_cols), self.text_cols,
             self.input_path, self.label_order, tuple(places) if places else None,
         )
         return spark.createDataFrame([row], INFO_SCHEMA)
 
 
-def load_bundle(spark: SparkSession, root: str) -> Bundle:
-    """Load a saved bundle; a missing one is an error and nothing is created."""
+def bundle_folder(spark: SparkSession, root: str) -> str:
+    """Where the bundle saved last under ``root`` is; ``root`` itself if it holds a bundle without versions."""
     root = root.rstrip("/")
+    index = f"{root}/{VERSIONS}/index"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(index)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return root
+    saved = spark.read.schema(VERSIONS_SCHEMA).parquet(index)
+    version = saved.agg(F.max(F.struct("saved_at", "version"))["version"]).first()[0]
+    return f"{root}/{VERSIONS}/{version}"
+
+
+def load_bundle(spark: SparkSession, root: str) -> Bundle:
+    """Load the bundle saved last under ``root``; a missing one is an error and nothing is created."""
+    root = bundle_folder(spark, root)
     info = spark.read.schema(INFO_SCHEMA).option("multiLine", True).json(f"{root}/{INFO_DOCUMENT}").first()
     if info is None:
         raise ValueError(f"no model record in {root}/{INFO_DOCUMENT}")

@@ -12,13 +12,16 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     return reader.parquet(path)
 
 
-def read_json_rows(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+def read_json_rows(spark: SparkSession, path: str, schema: StructType | str, on_bad: str = "error") -> DataFrame:
     """One JSON object per line.
 
     The schema is required: inference costs a pass over the data, drops columns
-    that are null throughout and reads a NaN as text.
+    that are null throughout and reads a NaN as text. A malformed line is an error, or, with ``on_bad="null"``, a row of nulls.
     """
-    return spark.read.schema(schema).json(path)
+    if on_bad not in ("error", "null"):
+        raise ValueError(f"on_bad must be 'error' or 'null', not {on_bad!r}")
+    mode = "FAILFAST" if on_bad == "error" else "PERMISSIVE"
+    return spark.read.schema(schema).option("mode", mode).json(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
