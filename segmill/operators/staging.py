@@ -44,7 +44,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet below the staging root and return the written table."""
     spark = df.sparkSession
     path = staging_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
