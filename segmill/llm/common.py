@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from segmill.operators.staging import drop_staged, stage
+
 #: The columns of a row that an operator only hands through travel in one struct of
 #: this name, so that no column of the caller can clash with one of the operator.
 ROW = "row"
@@ -36,6 +38,21 @@ def unpack(df: DataFrame, *results: str) -> DataFrame:
     return df.select(*[F.col(ROW).getField(f).alias(f) for f in fields], *results)
 
 
+class Scratch:
+    """Staged tables of one operator that its result does not read; ``drop`` deletes them."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(stage(df, name))
+        return self.tables[-1]
+
+    def drop(self) -> None:
+        while self.tables:
+            drop_staged(self.tables.pop())
+
+
 def words(text: str | None) -> list[str]:
     """Lower-case words of a text; a null text has none."""
     return WORD.findall(text.lower()) if text else []

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmill.operators.staging import stage
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = stage) -> DataFrame:
     """``node`` and ``component`` (the smallest node it is connected with) for every end of the links (a, b).
 
     Each round gives a node the smallest label among itself and its neighbours, then that
     label's own label; it ends when no label changes, after about log2 of the longest
-    chain. Every round is written to the shared folder. Labels reach a hub's
+    chain. Every round is written to the shared folder by ``stage``. Labels reach a hub's
     neighbours through a join that Spark splits when skewed, and minima are combined in each task first.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmill.llm.common import GOLDEN, ROW, mix64, pack, unit, unpack
+from segmill.llm.common import GOLDEN, ROW, Scratch, mix64, pack, unit, unpack
 from segmill.llm.components import components
 from segmill.llm.toxicity import word_hashes
 from segmill.operators.staging import stage
@@ -127,7 +127,7 @@ def _estimate(a: pd.Series, b: pd.Series) -> pd.Series:
     )
 
 
-def _linked(pairs: DataFrame, met: DataFrame, least: float, width: int) -> DataFrame:
+def _linked(pairs: DataFrame, met: DataFrame, least: float, width: int, scratch: Scratch) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) whose similarity is ``least`` or more.
 
     Signatures decide where they leave no doubt; the texts of the other pairs are compared exactly.
@@ -143,7 +143,7 @@ def _linked(pairs: DataFrame, met: DataFrame, least: float, width: int) -> DataF
         .select("a", "b", F.pandas_udf(_estimate, "double")("sig_a", "sig_b").alias("about"))
         .where(F.col("about") >= least - MARGIN)
     )
-    rated = stage(rated, "near-rated")
+    rated = scratch.stage(rated, "near-rated")
     doubtful = rated.where(F.col("about") < least + MARGIN).select("a", "b")
     checked = (
         doubtful.join(met.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -151,7 +151,7 @@ def _linked(pairs: DataFrame, met: DataFrame, least: float, width: int) -> DataF
         .select("a", "b", exact("text_a", "text_b").alias("exact"))
         .where(F.col("exact") >= least)
     )
-    return stage(rated.where(F.col("about") >= least + MARGIN).select("a", "b").union(checked.select("a", "b")), "near-links")
+    return scratch.stage(rated.where(F.col("about") >= least + MARGIN).select("a", "b").union(checked.select("a", "b")), "near-links")
 
 
 def _with_centre(members: DataFrame) -> DataFrame:
@@ -164,13 +164,13 @@ def _with_centre(members: DataFrame) -> DataFrame:
     return met.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
 
 
-def _split(members: DataFrame, classes: DataFrame) -> DataFrame:
+def _split(members: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """The members of bands that hold more than one class, with their class and the band's largest."""
     named = members.join(classes, members["id"] == classes["node"], "left")
-    named = stage(named.select("band", "id", "met", F.coalesce("component", "id").alias("class")), "near-labelled")
+    named = scratch.stage(named.select("band", "id", "met", F.coalesce("component", "id").alias("class")), "near-labelled")
     sizes = named.groupBy("band", "class").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("band").agg(F.max(F.struct("n", "class"))["class"].alias("largest"), F.count("*").alias("classes"))
-    return stage(named.join(largest.where("classes > 1").select("band", "largest"), "band"), "near-split")
+    return scratch.stage(named.join(largest.where("classes > 1").select("band", "largest"), "band"), "near-split")
 
 
 def _elements(text: str | None, width: int) -> np.ndarray:
@@ -181,7 +181,7 @@ def _elements(text: str | None, width: int) -> np.ndarray:
     return mix64(found[owner] + number.astype(np.uint64) * GOLDEN)
 
 
-def _with_common_prefix(split: DataFrame, met: DataFrame, least: float, width: int) -> DataFrame:
+def _with_common_prefix(split: DataFrame, met: DataFrame, least: float, width: int, scratch: Scratch) -> DataFrame:
     """Distinct pairs (a, b) of unlike classes that can be ``least`` similar, found by the prefixes of their sets.
 
     With all sets in one order, two sets of similarity t share an element among the first
@@ -191,7 +191,7 @@ def _with_common_prefix(split: DataFrame, met: DataFrame, least: float, width: i
     always a text that is outside the largest class of one of its bands.
     """
     roles = split.groupBy("id").agg(F.min("class").alias("class"), F.max(F.col("class") != F.col("largest")).alias("minor"))
-    held = stage(met.select("id", "text").join(roles, "id"), "near-held")
+    held = scratch.stage(met.select("id", "text").join(roles, "id"), "near-held")
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -215,7 +215,7 @@ def _with_common_prefix(split: DataFrame, met: DataFrame, least: float, width: i
 
     prefixes.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     rows = held.select("id", "class", "minor", F.pandas_udf(prefixes, "n long, prefix array<long>")("text").alias("p"))
-    rows = stage(rows.select("id", "class", "minor", "p.n", F.posexplode("p.prefix").alias("at", "element")), "near-prefixes")
+    rows = scratch.stage(rows.select("id", "class", "minor", "p.n", F.posexplode("p.prefix").alias("at", "element")), "near-prefixes")
     one = rows.where("minor").select("element", F.col("id").alias("x"), F.col("class").alias("class_x"), F.col("n").alias("n_x"), F.col("at").alias("at_x"))
     # At the first element that two sets share, what is left of both must suffice for the overlap they need.
     enough = F.least(F.col("n") - F.col("at"), F.col("n_x") - F.col("at_x")) >= least / (1 + least) * (F.col("n") + F.col("n_x")) - 1e-6
@@ -241,9 +241,8 @@ def near_duplicates(
     ``class_key`` null. ``row_no`` tells the rows of the result apart, also repeated ones.
 
     Candidates meet in bands. Every member of a band is compared with the band's centre,
-    and the links found give classes. Where a band then still holds two classes, the members outside its
-    largest class are compared with the centre among themselves. For bands that hold two classes
-    even then, an exact join finds all similar pairs of different classes (see ``_with_common_prefix``). So no
+    and the links found give classes. For the texts in bands that still hold two classes, an exact
+    join finds all similar pairs of different classes (see ``_with_common_prefix``). So no
     pair that shares a band is lost, and a band of thousands of copies costs about one comparison
     per member.
     """
@@ -262,22 +261,21 @@ def near_duplicates(
     signed = every.where("sig is not null").groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     signed = stage(signed.withColumn("id", F.monotonically_increasing_id()), "near-signed")
     members = signed.select("id", F.explode("bands").alias("band"))
+    scratch = Scratch()
     sizes = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(members.join(sizes, "band"), "near-shared")
-    shared = stage(shared.select("id", "band").join(shared.groupBy("id").agg(F.sum("n").alias("met")), "id"), "near-members")
+    shared = scratch.stage(members.join(sizes, "band"), "near-shared")
+    shared = scratch.stage(shared.select("id", "band").join(shared.groupBy("id").agg(F.sum("n").alias("met")), "id"), "near-members")
     # Signature and text of those that share a band; the only time that texts are shuffled.
     met = signed.select("key", "id", "sig").join(shared.select("id").distinct(), "id")
-    met = stage(texts.join(met, "key").groupBy("id").agg(F.first("sig").alias("sig"), F.first("text").alias("text")), "near-texts")
-    pairs = stage(_with_centre(shared), "near-pairs")
-    links = _linked(pairs, met, least, width)
-    for last in (False, True):
-        split = _split(shared, components(links))
-        minor = split.where("class != largest")  # outside the band's largest class
-        left = _with_common_prefix(split, met, least, width) if last else _with_centre(minor)
-        left = stage(left.join(pairs, ["a", "b"], "left_anti"), "near-left")
-        links = links.union(_linked(left, met, least, width))
-        pairs = pairs.union(left)
-    classes = components(links)
+    met = texts.join(met, "key").groupBy("id").agg(F.first("sig").alias("sig"), F.first("text").alias("text"))
+    met = scratch.stage(met, "near-texts")
+    pairs = scratch.stage(_with_centre(shared), "near-pairs")
+    links = _linked(pairs, met, least, width, scratch)
+    split = _split(shared, components(links, scratch.stage), scratch)
+    left = _with_common_prefix(split, met, least, width, scratch).join(pairs, ["a", "b"], "left_anti")
+    more = _linked(scratch.stage(left, "near-left"), met, least, width, scratch)
+    classes = stage(components(links.union(more), scratch.stage), "near-classes")
+    scratch.drop()
     named = signed.select("key", "id").join(classes, F.col("id") == F.col("node"), "left")
     named = every.select(ROW, "row_no", "key").join(named.select("key", F.coalesce("component", "id").alias("class_key")), "key", "left")
     return unpack(named, "row_no", "class_key")

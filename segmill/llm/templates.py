@@ -87,9 +87,10 @@ def find_leaks(
     """
     keep = docs.columns if keep is None else keep
     source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])
-    packed = pack(source, row_no=F.monotonically_increasing_id(), text=source[f"`{text}`"])
-    kept = F.struct(*[F.col(ROW).getField(c).alias(c) for c in keep]).alias(ROW)
-    rows = stage(packed.select(kept, "row_no", "text"), "leak-rows")
+    packed = stage(pack(source, row_no=F.monotonically_increasing_id()), "leak-rows")
+    rows = packed.select(
+        F.struct(*[F.col(ROW).getField(c).alias(c) for c in keep]).alias(ROW), "row_no", F.col(ROW).getField(text).alias("text")
+    )
     items = benchmark.select(benchmark[f"`{item}`"].alias("item_id"), benchmark[f"`{item_text}`"].alias("item_text")).select(
         "item_id",
         F.monotonically_increasing_id().alias("item_no"),
