@@ -168,9 +168,8 @@ def run_training(spark: SparkSession, config: Config) -> TrainResult:
         write_csv(result.centers, paths.centers_csv_path, single=True)
     if paths.metrics_json_path:
         write_document(result.metrics, paths.metrics_json_path)
-    if paths.model_root:
-        save_bundle(spark, result.bundle, paths.model_root)
+    folder = save_bundle(spark, result.bundle, paths.model_root) if paths.model_root else None
     if paths.results_root:
-        info = result.bundle.info(spark, paths.model_root)
+        info = result.bundle.info(spark, folder)
         publish_results(spark, paths.results_root, result.profiles, result.centers, result.metrics, info)
     return result

@@ -134,8 +134,7 @@ def test_missing_bundle_is_an_error(spark, tmp_path):
 
 def test_bundle_record_without_label_order(spark, result, tmp_path):
     """A record as one indented document, without the fields this engine adds."""
-    root = tmp_path / "bundle"
-    save_bundle(spark, result.bundle, str(root))
+    root = Path(save_bundle(spark, result.bundle, str(tmp_path / "bundle")))
     record = result.bundle.info(spark, str(root)).first().asDict(recursive=True)
     del record["label_order"]
     folder = tmp_path / "other"
@@ -147,6 +146,78 @@ def test_bundle_record_without_label_order(spark, result, tmp_path):
     assert loaded.label_order == [] and loaded.feature_cols == ["a", "b"]
 
 
+def test_save_that_dies_leaves_the_earlier_bundle(spark, products, result, tmp_path, monkeypatch):
+    root = str(tmp_path / "bundle")
+    first = save_bundle(spark, result.bundle, root)
+    other = train(products, Preprocessing(), Training(k_min=3, k_max=3))
+    from segmill.sinks import bundle as sink
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sink, "write_document", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            save_bundle(spark, other.bundle, root)
+    assert load_bundle(spark, root).best_k == 2
+    second = save_bundle(spark, other.bundle, root)
+    assert first != second and load_bundle(spark, root).best_k == 3
+
+
+def test_run_published_last_is_the_latest_whatever_its_id(spark, result, tmp_path):
+    root, tables = str(tmp_path / "results"), (result.profiles, result.centers, result.metrics, result.bundle.info(spark))
+    publish_results(spark, root, *tables, run_id="v2")
+    last = publish_results(spark, root, *tables)
+    assert {r.run_id for r in read_published(spark, root, "training_metrics").collect()} == {last}
+
+
+def test_default_training_uses_every_row(spark):
+    df = spark.range(5000).select((F.col("id") % 2 * 100 + F.col("id") / 5000).alias("x"))
+    table = prepare_training(df)
+    assert (table.rows_total, table.rows_working) == (5000, 5000)
+
+
+def test_capped_table_is_not_read_by_few_tasks(spark, tmp_path):
+    """The scan of the whole table keeps its tasks; only the staged sample is read by a number that follows from its rows."""
+    spark.range(0, 40_000, 1, 8).select(F.col("id").cast("double").alias("x")).write.parquet(str(tmp_path / "t"))
+    source = spark.read.parquet(str(tmp_path / "t"))
+    for sampling in ("hash", "bernoulli"):
+        table = prepare_training(source, Preprocessing(target_n=9000, sampling=sampling))
+        plan = table.df._jdf.queryExecution().executedPlan().toString()
+        assert "Coalesce" not in plan and str(tmp_path / "t") not in plan
+        assert table.rows_working == table.df.count() <= 9000
+
+
+def test_features_called_like_results(spark, tmp_path):
+    n = F.col("id")
+    df = spark.range(60).select(
+        (n % 2 * 100 + n % 3).alias("n"), (n % 2 * 50.0 + n).alias("prediction"), (n % 5).alias("features"), n.alias("a"), (n % 7).alias("a_imp")
+    )
+    result = train(df, Preprocessing(), Training(k_max=3))
+    assert result.profiles.columns == ["prediction", "n", "n_", "prediction_", "features_", "a", "a_imp"]
+    assert result.labelled.columns == ["n_", "prediction_", "features_", "a", "a_imp", "prediction"]
+    save_bundle(spark, result.bundle, str(tmp_path / "b"))
+    assert sorted(predict(df, load_bundle(spark, str(tmp_path / "b"))).collect()) == sorted(result.labelled.collect())
+
+
+def test_kept_feature_appears_once_as_it_was(products, result):
+    kept = predict(products, result.bundle, keep=["a", "a"])
+    assert kept.columns == ["a", "product_name_langs", "product_name_texts", "b", "prediction"]
+    assert dict(kept.dtypes)["a"] == "int" and kept.count() == 400
+
+
+def test_release_deletes_the_working_table(spark):
+    df = spark.range(100).select((F.col("id") % 2 * 100 + F.col("id")).alias("x"))
+    result = train(df, Preprocessing(), Training(k_max=3))
+    files = result.prepared.df.inputFiles()
+    result.release()
+    assert files and not any(Path(f.removeprefix("file://")).exists() for f in files)
+
+
+def test_malformed_json(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"a": 1}\n{"a": \n')
+    with pytest.raises(Exception):
+        read_json_rows(spark, str(tmp_path / "x.json"), "a int").collect()
+    assert [r.a for r in read_json_rows(spark, str(tmp_path / "x.json"), "a int", on_bad="null").collect()] == [1, None]
+
+
 def test_configured_jobs_write_every_output(spark, products, tmp_path):
     source = str(tmp_path / "products.parquet")
     products.write.parquet(source)

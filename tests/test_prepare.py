@@ -5,6 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from segmill.operators import quantiles
 from segmill.operators.prepare import fit_imputer, fit_preparation
@@ -87,3 +88,17 @@ def test_plain_names_do_not_collide(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "`a.b` double, a_b double")
     chain = fit_preparation(df, ["a.b", "a_b"])
     assert chain.apply(df).select(vector_to_array("features_raw").alias("v")).first().v == [1.0, 2.0]
+
+
+@pytest.mark.parametrize("rows", [20_001, 60_000])
+def test_passes_do_not_depend_on_the_shape(spark, rows):
+    """Values over 600 powers of two: bins of equal width would need a pass for every few of them."""
+    rng = np.random.default_rng(2)
+    values = [2.0 ** rng.uniform(-300, 300) for _ in range(rows)]
+    found, passes = quantiles.search(spark.createDataFrame([(v,) for v in values], "a double"), ["a"], 0.5)
+    assert found == {"a": lower_quantile(values, 0.5)} and passes <= 4
+
+
+def test_a_thousand_columns(spark):
+    df = spark.range(50).select(*[(F.col("id") * (i + 1)).alias(f"c{i}") for i in range(1000)])
+    assert exact_quantiles(df, df.columns) == {f"c{i}": 24.0 * (i + 1) for i in range(1000)}

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,9 +59,36 @@ def test_hot_key_and_identical_rows(spark, monkeypatch, edge):
     assert cap_rows(df.where("k = -1"), 1999, mode="hash").count() == 1999
 
 
-def test_columns_that_cannot_be_hashed(spark):
-    df = spark.range(50).select("id", F.create_map(F.lit("a"), F.col("id")).alias("m"))
-    assert cap_rows(df, 20, mode="hash").count() == 20
+def test_maps_count_for_the_order(spark):
+    df = spark.range(50).select(F.create_map(F.lit("b"), F.lit(0).cast("long"), F.lit("a"), F.col("id")).alias("m"))
+    other = spark.range(50).select(F.create_map(F.lit("a"), F.col("id"), F.lit("b"), F.lit(0).cast("long")).alias("m"))
+    ranks = [sorted(r[0] for r in d.repartition(n).select(row_rank(d)).collect()) for d, n in ((df, 3), (other, 7))]
+    assert ranks[0] == ranks[1] and len(set(ranks[0])) == 50
+
+
+def test_cut_through_equal_rows_sorts_few_of_them(spark, monkeypatch):
+    """One row is two thirds of the table, and the cut lies among its copies."""
+    monkeypatch.setattr(sampling, "_EDGE_ROWS", 50)
+    df = stage(spark.range(9000).select(F.when(F.col("id") < 6000, -1).otherwise(F.col("id")).alias("k")), "equal")
+    for n in (3001, 4500, 8999):
+        cut = cap_rows(df, n, mode="hash")
+        limits = re.findall(r"TakeOrderedAndProject\(limit=(\d+)", cut._jdf.queryExecution().executedPlan().toString())
+        assert cut.count() == n and all(int(x) <= 50 for x in limits)
+
+
+@pytest.mark.parametrize("n", [49, 51])
+def test_bernoulli_acts_alike_around_the_old_threshold(numbers, monkeypatch, n):
+    monkeypatch.setattr(sampling, "_EDGE_ROWS", 50)
+    sampled = rows_of(cap_rows(numbers, n, seed=3))
+    drawn = numbers.sample(False, n / 5000, 3)
+    assert sampled == brute_force(drawn, row_rank(drawn, 3), n)
+
+
+def test_distinct_sample_by_keys(spark):
+    df = spark.range(4000).select((F.col("id") % 1000).alias("k"), (F.col("id") % 1000 / 7).alias("x"))
+    sample, rows = distinct_sample(df, 120, 42, 4000, ["k"])
+    whole = df.dropDuplicates()
+    assert rows == 120 and rows_of(sample) == brute_force(whole, row_rank(whole, 42, ["k"]), 120)
 
 
 def test_arguments(numbers):
