@@ -20,9 +20,11 @@ from segmill.operators.features import column_stats, numeric_columns, usable_fea
 from segmill.operators.prepare import VECTOR, fit_imputer, fit_preparation
 from segmill.operators.project import align, flatten_names, json_safe, training_columns
 from segmill.operators.sampling import cap_rows, distinct_sample
-from segmill.operators.staging import staging_path
+from segmill.operators.staging import stage, staging_path
 from segmill.operators.text import word_count
-from segmill.plans import Preprocessing, Training, TrainResult, predict, prepare_training, train
+from segmill.plans import (
+    Config, DataPaths, Preprocessing, Training, TrainResult, predict, prepare_training, run_prediction, run_training, train,
+)
 from segmill.sinks import publish_results, read_published, save_bundle, write_csv, write_document, write_json_rows
 from segmill.sources import load_bundle, read_json_rows, read_lines, read_table
 
@@ -99,7 +101,7 @@ def _train_blobs(spark: SparkSession, sf_dir: str) -> TrainResult:
 
 
 def _prepared_blobs(spark: SparkSession, sf_dir: str):
-    blobs = training_columns(_blobs(spark, sf_dir), ["x", "y"])
+    blobs = stage(training_columns(_blobs(spark, sf_dir), ["x", "y"]), "blobs")
     chain = fit_preparation(blobs, ["x", "y"])
     return chain, chain.apply(blobs)
 
@@ -179,11 +181,22 @@ def json_safe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_tax").dropDuplicates()
+    lines = _read(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_tax")
+    rows = lines.count()
+    return distinct_sample(lines, rows, 42, rows)[0]
 
 
 def sample_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cap_rows(_read(spark, sf_dir, "lineitem"), 2000, seed=42, mode="bernoulli")
+    """One row about the sample: whether its size is within bounds, and rows it has more often than the table."""
+    lines = _read(spark, sf_dir, "lineitem")
+    sample = stage(cap_rows(lines, 2000, seed=42, mode="bernoulli"), "sample")
+    whole = lines.groupBy(*lines.columns).agg(F.count("*").alias("there"))
+    again = sample.groupBy(*lines.columns).agg(F.count("*").alias("here"))
+    same = [whole[c].eqNullSafe(again[c]) for c in lines.columns]
+    strange = again.join(whole, same, "left").where(F.coalesce("there", F.lit(0)) < F.col("here"))
+    return sample.agg((F.count("*") <= 2000).alias("at_most"), (F.count("*") > 1700).alias("enough")).join(
+        strange.agg(F.count("*").alias("strange"))
+    )
 
 
 def sample_repeatable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,8 +204,10 @@ def sample_repeatable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _read(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_tax")
-    return distinct_sample(lines, 1000, 42, lines.count())[0]
+    """A sample of the distinct parts per supplier, from a table that has each of them several times."""
+    lines = _read(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
+    lines = lines.unionByName(lines)
+    return distinct_sample(lines, 1000, 42, lines.count(), ["l_partkey", "l_suppkey"])[0]
 
 
 def prepare_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +215,15 @@ def prepare_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepare_training_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_training(_read(spark, sf_dir, "lineitem")).df
+    options = Preprocessing(target_n=2000, sample_keys=("l_orderkey", "l_linenumber"))
+    return prepare_training(_read(spark, sf_dir, "lineitem"), options).df
+
+
+def default_train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training with default options: every distinct row counts."""
+    result = train(_read(spark, sf_dir, "lineitem").select(*LINE_FEATURES), training=Training(k_max=3))
+    in_profiles = result.profiles.agg(F.sum("n").alias("rows_in_profiles"))
+    return result.metrics.select("rows_total", "rows_working").join(in_profiles)
 
 
 # Imputation and standardisation
@@ -215,6 +238,16 @@ def median_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fitted_values(spark, sf_dir, LINE_FEATURES, "median").select(*LINE_FEATURES)
 
 
+def median_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians of columns that spread over hundreds of powers of two, and of one that is mostly one value."""
+    lines = _read(spark, sf_dir, "lineitem").select(
+        F.pow(F.lit(2.0), F.col("l_orderkey") % 2000 - 1000).alias("wide"),
+        (F.pow(F.lit(2.0), F.col("l_partkey") % 600 - 300) * F.when(F.col("l_suppkey") % 2 == 0, -1).otherwise(1)).alias("signed"),
+        F.when(F.col("l_linenumber") < 5, 1.0).otherwise(F.col("l_extendedprice")).alias("heavy"),
+    )
+    return fit_imputer(lines, lines.columns, "median").surrogateDF.select(*lines.columns)
+
+
 def mean_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = _fitted_values(spark, sf_dir, LINE_FEATURES, "mean")
     return means.select(*[_rounded(F.col(c), 4, c) for c in LINE_FEATURES])
@@ -289,10 +322,30 @@ def cluster_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("prediction", *[_rounded(named(c), 6, c) for c in ("x", "y")])
 
 
-def lineitem_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _line_segments(spark: SparkSession, sf_dir: str) -> TrainResult:
     """The whole of lineitem: prepared, searched for k = 2 to 10, profiled."""
-    lines = _read(spark, sf_dir, "lineitem").select(*LINE_FEATURES)
-    return train(lines, Preprocessing(target_n=None)).profiles
+    return train(_read(spark, sf_dir, "lineitem").select(*LINE_FEATURES))
+
+
+def lineitem_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for any clustering: rows and averages add up, and every row has the label of the nearest center."""
+    result = _line_segments(spark, sf_dir)
+    profiles, scaler = result.profiles, result.bundle.scaler
+    averages = [
+        F.round(F.sum(F.col("n") * F.col(c)) / F.sum("n"), 2).alias(c) for c in LINE_FEATURES
+    ]  # profiles are rounded to four digits
+    std = scaler.std.toArray().tolist()
+    gaps = [
+        F.struct(
+            sum(((F.col(c) - F.lit(float(center[c]))) / F.lit(s)) ** 2 for c, s in zip(LINE_FEATURES, std)).alias("gap"),
+            F.lit(center["prediction"]).alias("label"),
+        )
+        for center in result.centers.collect()  # k rows
+    ]
+    nearest = F.array_min(F.array(*gaps))
+    own = F.filter(F.array(*gaps), lambda g: g["label"] == F.col("prediction"))[0]["gap"]
+    wrong = result.labelled.where(own > nearest["gap"] * (1 + 1e-9) + 1e-9).agg(F.count("*").alias("misplaced"))
+    return profiles.agg(F.sum("n").alias("rows"), *averages).join(wrong)
 
 
 # Whole jobs
@@ -329,11 +382,108 @@ def train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(_blobs(spark, sf_dir), load_bundle(spark, root))
 
 
-def published_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predict_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels for a table with every row twice, without one feature and without names: gaps take the medians."""
+    bundle = _train_blobs(spark, sf_dir).bundle
+    blobs = _blobs(spark, sf_dir).select("x", F.lit("?").alias("other"))
+    return predict(blobs.unionByName(blobs), bundle).select("product_name", "x", "y", (F.col("prediction") >= 0).alias("labelled"))
+
+
+def predict_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels with a key that is a feature as well: it comes once, as it is in the table."""
+    group = F.col("o_orderkey") % 3
+    keyed = _read(spark, sf_dir, "orders").select((group * 1000 + F.col("o_custkey") % 10).alias("key"), (group * -500).alias("y"))
+    bundle = train(keyed, training=Training(k_min=3, k_max=3)).bundle
+    return predict(keyed, bundle, dedup=False, keep=["key"])
+
+
+def feature_called_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of a table whose features are called like columns of the result."""
+    group = F.col("o_orderkey") % 3
+    orders = _read(spark, sf_dir, "orders").select(
+        (group * 1000 + F.col("o_custkey") % 10).alias("n"), (group * -500 + F.col("o_orderkey") % 1000 / 1000).alias("prediction")
+    )
+    return train(orders, training=Training(k_min=3, k_max=3)).profiles
+
+
+def _published(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The result table after two runs of which the later one has the smaller id."""
     result, root = _train_blobs(spark, sf_dir), staging_path(spark, "results")
-    info = result.bundle.info(spark)
-    publish_results(spark, root, result.profiles, result.centers, result.metrics, info)
-    return read_published(spark, root, "cluster_profiles").drop("run_id")
+    info = result.bundle.info(spark, "bundles/blobs")
+    publish_results(spark, root, result.profiles.limit(0), result.centers.limit(0), result.metrics.limit(0), info.limit(0), "v2")
+    publish_results(spark, root, result.profiles, result.centers, result.metrics, info, "v1")
+    return read_published(spark, root, table)
+
+
+def published_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, sf_dir, "cluster_profiles").drop("run_id")
+
+
+def published_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    centers = _published(spark, sf_dir, "cluster_centers")
+    return centers.select("run_id", "prediction", *[_rounded(named(c), 6, c) for c in ("x", "y")])
+
+
+def published_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, sf_dir, "training_metrics").select(
+        "run_id", "best_k", _rounded(F.col("best_score"), 6, "best_score"), "metric_name", "rows_total", "rows_working",
+        "features_count", F.concat_ws(",", "features").alias("features"),
+    )
+
+
+def published_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, sf_dir, "model_info").select(
+        "run_id", "model_type", "best_k", F.regexp_extract("input_path", r"[^/]+$", 0).alias("input_file"),
+        F.concat_ws(",", "feature_cols").alias("feature_cols"), F.concat_ws(",", "label_order").rlike("^[012],[012],[012]$").alias("ordered"),
+        F.concat_ws(",", "artifacts.kmeans_model", "artifacts.imputer_model", "artifacts.scaler_model").alias("artifacts"),
+    )
+
+
+def configured_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train and predict from a configuration with paths only; what the written files hold."""
+    root = staging_path(spark, "configured")
+    _blobs(spark, sf_dir).write.parquet(f"{root}/input")
+    outputs = {f: f"{root}/{f}" for f in DataPaths.__dataclass_fields__ if f != "input_path"}
+    config = Config(DataPaths(input_path=f"{root}/input", **outputs), training=Training(k_max=3))
+    run_training(spark, config)
+    run_prediction(spark, config)
+    csv = spark.read.option("header", True)
+    labelled = csv.csv(outputs["predictions_csv_path"]).groupBy("prediction").agg(F.count("*").alias("labelled"))
+    trained = csv.csv(outputs["clusters_csv_path"]).groupBy("prediction").agg(F.count("*").alias("trained"))
+    profiles = csv.csv(outputs["profiles_csv_path"]).select("prediction", F.col("n").cast("long").alias("n"))
+    centers = csv.csv(outputs["centers_csv_path"])
+    files = csv.csv(outputs["profiles_csv_path"]).select(F.input_file_name().alias("file"))
+    single = files.agg(F.count_distinct("file").alias("files"))
+    rows = profiles.join(labelled, "prediction").join(trained, "prediction").join(centers.select("prediction", _rounded(F.col("x").cast("double"), 4, "x")), "prediction")
+    return rows.join(single).withColumn("prediction", F.col("prediction").cast("int"))
+
+
+def guard_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each guard says of a table it cannot take."""
+    events, nation = _events_gaps(spark, sf_dir), _read(spark, sf_dir, "nation")
+    tables = {
+        "no_numbers": nation.select("n_name"),
+        "no_rows": events.where("false"),
+        "no_filled": events.select(F.when(F.col("event_id") % 2 == 0, F.col("event_id")).alias("half")),
+        "no_varying": events.select("flat"),
+        "few_rows": events.agg(F.max("event_id").alias("m")).select(F.explode(F.array(F.col("m"), F.lit(0).cast("long"))).alias("m")),
+    }
+    said = []
+    for name, table in tables.items():
+        try:
+            train(table)
+        except ValueError as error:
+            said.append((name, str(error)))
+    return spark.createDataFrame(said, "guard string, message string")
+
+
+def job_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job groups of a search, one per k, and whether each ran jobs."""
+    _, prepared = _prepared_blobs(spark, sf_dir)
+    scores = cluster.sweep(prepared, 2, 4).scores
+    tracker = spark.sparkContext.statusTracker()
+    rows = [(f"kmeans-k-{k}", len(tracker.getJobIdsForGroup(f"kmeans-k-{k}")) > 0) for k, _ in scores]
+    return spark.createDataFrame(rows, "job_group string, ran boolean")
 
 
 # Files and text
@@ -363,17 +513,18 @@ def word_counts_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Segments of the line items: profile per cluster of the best clustering."""
-    return lineitem_segments(spark, ENTRY_DIR)
+    return _line_segments(spark, ENTRY_DIR).profiles
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
         column_fill_stats, feature_selection, cast_features, flatten_names_array, flatten_names_struct,
         flatten_names_scalar, align_schema, json_safe_rows, dedup_rows, sample_bernoulli, sample_repeatable,
-        sample_distinct, prepare_training_rows, prepare_training_capped, median_values, mean_values, mode_values,
+        sample_distinct, prepare_training_rows, prepare_training_capped, default_train_rows, median_values, median_skewed, mean_values, mode_values,
         impute_rows, standardise_rows, cluster_profile, silhouette_by_label, silhouette_cosine, kmeans_labels,
         kmeans_sweep, sweep_scores, cluster_centers, lineitem_segments, train_labels, training_metrics, model_info,
-        train_predict, published_profiles, csv_round_trip, json_rows, word_counts, word_counts_from_lines,
+        train_predict, predict_gaps, predict_keyed, feature_called_n, published_profiles, published_centers,
+        published_metrics, published_info, configured_run, guard_messages, job_groups, csv_round_trip, json_rows, word_counts, word_counts_from_lines,
     ]
     named = {query.__name__: query for query in registered}
     return named | llm_queries.queries() if llm_queries else named
@@ -501,6 +652,27 @@ def oracle_sql() -> dict[str, str]:
         "dedup_rows": "select distinct l_quantity, l_discount, l_tax from lineitem",
         "sample_repeatable": """
             select * from orders order by md5(concat(o_orderkey, '#42')), o_orderkey limit 1000""",
+        "sample_bernoulli": "select true as at_most, true as enough, 0::bigint as strange",
+        "sample_distinct": """
+            select distinct on (l_partkey, l_suppkey) l_partkey, l_suppkey from lineitem
+            qualify dense_rank() over (order by md5(concat_ws('#', l_partkey, l_suppkey, 42)), l_partkey, l_suppkey) <= 1000""",
+        "prepare_training_capped": """
+            select l_orderkey::double as l_orderkey, l_partkey::double as l_partkey, l_suppkey::double as l_suppkey,
+                l_linenumber::double as l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax
+            from (select distinct l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax
+                from lineitem)
+            order by md5(concat_ws('#', l_orderkey::double, l_linenumber::double, 42)) limit 2000""",
+        "default_train_rows": f"""
+            select (select count(*) from lineitem) as rows_total, count(*) as rows_working, count(*) as rows_in_profiles
+            from (select distinct {", ".join(LINE_FEATURES)} from lineitem)""",
+        "lineitem_segments": f"""
+            select count(*) as rows, {", ".join(f"round(avg({c}), 2) as {c}" for c in LINE_FEATURES)}, 0::bigint as misplaced
+            from (select distinct {", ".join(LINE_FEATURES)} from lineitem)""",
+        "median_skewed": """
+            select quantile_disc(power(2.0::double, l_orderkey % 2000 - 1000), 0.5) as wide,
+                quantile_disc(power(2.0::double, l_partkey % 600 - 300) * case when l_suppkey % 2 = 0 then -1 else 1 end, 0.5) as signed,
+                quantile_disc(case when l_linenumber < 5 then 1.0::double else l_extendedprice end, 0.5) as heavy
+            from lineitem""",
         "prepare_training_rows": f"""
             with {_FLAWED}
             select distinct event_id::double as event_id, user_id::double as user_id, value from flawed""",
@@ -559,6 +731,39 @@ def oracle_sql() -> dict[str, str]:
             with {_BLOBS}
             select prediction, count(*) as n, round(avg(x), 4) as x, round(avg(y), 4) as y
             from blobs group by prediction""",
+        "predict_gaps": f"""
+            with {_BLOBS} select distinct null::varchar as product_name, x::double as x, null::double as y, true as labelled from blobs""",
+        "predict_keyed": """
+            select (o_orderkey % 3) * 1000 + o_custkey % 10 as key, ((o_orderkey % 3) * -500)::double as y,
+                (o_orderkey % 3)::integer as prediction
+            from orders""",
+        "feature_called_n": """
+            select prediction, count(*) as n, round(avg(a), 4) as n_, round(avg(b), 4) as prediction_
+            from (select distinct (o_orderkey % 3)::integer as prediction, (o_orderkey % 3) * 1000 + o_custkey % 10 as a,
+                    (o_orderkey % 3) * -500 + o_orderkey % 1000 / 1000 as b from orders)
+            group by prediction""",
+        "published_centers": f"""
+            with {_BLOBS} select 'v1' as run_id, prediction, round(avg(x), 6) as x, round(avg(y), 6) as y from blobs group by prediction""",
+        "published_metrics": f"""
+            with {_BLOBS}, {_BLOB_POINTS}, {blob_score}
+            select 'v1' as run_id, 3::integer as best_k, round(score, 6) as best_score, 'silhouette' as metric_name,
+                (select count(*) from blobs) as rows_total, (select count(*) from blobs) as rows_working,
+                2::integer as features_count, 'x,y' as features
+            from score""",
+        "published_info": """
+            select 'v1' as run_id, 'pyspark.ml.clustering.KMeansModel' as model_type, 3::integer as best_k, 'orders.parquet' as input_file,
+                'x,y' as feature_cols, true as ordered,
+                'bundles/blobs/kmeans_model,bundles/blobs/imputer_model,bundles/blobs/scaler_model' as artifacts""",
+        "configured_run": f"""
+            with {_BLOBS}
+            select prediction, count(*) as n, count(*) as labelled, count(*) as trained, round(avg(x), 4) as x, 1::bigint as files
+            from blobs group by prediction""",
+        "guard_messages": """
+            select * from (values ('no_numbers', 'no numeric columns in the input table'), ('no_rows', 'the input table is empty'),
+                ('no_filled', 'no numeric column is filled in at least 0.9 of the rows'),
+                ('no_varying', 'no numeric feature column is left: all of them are constant or hold non-finite values'),
+                ('few_rows', 'too few rows to form 2 clusters')) as t(guard, message)""",
+        "job_groups": "select 'kmeans-k-' || k as job_group, true as ran from generate_series(2, 4) as t(k)",
         "csv_round_trip": "select * from customer",
         "json_rows": "select * from part",
         "word_counts": word_sql,
