@@ -79,7 +79,7 @@ def find_leaks(
     """The documents (columns ``keep``, all by default, packed with ``row_no``), and the leaks among them.
 
     A leak is a row ``row_no, item_id, n_windows, item_windows, coverage, n_slots, n_changed``: along its
-    best alignment the document holds at least ``coverage`` of the item's windows, and the
+    best alignment the document holds at least ``coverage`` of the item's usable windows, and the
     slots in them are consistent. ``n_changed`` of them differ in value (after case), so 0 means a literal
     copy. Items of fewer than ``width`` tokens are matched as one window of their own
     length, from three tokens on; items without a usable window, null items and null
@@ -98,23 +98,25 @@ def find_leaks(
         raw_tokens(F.col("item_text")).alias("raw"),
     )
     items = stage(items.where(F.size("tokens") >= min(3, width)).withColumn("width", F.least(F.size("tokens"), F.lit(width))), "leak-items")
-    found = None
+    found, usable_windows = None, None
     for (w,) in items.select("width").distinct().orderBy("width").collect():  # at most `width` values
         own = items.where(F.col("width") == w)
         keys = own.select("item_no", "tokens", F.posexplode(_windows(F.col("tokens"), w)).alias("item_at", "hash"))
         keys = stage(keys.where(_plain_enough(F.col("tokens"), F.col("item_at"), w)).select("hash", "item_no", "item_at"), "leak-keys")
         tokens = rows.select("row_no", canonical_tokens(F.col("text")).alias("tokens"))
         windows = tokens.select("row_no", F.posexplode(_windows(F.col("tokens"), w)).alias("at", "hash"))
+        counts = keys.groupBy("item_no").agg(F.count("*").cast("int").alias("item_windows"))
+        usable_windows = counts if usable_windows is None else usable_windows.union(counts)
         small = keys.count() <= BROADCAST_WINDOWS
         met = windows.join(F.broadcast(keys) if small else keys, "hash").select("row_no", "item_no", "at", "item_at")
         found = met.withColumn("width", F.lit(w)) if found is None else found.union(met.withColumn("width", F.lit(w)))
     if found is None:
         found = rows.select("row_no", F.lit(0).cast("long").alias("item_no"), F.lit(0).alias("at"), F.lit(0).alias("item_at"), F.lit(0).alias("width"))
         found = found.where(F.lit(False))
+        usable_windows = found.select("item_no", F.lit(1).alias("item_windows"))
     shift = (F.col("at") - F.col("item_at")).alias("shift")
     lines = found.groupBy("row_no", "item_no", "width", shift).agg(F.collect_set("item_at").alias("starts"))
-    usable = items.select("item_no", "item_id", "tokens", "raw", F.size(_windows(F.col("tokens"), width)).alias("all_windows"))
-    usable = usable.withColumn("item_windows", F.greatest("all_windows", F.lit(1)))
+    usable = items.select("item_no", "item_id", "tokens", "raw").join(usable_windows, "item_no")
     lines = lines.join(usable.select("item_no", "item_windows"), "item_no").where(F.size("starts") >= coverage * F.col("item_windows"))
     lines = stage(lines, "leak-lines")
     wanted = lines.select("row_no").distinct()
