@@ -1,6 +1,8 @@
 """Every registered query against its SQL counterpart, on whole generated tables."""
 
 import os
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -51,3 +53,13 @@ def test_every_oracle_has_a_query():
 
 def test_entry(spark):
     assert contract.entry(spark).count() >= 2
+
+
+def test_contract_without_the_training_data_part():
+    code = (
+        "import sys; sys.modules['segmill.llm'] = None; import __spark_entry__ as e; "
+        "assert 'pipeline' not in e.queries() and 'word_counts' in e.queries() and set(e.oracle_sql()) <= set(e.queries())"
+    )
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-500:]
