@@ -177,3 +177,10 @@ def test_op9_recall(spark):
 
 def test_modules_are_independent_of_the_rest():
     assert all(m.__name__.startswith("segmill.llm.") for m in (long_matches, mixing, multi_index, toxicity))
+
+
+@pytest.mark.parametrize("name", ["op4_decontamination", "op8_mixing"])
+def test_native_queries_run_no_python(spark, name):
+    out = queries.queries()[name](spark, SF)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|PythonRDD|ExternalRDD", plan)
