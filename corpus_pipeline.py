@@ -14,6 +14,12 @@ from segmill.operators.staging import staging_path
 from segmill.sources import read_table
 
 
+def _shielded(docs: DataFrame, *results: str) -> tuple[DataFrame, list]:
+    """``docs`` with other names for columns called like ``results``, and the columns that bring the names back."""
+    other = {c: f"__kept_{i}" for i, c in enumerate(docs.columns) if c.lower() in results}
+    return docs.withColumnsRenamed(other), [F.col(f"`{other.get(c, c)}`").alias(c) for c in docs.columns]
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the classifier scores at the threshold or above; fitted on labels that are not held out."""
     forest = quality.fit(docs, read_table(spark, f"{sf_dir}/labels.parquet"))
@@ -22,7 +28,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each class of near duplicates, and all without words."""
-    return darts.first_of_each(darts.near_duplicates(docs)).select(*docs.columns)
+    shielded, columns = _shielded(docs, "row_no", "class_key")
+    return darts.first_of_each(darts.near_duplicates(shielded)).select(*columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +39,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by ``[SECRET]`` and counts the characters anew; keeps all documents."""
-    found = secrets.find_secrets(docs)
-    return found.withColumn("text", secrets.redact(F.col("text"), F.col("spans"))).select(
-        *[F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    )
+    shielded, columns = _shielded(docs, "n_assign", "n_access", "n_hex", "n_random", "base", "spans")
+    found = secrets.find_secrets(shielded)
+    clean = found.withColumn("text", secrets.redact(F.col("text"), F.col("spans"))).select(*columns)
+    return clean.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -95,6 +95,15 @@ def test_stages_take_empty_and_odd_tables(spark):
             assert stage(spark, docs, SF).count() <= docs.count()
 
 
+def test_stages_keep_columns_called_like_results(spark):
+    extra = ["row_no", "class_key", "spans", "base", "row", "key", "score", "n_random", "tokens"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({c: F.lit(f"kept {c}") for c in extra})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert out.select(*extra).distinct().collect() == [tuple(f"kept {c}" for c in extra)]
+
+
 def test_queries_are_registered():
     names = set(queries.queries())
     assert names <= set(contract.queries()) and "pipeline" in names
