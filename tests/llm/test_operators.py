@@ -34,7 +34,7 @@ def odd_rows(seed=1):
 @pytest.fixture(scope="module")
 def odd(spark):
     df = spark.createDataFrame(odd_rows(), DOCS).repartition(3)
-    return df.withColumns({c: F.lit(7) for c in CLASHES}).cache()
+    return df.withColumns({c: F.lit(7) for c in CLASHES})
 
 
 @pytest.fixture(scope="module")
