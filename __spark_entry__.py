@@ -215,7 +215,7 @@ def prepare_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepare_training_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    options = Preprocessing(target_n=2000, sample_keys=("l_orderkey", "l_linenumber"))
+    options = Preprocessing(target_n=2000, sample_keys=("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     return prepare_training(_read(spark, sf_dir, "lineitem"), options).df
 
 
@@ -661,7 +661,8 @@ def oracle_sql() -> dict[str, str]:
                 l_linenumber::double as l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax
             from (select distinct l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax
                 from lineitem)
-            order by md5(concat_ws('#', l_orderkey::double, l_linenumber::double, 42)) limit 2000""",
+            order by md5(concat_ws('#', l_orderkey::double, l_partkey::double, l_suppkey::double, l_linenumber::double, 42))
+            limit 2000""",
         "default_train_rows": f"""
             select (select count(*) from lineitem) as rows_total, count(*) as rows_working, count(*) as rows_in_profiles
             from (select distinct {", ".join(LINE_FEATURES)} from lineitem)""",
