@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmill.operators.staging import drop_staged, stage
@@ -38,6 +38,18 @@ def unpack(df: DataFrame, *results: str) -> DataFrame:
     return df.select(*[F.col(ROW).getField(f).alias(f) for f in fields], *results)
 
 
+#: Rows that a Python worker gets at once. Spark's default of 10,000 whole texts of up to
+#: 100,000 characters would be a GB.
+BATCH_ROWS = 1000
+_BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches from Spark's default to ``BATCH_ROWS``; a number that the caller set stays."""
+    if spark.conf.get(_BATCHES) == "10000":
+        spark.conf.set(_BATCHES, str(BATCH_ROWS))
+
+
 class Scratch:
     """Staged tables of one operator that its result does not read; ``drop`` deletes them."""
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmill.llm.common import GOLDEN, ROW, Scratch, mix64, pack, unit, unpack
+from segmill.llm.common import GOLDEN, ROW, Scratch, bounded_batches, mix64, pack, unit, unpack
 from segmill.llm.components import components
 from segmill.llm.toxicity import word_hashes
 from segmill.operators.staging import stage
@@ -246,6 +246,7 @@ def near_duplicates(
     pair that shares a band is lost, and a band of thousands of copies costs about one comparison
     per member.
     """
+    bounded_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
 
     @F.pandas_udf("sig binary, bands array<long>")

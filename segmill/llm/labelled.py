@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmill.llm.common import held_out
+from segmill.llm.common import bounded_batches, held_out
 
 _SCALE = 1 << 40
 
@@ -19,6 +19,7 @@ def training_texts(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
     ``most`` rows of two numbers. Labels other than 0 and 1 and null ids are left out; an
     id labelled more than once gets the majority's label, 1 if they are even.
     """
+    bounded_batches(docs.sparkSession)
     known = (
         labels.select(labels["doc_id"], labels[label].cast("int").alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))

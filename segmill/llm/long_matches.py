@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmill.llm.common import ROW, mix64, pack, unpack
+from segmill.llm.common import ROW, bounded_batches, mix64, pack, unpack
 from segmill.llm.run_index import matching_statistics
 from segmill.operators.staging import stage
 
@@ -218,6 +218,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None =
     ``length`` lose nothing; rows with equal texts of ``length`` or more lose all.
     Result columns replace kept ones of the same name.
     """
+    bounded_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])
     whole = F.coalesce(source[f"`{text}`"].cast("string"), F.lit(""))

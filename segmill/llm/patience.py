@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmill.llm.common import ROW, pack, unpack
+from segmill.llm.common import ROW, bounded_batches, pack, unpack
 
 #: Least coverage of a template.
 COVERAGE = 0.8
@@ -201,6 +201,7 @@ def scan_licenses(
     of the same name. Null and empty texts give no row, repeated rows are each reported, and an empty table gives an
     empty one. One pass, no shuffle.
     """
+    bounded_batches(docs.sparkSession)
     known = templates(TEMPLATES if texts is None else texts)
     keep = docs.columns if keep is None else keep
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmill.llm import darts, html_text, long_matches, mixing, multi_index, patience, quality, secrets, templates, toxicity
-from segmill.llm.common import held_out, unpack
+from segmill.llm.common import bounded_batches, held_out, unpack
 from segmill.sources import read_table
 
 
@@ -49,6 +49,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     pages = _read(spark, sf_dir, "pages")
     text = pages.select("page_id", "url", html_text.extract(F.col("html")).alias("text"))
     return text.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmill.llm.common import pack, unpack
+from segmill.llm.common import bounded_batches, pack, unpack
 from segmill.operators.staging import stage
 
 # Fixed patterns of the contract.
@@ -212,6 +212,7 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
 
     One pass over the texts. The driver gets 130 sums and the counts per length class and step.
     """
+    bounded_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     kept = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])
     packed = pack(kept, found=F.pandas_udf(_scan, _FOUND)(kept[f"`{text}`"]))
