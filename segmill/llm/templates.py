@@ -3,8 +3,10 @@
 Numbers, units after numbers, and names (capitalised words inside a sentence) become typed
 placeholders, one token each. Windows of canonical tokens of the documents are hash-joined
 with those of the benchmark items; so a question is found again although its numbers and
-names were exchanged. A find counts if, along one alignment, the slots are consistent: the
-same value of the item always stands for the same value of the document, and the other way round.
+names were exchanged. Windows are added up over neighbouring shifts (document position minus
+item position), so words put in or taken out do not split a copy; a name of several words is one
+placeholder. A find counts if, along one alignment, the slots are consistent: the same value of
+the item always stands for the same value of the document, and the other way round.
 
 Only DataFrame functions are used. The benchmark's windows are broadcast up to
 ``BROADCAST_WINDOWS`` rows of three numbers, beyond that the join is shuffled; texts are
@@ -25,6 +27,8 @@ COVERAGE = 0.5
 #: A window needs this many tokens that are not placeholders.
 LEAST_PLAIN = 3
 BROADCAST_WINDOWS = 200_000
+#: Shifts are added up over the length of the item, and at least over this many.
+LEAST_REACH = 16
 
 # Placeholders (characters that no token pattern takes) and the units known, in plain text.
 NUMBER, UNIT, NAME = "ⓝ", "ⓤ", "ⓟ"
@@ -38,12 +42,12 @@ UNITS = (
 
 _VALUE = r"\p{N}+(?:[.,:/]\p{N}+)*"
 _LETTERS = r"\p{L}[\p{L}\p{M}]*"
-_NAME = r"(?<=[\p{Ll}\p{M},;:] )\p{Lu}[\p{L}\p{M}]*"
+_NAME = r"(?<=[\p{Ll}\p{M},;:] )\p{Lu}[\p{L}\p{M}]*(?:\s+\p{Lu}[\p{L}\p{M}]*)*"
 
 
 def raw_tokens(text: Column) -> Column:
-    """Numbers and words as they stand, position by position those of ``canonical_tokens``."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"{_VALUE}|{_LETTERS}"), F.lit(0))
+    """Names, numbers and words as they stand, position by position those of ``canonical_tokens``."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"{_NAME}|{_VALUE}|{_LETTERS}"), F.lit(0))
 
 
 def canonical_tokens(text: Column) -> Column:
@@ -66,6 +70,18 @@ def _plain_enough(tokens: Column, start: Column, width: int) -> Column:
     return F.size(F.filter(F.slice(tokens, start + 1, width), lambda t: ~t.isin(NUMBER, UNIT, NAME))) >= min(LEAST_PLAIN, width)
 
 
+def _first_of_each_start(lines: Column) -> Column:
+    """One (item_at, shift) for every ``item_at`` of the lines (n, shift, starts): that of the longest line, then of the smallest shift."""
+    ordered = F.array_sort(F.transform(lines, lambda l: F.struct(F.negative(l["n"]).alias("n"), l["shift"].alias("shift"), l["starts"].alias("starts"))))
+    none = F.struct(F.array().cast("array<int>").alias("starts"), F.array().cast("array<struct<item_at:int,shift:int>>").alias("met"))
+
+    def added(seen: Column, line: Column) -> Column:
+        new = F.transform(F.array_except(line["starts"], seen["starts"]), lambda s: F.struct(s.alias("item_at"), line["shift"].alias("shift")))
+        return F.struct(F.array_union(seen["starts"], line["starts"]).alias("starts"), F.concat(seen["met"], new).alias("met"))
+
+    return F.aggregate(ordered, none, added)["met"]
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -80,7 +96,8 @@ def find_leaks(
 
     A leak is a row ``row_no, item_id, n_windows, item_windows, coverage, n_slots, n_changed``: along its
     best alignment the document holds at least ``coverage`` of the item's usable windows, and the
-    slots in them are consistent. ``n_changed`` of them differ in value (after case), so 0 means a literal
+    slots in them are consistent. An alignment is one shift, or all shifts that differ by less than the
+    item's length (any two that differ by half of it are in one). ``n_changed`` of them differ in value (after case), so 0 means a literal
     copy. Items of fewer than ``width`` tokens are matched as one window of their own
     length, from three tokens on; items without a usable window, null items and null
     texts match nothing. Repeated items and rows are each reported.
@@ -117,24 +134,44 @@ def find_leaks(
     shift = (F.col("at") - F.col("item_at")).alias("shift")
     lines = found.groupBy("row_no", "item_no", "width", shift).agg(F.collect_set("item_at").alias("starts"))
     usable = items.select("item_no", "item_id", "tokens", "raw").join(usable_windows, "item_no")
-    lines = lines.join(usable.select("item_no", "item_windows"), "item_no").where(F.size("starts") >= coverage * F.col("item_windows"))
+    lines = lines.join(usable.select("item_no", "item_windows", F.greatest(F.size("tokens"), F.lit(LEAST_REACH)).alias("reach")), "item_no")
+    # Every shift alone, and twice in stretches of the item's length, half a length apart.
+    places = [F.col("shift").cast("long"), F.floor(F.col("shift") / F.col("reach")), F.floor(F.col("shift") / F.col("reach") + 0.5)]
+    kinds = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), place.alias("place")) for kind, place in enumerate(places)])).alias("part")
+    line = F.struct(F.size("starts").alias("n"), "shift", "starts")
+    lines = (
+        lines.select("row_no", "item_no", "width", "item_windows", line.alias("line"), kinds)
+        .groupBy("row_no", "item_no", "width", "item_windows", "part")
+        .agg(F.collect_list("line").alias("lines"))
+        .where((F.col("part.kind") == 0) | (F.size("lines") > 1))
+        .where(F.aggregate("lines", F.lit(0), lambda n, l: n + l["n"]) >= coverage * F.col("item_windows"))
+        .select("row_no", "item_no", "width", "item_windows", "part", _first_of_each_start(F.col("lines")).alias("met"))
+        .where(F.size("met") >= coverage * F.col("item_windows"))
+    )
     lines = stage(lines, "leak-lines")
     wanted = lines.select("row_no").distinct()
     values = rows.select("row_no", "text").join(wanted, "row_no", "left_semi")
     values = values.select("row_no", raw_tokens(F.col("text")).alias("doc_raw"))
+
+    def positions(window: Column) -> Column:
+        return F.transform(
+            F.sequence(window["item_at"], window["item_at"] + F.col("width") - 1),
+            lambda at: F.struct(at.alias("at"), window["shift"].alias("shift")),
+        )
+
     slots = (
         lines.join(usable.select("item_no", "item_id", "tokens", "raw"), "item_no")
         .join(values, "row_no")
-        .withColumn("covered", F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("width") - 1)))))
-        .withColumn("slots", F.filter("covered", lambda p: F.get("tokens", p).isin(NUMBER, UNIT, NAME)))
+        .withColumn("covered", F.array_distinct(F.flatten(F.transform("met", positions))))
+        .withColumn("slots", F.filter("covered", lambda c: F.get("tokens", c["at"]).isin(NUMBER, UNIT, NAME)))
         .withColumn(
             "pairs",
             F.transform(
                 "slots",
-                lambda p: F.struct(
-                    F.get("tokens", p).alias("kind"),
-                    F.lower(F.get("raw", p)).alias("here"),
-                    F.lower(F.get("doc_raw", p + F.col("shift"))).alias("there"),
+                lambda c: F.struct(
+                    F.get("tokens", c["at"]).alias("kind"),
+                    F.lower(F.get("raw", c["at"])).alias("here"),
+                    F.lower(F.get("doc_raw", c["at"] + c["shift"])).alias("there"),
                 ),
             ),
         )
@@ -142,7 +179,7 @@ def find_leaks(
     ones = F.size(F.array_distinct("pairs"))
     one_way = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["here"]))))
     other_way = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["there"]))))
-    best = Window.partitionBy("row_no", "item_no").orderBy(F.desc(F.size("starts")), "shift")
+    best = Window.partitionBy("row_no", "item_no").orderBy(F.desc(F.size("met")), "part")
     leaks = (
         slots.where((ones == one_way) & (ones == other_way))
         .withColumn("place", F.row_number().over(best))
@@ -150,10 +187,10 @@ def find_leaks(
         .select(
             "row_no",
             "item_id",
-            F.size("starts").cast("long").alias("n_windows"),
+            F.size("met").cast("long").alias("n_windows"),
             F.col("item_windows").cast("long"),
-            (F.size("starts") / F.col("item_windows")).alias("coverage"),
-            F.size("slots").cast("long").alias("n_slots"),
+            (F.size("met") / F.col("item_windows")).alias("coverage"),
+            F.size(F.array_distinct("slots.at")).cast("long").alias("n_slots"),
             F.size(F.filter("pairs", lambda p: p["here"] != p["there"])).cast("long").alias("n_changed"),
         )
     )

@@ -202,6 +202,25 @@ def test_shuffled_join_gives_the_same(spark, monkeypatch):
     assert {r["doc_id"] for r in templates.without_leaks(docs, items).collect()} == {2}
 
 
+def found_in(spark, item, texts):
+    """Numbers of the texts in which ``item`` is found."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    return set(range(len(texts))) - {r["doc_id"] for r in templates.without_leaks(docs, items).collect()}
+
+
+def test_windows_of_neighbouring_shifts_add_up(spark):
+    item = [f"v{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    far = " ".join(item[:20]) + " other words" * 200 + " " + " ".join(item[20:])
+    texts = [" ".join([*item[:20], "really", *item[20:]]), " ".join(item[:20] + item[21:]), " ".join(item[:12] + item[30:]), far]
+    assert found_in(spark, " ".join(item), texts) == {0, 1}
+    named = "once a week the teacher asks Mary about the books that she reads at home with her two small brothers"
+    texts = [named.replace("Mary", "Mary Ann"), "so " * 30 + named.replace("Mary", "Ann Mary Lou"), named.replace("two small", "small")]
+    assert found_in(spark, named, texts) == {0, 1, 2}
+    far = "before the sun is up we leave our house and walk slowly 5 km along the river to the old mill and back home"
+    assert found_in(spark, far, [far.replace("5 km", "9")]) == {0}
+
+
 # 7: long matches
 
 
