@@ -5,8 +5,10 @@ placeholders, one token each. Windows of canonical tokens of the documents are h
 with those of the benchmark items; so a question is found again although its numbers and
 names were exchanged. Windows are added up over neighbouring shifts (document position minus
 item position), so words put in or taken out do not split a copy; a name of several words is one
-placeholder. A find counts if, along one alignment, the slots are consistent: the same value of
-the item always stands for the same value of the document, and the other way round.
+placeholder. A find counts by the windows whose slots are consistent along one alignment: the same
+value of the item always stands for the same value of the document, and for names the other way
+round too (two numbers or units may become equal by chance). Values that differ are decided by the
+majority. Windows whose slots are all literally equal count without that.
 
 Only DataFrame functions are used. The benchmark's windows are broadcast up to
 ``BROADCAST_WINDOWS`` rows of three numbers, beyond that the join is shuffled; texts are
@@ -82,6 +84,44 @@ def _first_of_each_start(lines: Column) -> Column:
     return F.aggregate(ordered, none, added)["met"]
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, not for every element of a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _pair(slot: Column) -> Column:
+    return F.struct(slot["kind"].alias("kind"), slot["here"].alias("here"), slot["there"].alias("there"))
+
+
+def _rank(vote: Column) -> Column:
+    pair = vote["pair"]
+    return F.struct(vote["n"].alias("n"), (pair["here"] == pair["there"]).alias("same"), pair.alias("pair"))
+
+
+def _partners(pairs: Column) -> Column:
+    """The consistent ones of the pairs (kind, here, there): every value with the partner it has most often, itself if in doubt.
+
+    A value of the item has one partner; a name of the document too.
+    """
+
+    def beaten(vote: Column, votes: Column, side: str) -> Column:
+        mine = vote["pair"]
+        return F.exists(votes, lambda v: (v["pair"]["kind"] == mine["kind"]) & (v["pair"][side] == mine[side]) & (_rank(v) > _rank(vote)))
+
+    votes = _once(
+        pairs, lambda ps: F.transform(F.array_distinct(ps), lambda p: F.struct(p.alias("pair"), F.size(F.filter(ps, lambda q: q == p)).alias("n")))
+    )
+    one = _once(votes, lambda vs: F.filter(vs, lambda v: ~beaten(v, vs, "here")))
+    left = _once(one, lambda vs: F.filter(vs, lambda v: (v["pair"]["kind"] != NAME) | ~beaten(v, vs, "there")))
+    return F.transform(left, lambda v: v["pair"])
+
+
+def _without(slots: Column) -> Column:
+    """The windows ``met`` that hold none of the slots."""
+    inside = lambda c, w: (c["shift"] == w["shift"]) & c["at"].between(w["item_at"], w["item_at"] + F.col("width") - 1)
+    return _once(slots, lambda cs: F.filter("met", lambda w: ~F.exists(cs, lambda c: inside(c, w))))
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -95,9 +135,9 @@ def find_leaks(
     """The documents (columns ``keep``, all by default, packed with ``row_no``), and the leaks among them.
 
     A leak is a row ``row_no, item_id, n_windows, item_windows, coverage, n_slots, n_changed``: along its
-    best alignment the document holds at least ``coverage`` of the item's usable windows, and the
-    slots in them are consistent. An alignment is one shift, or all shifts that differ by less than the
-    item's length (any two that differ by half of it are in one). ``n_changed`` of them differ in value (after case), so 0 means a literal
+    best alignment the document holds at least ``coverage`` of the item's usable windows with consistent,
+    or with literally equal, slots. An alignment is one shift, or all shifts that differ by less than the
+    item's length (any two that differ by half of it are in one). ``n_changed`` of the ``n_slots`` slots in all windows met differ in value (after case), so 0 means a literal
     copy. Items of fewer than ``width`` tokens are matched as one window of their own
     length, from three tokens on; items without a usable window, null items and null
     texts match nothing. Repeated items and rows are each reported.
@@ -163,12 +203,14 @@ def find_leaks(
         lines.join(usable.select("item_no", "item_id", "tokens", "raw"), "item_no")
         .join(values, "row_no")
         .withColumn("covered", F.array_distinct(F.flatten(F.transform("met", positions))))
-        .withColumn("slots", F.filter("covered", lambda c: F.get("tokens", c["at"]).isin(NUMBER, UNIT, NAME)))
+        .withColumn("covered", F.filter("covered", lambda c: F.get("tokens", c["at"]).isin(NUMBER, UNIT, NAME)))
         .withColumn(
-            "pairs",
+            "slots",
             F.transform(
-                "slots",
+                "covered",
                 lambda c: F.struct(
+                    c["at"].alias("at"),
+                    c["shift"].alias("shift"),
                     F.get("tokens", c["at"]).alias("kind"),
                     F.lower(F.get("raw", c["at"])).alias("here"),
                     F.lower(F.get("doc_raw", c["at"] + c["shift"])).alias("there"),
@@ -176,22 +218,23 @@ def find_leaks(
             ),
         )
     )
-    ones = F.size(F.array_distinct("pairs"))
-    one_way = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["here"]))))
-    other_way = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["there"]))))
-    best = Window.partitionBy("row_no", "item_no").orderBy(F.desc(F.size("met")), "part")
+    pairs = F.transform("slots", _pair)
+    literal = _without(F.filter("slots", lambda c: c["here"] != c["there"]))
+    consistent = _without(_once(_partners(pairs), lambda ps: F.filter("slots", lambda c: ~F.array_contains(ps, _pair(c)))))
+    slots = slots.withColumn("n_windows", F.greatest(F.size(literal), F.size(consistent)))
+    best = Window.partitionBy("row_no", "item_no").orderBy(F.desc("n_windows"), "part")
     leaks = (
-        slots.where((ones == one_way) & (ones == other_way))
+        slots.where(F.col("n_windows") >= coverage * F.col("item_windows"))
         .withColumn("place", F.row_number().over(best))
         .where("place = 1")
         .select(
             "row_no",
             "item_id",
-            F.size("met").cast("long").alias("n_windows"),
+            F.col("n_windows").cast("long"),
             F.col("item_windows").cast("long"),
-            (F.size("met") / F.col("item_windows")).alias("coverage"),
+            (F.col("n_windows") / F.col("item_windows")).alias("coverage"),
             F.size(F.array_distinct("slots.at")).cast("long").alias("n_slots"),
-            F.size(F.filter("pairs", lambda p: p["here"] != p["there"])).cast("long").alias("n_changed"),
+            F.size(F.filter("slots", lambda c: c["here"] != c["there"])).cast("long").alias("n_changed"),
         )
     )
     return rows.select(ROW, "row_no"), leaks

@@ -221,6 +221,17 @@ def test_windows_of_neighbouring_shifts_add_up(spark):
     assert found_in(spark, far, [far.replace("5 km", "9")]) == {0}
 
 
+def test_one_uneven_slot_does_not_veto_a_copy(spark):
+    rng = random.Random(23)
+    plain = [f"{rng.choice('bcdfgh')}{rng.choice('aeiou')}{rng.choice('klmnp')}{rng.choice('aeiou')}" for _ in range(200)]
+    item = " ".join([*plain[:50], "in 2020 came Mary", *plain[50:150], "until 2020 and Mary", *plain[150:]])
+    late = "2021".join(item.rsplit("2020", 1))
+    texts = [late, "Anna".join(item.rsplit("Mary", 1)), late.replace("Mary", "Berta"), item]
+    assert found_in(spark, item, texts) == {0, 1, 2, 3}
+    question = "a farmer sells 3 sacks of corn and 5 sacks of wheat on the market so how many sacks are sold"
+    assert found_in(spark, question, [question.replace("3", "4").replace("5", "4")]) == {0}
+
+
 # 7: long matches
 
 
