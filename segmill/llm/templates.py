@@ -1,7 +1,8 @@
 """Benchmark decontamination by canonical templates.
 
 Numbers, units after numbers, and names (capitalised words inside a sentence) become typed
-placeholders, one token each. Windows of canonical tokens of the documents are hash-joined
+placeholders, one token each. Other capitalised words, as at the start of a sentence, may be names or
+not: windows over them are hashed in both ways. Windows of canonical tokens of the documents are hash-joined
 with those of the benchmark items; so a question is found again although its numbers and
 names were exchanged. Windows are added up over neighbouring shifts (document position minus
 item position), so words put in or taken out do not split a copy; a name of several words is one
@@ -34,6 +35,8 @@ LEAST_REACH = 16
 
 # Placeholders (characters that no token pattern takes) and the units known, in plain text.
 NUMBER, UNIT, NAME = "ⓝ", "ⓤ", "ⓟ"
+#: Stands before a capitalised word that may be a name.
+MAYBE = "ⓠ"
 UNITS = (
     "mm cm dm m km mg g kg t ml cl l kmh mph hz khz mhz ghz kb mb gb tb w kw mw v a j kj "
     "inch inches foot feet yard yards mile miles ounce ounces pound pounds ton tons gallon gallons litre litres liter liters "
@@ -44,32 +47,59 @@ UNITS = (
 
 _VALUE = r"\p{N}+(?:[.,:/]\p{N}+)*"
 _LETTERS = r"\p{L}[\p{L}\p{M}]*"
-_NAME = r"(?<=[\p{Ll}\p{M},;:] )\p{Lu}[\p{L}\p{M}]*(?:\s+\p{Lu}[\p{L}\p{M}]*)*"
+_NAME = r"(?=\p{Lu})(?<=[\p{Ll}\p{M},;:] )\p{Lu}[\p{L}\p{M}]*(?: \p{Lu}[\p{L}\p{M}]*)*"
+_FIRST = r"(?=\p{Lu})(?<![\p{L}\p{M}])(\p{Lu}[\p{L}\p{M}]*)"
+_SPACE = r"[\s\p{Z}&&[^ ]][\s\p{Z}]*| [\s\p{Z}]+"
+
+
+def _flat(text: Column) -> Column:
+    """The text with one space for any white space."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), _SPACE, " ")
 
 
 def raw_tokens(text: Column) -> Column:
     """Names, numbers and words as they stand, position by position those of ``canonical_tokens``."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"{_NAME}|{_VALUE}|{_LETTERS}"), F.lit(0))
+    return F.regexp_extract_all(_flat(text), F.lit(f"{_NAME}|{_VALUE}|{_LETTERS}"), F.lit(0))
 
 
 def canonical_tokens(text: Column) -> Column:
-    """Lower-case words with placeholders for names, numbers and units."""
-    named = F.regexp_replace(F.coalesce(text, F.lit("")), _NAME, NAME)
+    """Lower-case words with placeholders for names, numbers and units; those that may be names begin with ``MAYBE``."""
+    named = F.regexp_replace(F.regexp_replace(_flat(text), _NAME, NAME), _FIRST, f"{MAYBE}$1")
     numbered = F.regexp_replace(named, _VALUE, f" {NUMBER} ")
-    units = F.regexp_replace(F.lower(numbered), f"(?<={NUMBER} {{1,3}})(?:{'|'.join(UNITS)})(?![\\p{{L}}\\p{{M}}])", UNIT)
-    return F.regexp_extract_all(units, F.lit(f"[{NUMBER}{UNIT}{NAME}]|{_LETTERS}"), F.lit(0))
+    lower = F.regexp_replace(F.lower(numbered), f"(?<={NUMBER} {{1,3}}){MAYBE}?(?:{'|'.join(UNITS)})(?![\\p{{L}}\\p{{M}}])", UNIT)
+    return F.regexp_extract_all(lower, F.lit(f"[{NUMBER}{UNIT}{NAME}]|{MAYBE}?{_LETTERS}"), F.lit(0))
+
+
+def _readings(tokens: Column) -> list[Column]:
+    """The tokens with what may be names as words, and as placeholders."""
+    maybe = lambda t: t.startswith(MAYBE)
+    return [
+        F.transform(tokens, lambda t: F.when(maybe(t), F.substring(t, 2, 1_000_000)).otherwise(t)),
+        F.transform(tokens, lambda t: F.when(maybe(t), F.lit(NAME)).otherwise(t)),
+    ]
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, not for every element of a lambda."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _windows(tokens: Column, width: int) -> Column:
-    """Hash of every run of ``width`` tokens; none for shorter texts."""
+    """Hashes of every run of ``width`` tokens, one for each reading that differs; none for shorter texts."""
     last = F.size(tokens) - (width - 1)
     starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, width)))
+    words, names = (F.transform(r, lambda t: F.xxhash64(t)) for r in _readings(tokens))
+    hashes = lambda w, n: F.array_distinct(F.array(F.xxhash64(w), F.xxhash64(n)))
+    both = F.struct(words.alias("words"), names.alias("names"))
+    return _once(both, lambda b: F.transform(starts, lambda i: hashes(F.slice(b["words"], i, width), F.slice(b["names"], i, width))))
 
 
-def _plain_enough(tokens: Column, start: Column, width: int) -> Column:
-    """Whether the window starting at 0-based ``start`` holds enough tokens that are not placeholders."""
-    return F.size(F.filter(F.slice(tokens, start + 1, width), lambda t: ~t.isin(NUMBER, UNIT, NAME))) >= min(LEAST_PLAIN, width)
+def _plain_windows(tokens: Column, width: int) -> Column:
+    """The hashes of ``_windows`` of which the reading holds enough tokens that are not placeholders."""
+    words, names = _readings(tokens)
+    plain = lambda r, at: F.size(F.filter(F.slice(r, at + 1, width), lambda t: ~t.isin(NUMBER, UNIT, NAME))) >= min(LEAST_PLAIN, width)
+    enough = lambda at, n: F.when(n == 0, plain(words, at)).otherwise(plain(names, at))
+    return F.transform(_windows(tokens, width), lambda hashes, at: F.filter(hashes, lambda h, n: enough(at, n)))
 
 
 def _first_of_each_start(lines: Column) -> Column:
@@ -84,11 +114,6 @@ def _first_of_each_start(lines: Column) -> Column:
     return F.aggregate(ordered, none, added)["met"]
 
 
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, not for every element of a lambda."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _pair(slot: Column) -> Column:
     return F.struct(slot["kind"].alias("kind"), slot["here"].alias("here"), slot["there"].alias("there"))
 
@@ -158,11 +183,12 @@ def find_leaks(
     found, usable_windows = None, None
     for (w,) in items.select("width").distinct().orderBy("width").collect():  # at most `width` values
         own = items.where(F.col("width") == w)
-        keys = own.select("item_no", "tokens", F.posexplode(_windows(F.col("tokens"), w)).alias("item_at", "hash"))
-        keys = stage(keys.where(_plain_enough(F.col("tokens"), F.col("item_at"), w)).select("hash", "item_no", "item_at"), "leak-keys")
+        keys = own.select("item_no", F.posexplode(_plain_windows(F.col("tokens"), w)).alias("item_at", "hashes"))
+        keys = stage(keys.select(F.explode("hashes").alias("hash"), "item_no", "item_at"), "leak-keys")
         tokens = rows.select("row_no", canonical_tokens(F.col("text")).alias("tokens"))
-        windows = tokens.select("row_no", F.posexplode(_windows(F.col("tokens"), w)).alias("at", "hash"))
-        counts = keys.groupBy("item_no").agg(F.count("*").cast("int").alias("item_windows"))
+        windows = tokens.select("row_no", F.posexplode(_windows(F.col("tokens"), w)).alias("at", "hashes"))
+        windows = windows.select("row_no", "at", F.explode("hashes").alias("hash"))
+        counts = keys.groupBy("item_no").agg(F.countDistinct("item_at").cast("int").alias("item_windows"))
         usable_windows = counts if usable_windows is None else usable_windows.union(counts)
         small = keys.count() <= BROADCAST_WINDOWS
         met = windows.join(F.broadcast(keys) if small else keys, "hash").select("row_no", "item_no", "at", "item_at")
@@ -203,7 +229,6 @@ def find_leaks(
         lines.join(usable.select("item_no", "item_id", "tokens", "raw"), "item_no")
         .join(values, "row_no")
         .withColumn("covered", F.array_distinct(F.flatten(F.transform("met", positions))))
-        .withColumn("covered", F.filter("covered", lambda c: F.get("tokens", c["at"]).isin(NUMBER, UNIT, NAME)))
         .withColumn(
             "slots",
             F.transform(
@@ -211,12 +236,14 @@ def find_leaks(
                 lambda c: F.struct(
                     c["at"].alias("at"),
                     c["shift"].alias("shift"),
-                    F.get("tokens", c["at"]).alias("kind"),
+                    F.when(F.get("tokens", c["at"]).startswith(MAYBE), F.lit(NAME)).otherwise(F.get("tokens", c["at"])).alias("kind"),
                     F.lower(F.get("raw", c["at"])).alias("here"),
                     F.lower(F.get("doc_raw", c["at"] + c["shift"])).alias("there"),
                 ),
             ),
         )
+        # Words that were met as words are no slots.
+        .withColumn("slots", F.filter("slots", lambda c: F.get("tokens", c["at"]).isin(NUMBER, UNIT, NAME) | (c["here"] != c["there"])))
     )
     pairs = F.transform("slots", _pair)
     literal = _without(F.filter("slots", lambda c: c["here"] != c["there"]))

@@ -232,6 +232,22 @@ def test_one_uneven_slot_does_not_veto_a_copy(spark):
     assert found_in(spark, question, [question.replace("3", "4").replace("5", "4")]) == {0}
 
 
+def test_names_at_the_start_of_sentences_and_after_any_space(spark):
+    item = "Alice has 12 apples. Bob gives her 3 pears. How many fruits does Alice have now?"
+    other = item.replace("Alice", "Clara").replace("Bob", "David")
+    texts = [other, other.replace("does Clara", "does\n   Clara"), "then he says: " + item[0].lower() + item[1:], item.replace("Bob", "bob")]
+    assert found_in(spark, item, texts) == {0, 1, 2, 3}
+    wrapped = "we ask Mary and Peter how they came to the old town by the sea"
+    assert found_in(spark, wrapped, [wrapped.replace("ask Mary", "ask\n\t\t        Anna").replace("and Peter", "and  Paul")]) == {0}
+
+
+def test_raw_and_canonical_tokens_go_together(spark):
+    text = "The R2D2 of Mary Ann\n Lou, Ann 5 Km. İstanbul 3.5 kg McDonald USA Today, NATO's A4 ÉTÉ 漢字 Ǆ iPhone 7Up"
+    raw, canonical = spark.createDataFrame([(text,)], "t string").select(templates.raw_tokens(F.col("t")), templates.canonical_tokens(F.col("t"))).first()
+    assert len(raw) == len(canonical)
+    assert all(c in "ⓝⓤⓟ" or c.lstrip("ⓠ") == r.lower() for r, c in zip(raw, canonical, strict=True))
+
+
 # 7: long matches
 
 
