@@ -85,21 +85,27 @@ def _once(value: Column, use) -> Column:
 
 
 def _windows(tokens: Column, width: int) -> Column:
-    """Hashes of every run of ``width`` tokens, one for each reading that differs; none for shorter texts."""
+    """(at, named, hash) of every run of ``width`` tokens, and once more with names where words may be names; none for shorter texts."""
     last = F.size(tokens) - (width - 1)
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    words, names = (F.transform(r, lambda t: F.xxhash64(t)) for r in _readings(tokens))
-    hashes = lambda w, n: F.array_distinct(F.array(F.xxhash64(w), F.xxhash64(n)))
-    both = F.struct(words.alias("words"), names.alias("names"))
-    return _once(both, lambda b: F.transform(starts, lambda i: hashes(F.slice(b["words"], i, width), F.slice(b["names"], i, width))))
+    none = F.array().cast("array<int>")
+    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(none)
+    maybe = F.filter(F.transform(tokens, lambda t, i: F.when(t.startswith(MAYBE), i + 1)), lambda p: p.isNotNull())
+    around = F.transform(maybe, lambda p: F.sequence(F.greatest(p - (width - 1), F.lit(1)), F.least(p, last)))
+    again = F.when(last >= 1, F.array_distinct(F.flatten(around))).otherwise(none)
+
+    def hashed(reading: Column, starts: Column, named: bool) -> Column:
+        one = lambda r, i: F.struct((i - 1).alias("at"), F.lit(named).alias("named"), F.xxhash64(F.slice(r, i, width)).alias("hash"))
+        return _once(F.transform(reading, lambda t: F.xxhash64(t)), lambda r: F.transform(starts, lambda i: one(r, i)))
+
+    words, names = _readings(tokens)
+    return F.concat(hashed(words, starts, False), hashed(names, again, True))
 
 
 def _plain_windows(tokens: Column, width: int) -> Column:
-    """The hashes of ``_windows`` of which the reading holds enough tokens that are not placeholders."""
+    """Those of ``_windows`` that hold enough tokens that are not placeholders."""
     words, names = _readings(tokens)
     plain = lambda r, at: F.size(F.filter(F.slice(r, at + 1, width), lambda t: ~t.isin(NUMBER, UNIT, NAME))) >= min(LEAST_PLAIN, width)
-    enough = lambda at, n: F.when(n == 0, plain(words, at)).otherwise(plain(names, at))
-    return F.transform(_windows(tokens, width), lambda hashes, at: F.filter(hashes, lambda h, n: enough(at, n)))
+    return F.filter(_windows(tokens, width), lambda w: F.when(w["named"], plain(names, w["at"])).otherwise(plain(words, w["at"])))
 
 
 def _first_of_each_start(lines: Column) -> Column:
@@ -183,11 +189,11 @@ def find_leaks(
     found, usable_windows = None, None
     for (w,) in items.select("width").distinct().orderBy("width").collect():  # at most `width` values
         own = items.where(F.col("width") == w)
-        keys = own.select("item_no", F.posexplode(_plain_windows(F.col("tokens"), w)).alias("item_at", "hashes"))
-        keys = stage(keys.select(F.explode("hashes").alias("hash"), "item_no", "item_at"), "leak-keys")
+        keys = own.select("item_no", F.explode(_plain_windows(F.col("tokens"), w)).alias("window"))
+        keys = stage(keys.select("window.hash", "item_no", F.col("window.at").alias("item_at")), "leak-keys")
         tokens = rows.select("row_no", canonical_tokens(F.col("text")).alias("tokens"))
-        windows = tokens.select("row_no", F.posexplode(_windows(F.col("tokens"), w)).alias("at", "hashes"))
-        windows = windows.select("row_no", "at", F.explode("hashes").alias("hash"))
+        windows = tokens.select("row_no", F.explode(_windows(F.col("tokens"), w)).alias("window"))
+        windows = windows.select("row_no", "window.at", "window.hash")
         counts = keys.groupBy("item_no").agg(F.countDistinct("item_at").cast("int").alias("item_windows"))
         usable_windows = counts if usable_windows is None else usable_windows.union(counts)
         small = keys.count() <= BROADCAST_WINDOWS
