@@ -161,11 +161,35 @@ def _stretches(words: list[str], template: Template, where: dict[str, list[int]]
             group.append(spot)
 
 
+def _around(words: list[str], template: Template, where: dict[str, list[int]], least: float) -> Iterator[tuple[int, int]]:
+    """Stretches, which may overlap, where the template would lie by its rarest signals: without slack, with a quarter and with its length.
+
+    A copy lacks at most ``spare`` of the template's words, so it holds one of any ``spare + 1`` signals.
+    """
+    n = len(template.words)
+    spare = int(n - least * n + 1e-9)
+    rarest = sorted(template.signals, key=lambda w: (len(where.get(w, ())), w))[: spare + 1]
+    need = len(template.signals) - spare
+    spots = sorted((i, w) for w in template.signals for i in where.get(w, ()))
+    places = [i for i, _ in spots]
+    starts = sorted({i - template.words.index(w) for w in rarest for i in where.get(w, ())})
+    at = 0
+    while at < len(starts):
+        first = last = starts[at]
+        while at < len(starts) and starts[at] - first <= n // 4:
+            last, at = starts[at], at + 1
+        for slack in (0, n // 4, n):
+            begin, end = max(0, first - slack), min(len(words), last + n + slack)
+            held = {w for _, w in spots[bisect_left(places, begin) : bisect_left(places, end)]}
+            if len(held) >= need:
+                yield begin, end
+
+
 def find_licenses(text: str | None, known: list[Template], least: float = COVERAGE) -> list[tuple[str, float, int, int, int, int]]:
     """(license, coverage, matched words, template words, start, end) of a whole text, in order of place.
 
     Of finds that overlap, the one with more matched words stays, then the one of higher
-    coverage. Start and end are code points. A null or empty text holds nothing.
+    coverage, then the shorter. Start and end are code points. A null or empty text holds nothing.
     """
     if not text or not any(g in (low := text.lower()) for g in GATES):
         return []
@@ -180,13 +204,13 @@ def find_licenses(text: str | None, known: list[Template], least: float = COVERA
     for t in known:
         if sum(w in where for w in t.signals) < 0.5 * len(t.signals):
             continue
-        for begin, end in _stretches(words, t, where):
+        for begin, end in {*_stretches(words, t, where), *_around(words, t, where, least)}:
             pairs = align(words[begin:end], t.words)
             if len(pairs) >= least * len(t.words):
                 first, last = tokens[begin + pairs[0][0]], tokens[begin + pairs[-1][0]]
                 found.add((t.license, len(pairs) / len(t.words), len(pairs), len(t.words), first.start(), last.end()))
     kept: list[tuple[str, float, int, int, int, int]] = []
-    for f in sorted(found, key=lambda f: (-f[2], -f[1], f[4], f[0])):
+    for f in sorted(found, key=lambda f: (-f[2], -f[1], f[5] - f[4], f[4], f[0])):
         if all(f[5] <= k[4] or k[5] <= f[4] for k in kept):
             kept.append(f)
     return sorted(kept, key=lambda f: f[4])

@@ -49,6 +49,20 @@ def test_licenses_are_found_whole_changed_and_twice():
     assert [f[0] for f in patience.find_licenses(lesser.replace("Lesser ", ""), known)] == ["GPL-3.0"]
 
 
+def test_signal_words_before_a_license_do_not_split_it():
+    known = patience.templates()
+    notice = "Licensed under the Apache License, Version 2.0"
+    for before in ("License / ", "License ", "Version 2 of the license of X: ", "apache version 2 0 license licensed "):
+        text = before + notice + ". More."
+        assert [(f[0], text[f[4] : f[5]]) for f in patience.find_licenses(text, known)] == [("Apache-2.0", notice)]
+    assert [f[0] for f in patience.find_licenses("Version 2 of X is licensed under the Apache License, Version 2.0", known)] == ["Apache-2.0"]
+    work = "License: This work is licensed under the GNU General Public License, version 3"
+    assert [f[0] for f in patience.find_licenses(work, known)] == ["GPL-3.0"]
+    mit = patience.TEMPLATES["MIT"][0]
+    for word in ("so", "all", "following", "so all following"):
+        assert [(f[0], f[1]) for f in patience.find_licenses(f"And {word} it is. {mit} The end.", known)] == [("MIT", 1.0)]
+
+
 @pytest.mark.parametrize("text", [None, "", " ", "the software license of that", "licensed", "a" * 100_000, "copyright " * 20_000])
 def test_no_license(text):
     assert patience.find_licenses(text, patience.templates()) == []
