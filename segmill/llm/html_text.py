@@ -5,7 +5,8 @@ article text (menus, headers, footers, sidebars, notices, adverts, forms, script
 readers) are told by tag, role, class and id. For the other blocks, text length and
 punctuation are summed per tag path and divided by the number of blocks, smoothed over
 neighbouring paths and multiplied; paths above one standard deviation hold content. The
-main text is every block of the smallest element that holds nearly all of that content.
+smallest element that holds nearly all of that content is a seed: the main text is every block of
+the article or main around it, or else of the highest element around it that adds no zone and no links.
 """
 
 from __future__ import annotations
@@ -48,7 +49,10 @@ MARKS = set(
 )
 WHOLE_MARKS = set("header site-header page-header top-header site-footer page-footer".split())
 
-#: Share of the content that the chosen element must hold.
+#: Zones that say nothing about the layout of a page.
+UNSEEN = set("head script style noscript template iframe object svg canvas audio video".split())
+
+#: Share of the content that the seed must hold.
 HELD = 0.9
 _SPLIT = re.compile(r"[\s_\-:]+|(?<=[a-z])(?=[A-Z])")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、؟¿¡]")
@@ -109,6 +113,8 @@ class _Reader(HTMLParser):
         self.count = 0
         self.blocks: list[Block] = []
         self.open: Block | None = None
+        self.articles: set[int] = set()  # numbers of the elements that are an article or main
+        self.zoned: set[int] = set()  # numbers of the elements that hold a zone
 
     def _close_to(self, tags: set[str], stop: set[str] = frozenset()) -> None:
         if not any(self.opened[t] for t in tags):
@@ -143,8 +149,14 @@ class _Reader(HTMLParser):
             self.open = None
             if len(path) < _DEEPEST:
                 path, lineage = (*path, tag), (*lineage, self.count)
-        dropped = above.dropped or _is_zone(tag, dict(attrs), above.in_article)
-        in_article, in_link = above.in_article or tag in ("article", "main"), above.in_link or tag == "a"
+        attributes = dict(attrs)
+        dropped = above.dropped or _is_zone(tag, attributes, above.in_article)
+        if dropped and not above.dropped and tag not in UNSEEN:
+            self.zoned.update(above.lineage)
+        article = tag in ("article", "main") or (attributes.get("role") or "").lower() == "main"
+        if article and lineage is not above.lineage:
+            self.articles.add(self.count)
+        in_article, in_link = above.in_article or article, above.in_link or tag == "a"
         self.stack.append(_Element(tag, self.count, path, lineage, dropped, in_article, in_link))
         self.opened[tag] += 1
 
@@ -179,12 +191,17 @@ class _Reader(HTMLParser):
 
 def read_blocks(html: str | None) -> list[Block]:
     """Blocks outside the zones, in page order; none for a null or empty page."""
+    return _read(html)[0]
+
+
+def _read(html: str | None) -> tuple[list[Block], set[int], set[int]]:
+    """Blocks outside the zones, and numbers of the elements that are an article or main, and that hold a zone."""
     if not html:
-        return []
+        return [], set(), set()
     reader = _Reader()
     reader.feed(html)
     reader.close()
-    return [b for b in reader.blocks if b.text]
+    return [b for b in reader.blocks if b.text], reader.articles, reader.zoned
 
 
 def path_scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
@@ -204,9 +221,34 @@ def path_scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
     return {p: float(fused[i]) for p, i in place.items()}
 
 
+def _link_heavy(blocks: list[Block]) -> set[tuple[str, ...]]:
+    """Tag paths of which half the characters or more are links."""
+    linked, chars = Counter(), Counter()
+    for b in blocks:
+        linked[b.path] += b.linked
+        chars[b.path] += len("".join(b.text.split()))
+    return {p for p in chars if linked[p] and linked[p] >= 0.5 * chars[p]}
+
+
+def _region(seed: int, blocks: list[Block], articles: set[int], zoned: set[int]) -> int:
+    """The nearest article or main around the seed, or the highest element that adds no zone and no link-heavy path."""
+    lineage = next(b.lineage for b in blocks if seed in b.lineage)
+    around = lineage[: lineage.index(seed) + 1][::-1]
+    for e in around:
+        if e in articles:
+            return e
+    region = seed
+    for d, e in zip(range(len(around) - 2, -1, -1), around[1:], strict=True):
+        inner = (e, region)
+        if e in zoned or _link_heavy([b for b in blocks if b.lineage[d : d + 1] == inner[:1] and b.lineage[d : d + 2] != inner]):
+            break
+        region = e
+    return region
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by line feeds; empty if there is none."""
-    blocks = read_blocks(html)
+    blocks, articles, zoned = _read(html)
     if not blocks:
         return ""
     scores = path_scores(blocks)
@@ -225,7 +267,12 @@ def main_text(html: str | None) -> str:
     content = [b for b in blocks if chosen is None or chosen in b.lineage]
     leaf = content and all(b.lineage[-1] == chosen for b in content) and len(blocks) > 1
     if leaf and len(content[0].lineage) > 1 and content[0].path[-1] in ("p", "h1", "h2", "h3", "li", "pre", "blockquote"):
-        content = [b for b in blocks if content[0].lineage[-2] in b.lineage]  # a lone paragraph stands for its parent
+        chosen = content[0].lineage[-2]  # a lone paragraph stands for its parent
+    if chosen is not None:
+        region = _region(chosen, blocks, articles, zoned)
+        content = [b for b in blocks if region in b.lineage]
+        if region in articles:
+            return "\n".join(b.text for b in content)
     kept = [b.text for b in content if not (b.linked and b.linked >= 0.8 * len("".join(b.text.split())) and b.path[-1] in ("li", "ul", "ol"))]
     return "\n".join(kept)
 

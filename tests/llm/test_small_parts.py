@@ -204,6 +204,27 @@ def test_article_among_everything_else():
     assert html_text.main_text(page(f'<div class="post"><div>{body}</div></div>', rest, comments)) == expected
 
 
+LONG = "<p>" + "A long sentence, with marks and words, goes on here. " * 30 + "</p>"
+
+
+@pytest.mark.parametrize("out", ["article", "main", "div role=main", "div"])
+def test_nothing_of_the_article_is_left_out(out):
+    rest = '<nav><a href="/">Home, of the site.</a></nav>'
+    close = out.split()[0]
+    for body, lost in [
+        (f"<section>{LONG}</section><section><p>A second, short section.</p></section>", "A second, short section."),
+        (f"<h1>The title</h1><div>{LONG}{LONG}</div>", "The title"),
+        (f"<div><p>A lead, of a line.</p></div><div>{LONG}{LONG}</div>", "A lead, of a line."),
+    ]:
+        text = html_text.main_text(page(f"<{out}>{body}</{close}>", rest, "<footer>Made, by us.</footer>"))
+        assert lost in text.split("\n") and "Home" not in text and "Made" not in text
+    if out != "div":
+        text = html_text.main_text(page(f'<{out}>{LONG}<ul><li><a href="x">A source</a></li></ul></{close}>', '<ul><li><a href="y">Menu</a></li></ul>'))
+        assert text.endswith("\nA source") and "Menu" not in text
+    links = '<div><ul><li><a href="y">Menu</a></li></ul></div>'
+    assert "Menu" not in html_text.main_text(page(f"<div><div>{LONG}</div></div>", links))
+
+
 def test_broken_markup_and_references():
     html = "<body><nav>Menu, of all</nav><article><h1>T</h1><p><b>One &amp;amp; two,<br><p>three&nbsp; \n four &#8212; five.</p><br></article><footer>x"
     assert html_text.main_text(html) == "T\nOne &amp; two,\nthree four — five."
