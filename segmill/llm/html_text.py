@@ -2,7 +2,8 @@
 
 A page is read into blocks, each with its path of tags from the root. Zones that are never
 article text (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments of
-readers) are told by tag, role, class and id. For the other blocks, text length and
+readers) are told by tag, role, class and id; within an article by whole classes, and where a part of
+one is a mark, by links and punctuation. For the other blocks, text length and
 punctuation are summed per tag path and divided by the number of blocks, smoothed over
 neighbouring paths and multiplied; paths above one standard deviation hold content. The
 smallest element that holds nearly all of that content is a seed: the main text is every block of
@@ -49,6 +50,7 @@ MARKS = set(
 )
 WHOLE_MARKS = set("header site-header page-header top-header site-footer page-footer".split())
 
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Zones that say nothing about the layout of a page.
 UNSEEN = set("head script style noscript template iframe object svg canvas audio video".split())
 
@@ -100,11 +102,28 @@ def _is_zone(tag: str, attributes: dict[str, str | None], in_article: bool) -> b
     marks = {m.lower() for m in _SPLIT.split(names) if m}
     if tag in ("html", "body"):
         return False
+    if in_article and tag not in ("article", "main"):
+        return tag not in INLINE and bool(set(_names(tag, attributes).lower().split()) & MARKS)
+    if tag in HEADINGS:
+        return bool({m.lower() for m in _SPLIT.split(value("class")) if m} & MARKS)
     if tag in ("article", "main"):
         return bool(marks & {"comment", "comments", "ad", "advert", "sponsored", "related", "promo"})
     return bool(marks & MARKS or WHOLE_MARKS & set(names.lower().split()))
 
 
+def _names(tag: str, attributes: dict[str, str | None]) -> str:
+    """The classes, and the id unless it is an anchor."""
+    return f"{attributes.get('class') or ''} {'' if tag in HEADINGS or tag == 'section' else attributes.get('id') or ''}"
+
+
+def _is_doubtful(tag: str, attributes: dict[str, str | None], in_article: bool) -> bool:
+    """Whether a part of a class or id within an article is a mark: then its text decides."""
+    if not in_article or tag in INLINE or tag in ("html", "body", "article", "main"):
+        return False
+    names = _names(tag, attributes)
+    return bool({m.lower() for m in _SPLIT.split(names) if m} & MARKS or WHOLE_MARKS & set(names.lower().split()))
+
+
 class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -114,6 +133,7 @@ class _Reader(HTMLParser):
         self.blocks: list[Block] = []
         self.open: Block | None = None
         self.articles: set[int] = set()  # numbers of the elements that are an article or main
+        self.doubtful: set[int] = set()  # numbers of the elements that may be zones
         self.zoned: set[int] = set()  # numbers of the elements that hold a zone
 
     def _close_to(self, tags: set[str], stop: set[str] = frozenset()) -> None:
@@ -153,6 +173,8 @@ class _Reader(HTMLParser):
         dropped = above.dropped or _is_zone(tag, attributes, above.in_article)
         if dropped and not above.dropped and tag not in UNSEEN:
             self.zoned.update(above.lineage)
+        elif tag not in INLINE and lineage is not above.lineage and _is_doubtful(tag, attributes, above.in_article):
+            self.doubtful.add(self.count)
         article = tag in ("article", "main") or (attributes.get("role") or "").lower() == "main"
         if article and lineage is not above.lineage:
             self.articles.add(self.count)
@@ -201,7 +223,22 @@ def _read(html: str | None) -> tuple[list[Block], set[int], set[int]]:
     reader = _Reader()
     reader.feed(html)
     reader.close()
-    return [b for b in reader.blocks if b.text], reader.articles, reader.zoned
+    blocks = [b for b in reader.blocks if b.text]
+    if reader.doubtful:
+        low = _low(blocks, reader.doubtful)
+        blocks = [b for b in blocks if low.isdisjoint(b.lineage)]
+    return blocks, reader.articles, reader.zoned
+
+
+def _low(blocks: list[Block], elements: set[int]) -> set[int]:
+    """Those of the elements whose text is half links or more, or has no punctuation."""
+    chars, linked, marks = Counter(), Counter(), Counter()
+    for b in blocks:
+        for e in elements.intersection(b.lineage):
+            chars[e] += len("".join(b.text.split()))
+            linked[e] += b.linked
+            marks[e] += len(_PUNCTUATION.findall(b.text))
+    return {e for e in chars if linked[e] >= 0.5 * chars[e] or not marks[e]}
 
 
 def path_scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:

@@ -225,6 +225,21 @@ def test_nothing_of_the_article_is_left_out(out):
     assert "Menu" not in html_text.main_text(page(f"<div><div>{LONG}</div></div>", links))
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='related-work'><h2>Work</h2><p>It is, as said, related.</p></section>", "<h2 id='search-algorithms'>Search</h2>",
+        "<div id='social-history'><p>It is, as said, social.</p></div>", "<section id='comments-on-the-method'><p>It is, as said.</p></section>",
+        "<p class='notice-period'>Four weeks, as said.</p>", "<p>Choose <span class='menu'>File</span> there.</p>",
+    ],
+)
+def test_marks_in_an_article_do_not_take_its_sections(part):
+    expected = " ".join(re.sub("<[^>]*>", " ", part).split())
+    ads = '<div class="ad">Buy, buy it.</div><div class="share-buttons">Share it Tweet it</div><div class="post-related"><a href="x">More, of it.</a></div>'
+    text = html_text.main_text(page(f"<article>{LONG}{part}{ads}</article>"))
+    assert text.split("\n", 1)[1].replace("\n", " ") == expected
+
+
 def test_broken_markup_and_references():
     html = "<body><nav>Menu, of all</nav><article><h1>T</h1><p><b>One &amp;amp; two,<br><p>three&nbsp; \n four &#8212; five.</p><br></article><footer>x"
     assert html_text.main_text(html) == "T\nOne &amp; two,\nthree four — five."
