@@ -118,12 +118,15 @@ def measure(token: str) -> tuple[int, int, int, float]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[list[float]]:
-    """[start, end, alphabet, pairs, changes, p] of every candidate that no fixed pattern touches."""
+    """[start, end, alphabet, pairs, changes, p] of every candidate: what the fixed patterns leave of a run, in pieces of 20 or more."""
     out = []
     for long in _LONG.finditer(text):
         for m in _RUN.finditer(text, long.start(), long.end()):
-            if not any(a < m.end() and m.start() < b for a, _, b in taken):
-                out.append([float(v) for v in (m.start(), m.end(), *measure(m[0]))])
+            begin = m.start()
+            for a, b in [*((a, b) for a, _, b in taken if a < m.end() and m.start() < b), (m.end(), m.end())]:
+                for piece in _RUN.finditer(text, begin, max(begin, a)):
+                    out.append([float(v) for v in (piece.start(), piece.end(), *measure(piece[0]))])
+                begin = max(begin, b)
     return out
 
 

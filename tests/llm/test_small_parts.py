@@ -95,6 +95,16 @@ def test_short_match_hides_what_it_covers():
     assert secrets.base_spans('API_KEY" : "abc123x"') == [(0, 0, 19)]
 
 
+def test_what_a_fixed_pattern_leaves_of_a_run_is_a_candidate():
+    rest = "q7Xn2LpZ9vKc4RtYb8WmD1sHfJ6gTeUa3oNiQxBk"
+    for text, first, last in (("AKIA" + "Q7" * 10 + "/" + rest, 0, 24), ("0a1b2c3d" * 4 + "_" + rest, 0, 32), (rest + "/" + "0a1b2c3d" * 4, 41, 73)):
+        spans = secrets.base_spans(text)
+        assert [(a, b) for a, _, b in spans] == [(first, last)]
+        found = secrets.candidates(text, spans)
+        assert len(found) == 1 and rest in text[int(found[0][0]) : int(found[0][1])] and found[0][3] >= 0
+        assert all(c[1] <= first or c[0] >= last for c in found)
+
+
 def test_random_strings_pass_the_battery_and_words_do_not():
     rng = random.Random(5)
     alphabets = [a for _, a in secrets._ALPHABETS]
