@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.llm import darts, html_text, long_matches, mixing, multi_index, patience, quality, secrets, templates, toxicity
+from segmill.llm import darts, html_text, long_matches, mixing, multi_index, patience, quality, secrets, templates, token_files, toxicity
 from segmill.llm.common import bounded_batches, held_out, unpack
+from segmill.operators.staging import staging_path
 from segmill.sources import read_table
 
 
@@ -88,6 +89,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, toxicity.score(F.col("text"), weights), toxicity.THRESHOLD)
 
 
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = staging_path(spark, "token-files")
+    token_files.write_tokens(_read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_tokens(spark, path, ids=False)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,7 +106,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
         op1_licenses, op2_secrets, op3_near_duplicates, op4_decontamination, op5_html_text, op6_quality, op7_long_matches,
-        op8_mixing, op9_nearest_vectors, op10_toxicity, pipeline,
+        op8_mixing, op9_nearest_vectors, op10_toxicity, op11_token_ids, pipeline,
     ]
     return {query.__name__: query for query in registered}
 
