@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.llm import darts, html_text, long_matches, mixing, multi_index, patience, quality, secrets, templates, token_files, toxicity
+from segmill.llm import codes, darts, html_text, long_matches, mixing, multi_index, patience, quality, secrets, templates, token_files, toxicity
 from segmill.llm.common import bounded_batches, held_out, unpack
 from segmill.operators.staging import staging_path
 from segmill.sources import read_table
@@ -97,6 +97,11 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path, ids=False)
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = codes.compress(_read(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -106,10 +111,45 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
         op1_licenses, op2_secrets, op3_near_duplicates, op4_decontamination, op5_html_text, op6_quality, op7_long_matches,
-        op8_mixing, op9_nearest_vectors, op10_toxicity, op11_token_ids, pipeline,
+        op8_mixing, op9_nearest_vectors, op10_toxicity, op11_token_ids, op12_vector_codes, pipeline,
     ]
     return {query.__name__: query for query in registered}
 
 
+def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds one by one, in integers throughout."""
+    square = "list_sum(list_transform(generate_series(1, len(r.x)), lambda i: (r.x[i] - b.x[i]) * (r.x[i] - b.x[i])))"
+
+    def assigned(n: int) -> str:
+        return f"""
+            a{n} as materialized (
+                select vec_id, p, any_value(label) as label, arg_min(e, {entries} * d + e) as e, min(d) as d
+                from (select r.vec_id, r.label, r.p, b.e, {square}::hugeint as d from r join b{n} b on r.p = b.p)
+                group by vec_id, p)"""
+
+    steps = "".join(
+        f"""{assigned(n)},
+            s{n} as (
+                select p, e, i, sum(x[i])::hugeint as s, count(*) as c
+                from a{n} join r using (vec_id, p), generate_series(1, len(x)) as t(i) group by p, e, i),
+            u{n} as (select p, e, list(((s - (s % c + c) % c) // c)::bigint order by i) as x from s{n} group by p, e),
+            b{n + 1} as materialized (select b.p, b.e, coalesce(u.x, b.x) as x from b{n} b left join u{n} u on b.p = u.p and b.e = u.e),"""
+        for n in range(rounds)
+    )
+    return f"""
+        with kept as materialized (
+            select vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        r as materialized (
+            select vec_id, label, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] as x from kept, range({parts}) as t(p)),
+        f as (select vec_id, row_number() over (order by vec_id) - 1 as e from kept qualify e < {entries}),
+        b0 as materialized (select p, e, x from r join f using (vec_id)),{steps}{assigned(rounds)},
+        books as (select sha256(string_agg(array_to_string(x, ','), ',' order by p, e)) as h from b{rounds}),
+        rows as (
+            select vec_id, any_value(label) as label, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error
+            from a{rounds} group by vec_id)
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, h as codebooks_sha256 from rows, books"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_vector_codes": _vector_codes_sql()}
