@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.llm import codes, darts, html_text, long_matches, mixing, multi_index, patience, quality, secrets, templates, token_files, toxicity
+from segmill.llm import codes, darts, html_text, long_matches, mixing, multi_index, patience, phrases, quality, secrets, templates, token_files, toxicity
 from segmill.llm.common import bounded_batches, held_out, unpack
 from segmill.operators.staging import staging_path
 from segmill.sources import read_table
@@ -102,6 +102,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.best(phrases.mine(_read(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -111,7 +115,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
         op1_licenses, op2_secrets, op3_near_duplicates, op4_decontamination, op5_html_text, op6_quality, op7_long_matches,
-        op8_mixing, op9_nearest_vectors, op10_toxicity, op11_token_ids, op12_vector_codes, pipeline,
+        op8_mixing, op9_nearest_vectors, op10_toxicity, op11_token_ids, op12_vector_codes, op13_collocations, pipeline,
     ]
     return {query.__name__: query for query in registered}
 
@@ -151,5 +155,37 @@ def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str
         select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, h as codebooks_sha256 from rows, books"""
 
 
+#: Phrases as lists of words, counted whole; a phrase of which a longer one holds all cases is dropped.
+_COLLOCATIONS_SQL = r"""
+    with docs as (
+        select row_number() over () as d, coalesce(lang, 'und') as lang,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+    pieces as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as p from docs),
+    lists as materialized (
+        select lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda w: w <> '') as w from pieces),
+    f as materialized (
+        select lang, k, array_to_string(w[i : i + k - 1], ' ') as ph, count(*) as a
+        from (select lang, w, k, unnest(generate_series(1, len(w) - k + 1)) as i from lists, generate_series(1, 5) as t(k))
+        group by all having k = 1 or a >= 100),
+    total as (select lang, sum(a)::bigint as n from f where k = 1 group by lang),
+    candidates as materialized (select lang, k, ph, a, string_split(ph, ' ') as w from f where k > 1),
+    halves as materialized (
+        select lang, ph, k, a, cut, array_to_string(w[1 : cut], ' ') as lp, array_to_string(w[cut + 1 :], ' ') as rp
+        from candidates, generate_series(1, 4) as t(cut) where cut < k),
+    with_l as materialized (select h.*, f.a as l from halves h join f on f.lang = h.lang and f.ph = h.lp),
+    cuts as materialized (
+        select h.lang, h.ph, h.a, cut, l, f.a as r, n, (1000::hugeint * h.a * n) // (l::hugeint * f.a) as score
+        from with_l h join f on f.lang = h.lang and f.ph = h.rp join total on total.lang = h.lang),
+    chosen as (select * from cuts qualify row_number() over (partition by lang, ph order by score, cut) = 1),
+    inside as materialized (
+        select lang, array_to_string(w[i : i + m - 1], ' ') as ph, max(a) as longer
+        from candidates, generate_series(2, 4) as t(m), generate_series(1, 4) as u(i)
+        where m < k and i + m - 1 <= k group by all),
+    ranked as (
+        select c.lang, row_number() over (partition by c.lang order by score desc, a desc, c.ph) as rank, c.ph as phrase, a, l, r, n, score
+        from chosen c left join inside i on c.lang = i.lang and c.ph = i.ph where i.longer is null or 100 * i.longer < 100 * a)
+    select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score from ranked where rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op12_vector_codes": _vector_codes_sql()}
+    return {"op12_vector_codes": _vector_codes_sql(), "op13_collocations": _COLLOCATIONS_SQL}
