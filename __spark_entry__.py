@@ -15,18 +15,18 @@ from pyspark.sql import functions as F
 
 from segmill.functions import named
 from segmill.operators import cluster, summarise
-from segmill.operators.evaluate import silhouette
+from segmill.operators.evaluate import silhouette, silhouette_per_cluster
 from segmill.operators.features import column_stats, numeric_columns, usable_features
 from segmill.operators.prepare import VECTOR, fit_imputer, fit_preparation
 from segmill.operators.project import align, flatten_names, json_safe, training_columns
 from segmill.operators.sampling import cap_rows, distinct_sample
-from segmill.operators.staging import stage, staging_path
+from segmill.operators.staging import owned, stage, staging_path
 from segmill.operators.text import word_count
 from segmill.plans import (
     Config, DataPaths, Preprocessing, Training, TrainResult, predict, prepare_training, run_prediction, run_training, train,
 )
 from segmill.sinks import publish_results, read_published, save_bundle, write_csv, write_document, write_json_rows
-from segmill.sources import load_bundle, read_json_rows, read_lines, read_table
+from segmill.sources import load_bundle, read_json_quarantine, read_json_rows, read_lines, read_table
 
 try:
     from segmill.llm import queries as llm_queries
@@ -187,16 +187,8 @@ def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row about the sample: whether its size is within bounds, and rows it has more often than the table."""
-    lines = _read(spark, sf_dir, "lineitem")
-    sample = stage(cap_rows(lines, 2000, seed=42, mode="bernoulli"), "sample")
-    whole = lines.groupBy(*lines.columns).agg(F.count("*").alias("there"))
-    again = sample.groupBy(*lines.columns).agg(F.count("*").alias("here"))
-    same = [whole[c].eqNullSafe(again[c]) for c in lines.columns]
-    strange = again.join(whole, same, "left").where(F.coalesce("there", F.lit(0)) < F.col("here"))
-    return sample.agg((F.count("*") <= 2000).alias("at_most"), (F.count("*") > 1700).alias("enough")).join(
-        strange.agg(F.count("*").alias("strange"))
-    )
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    return cap_rows(_read(spark, sf_dir, "lineitem"), 2000, seed=42, mode="bernoulli", keys=keys)
 
 
 def sample_repeatable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,6 +287,17 @@ def silhouette_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _score_row(spark, silhouette(df, distance="cosine"))
 
 
+def silhouettes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silhouettes per cluster by both distances; one of the clusters is a single row."""
+    price = F.col("o_totalprice")
+    label = F.when(F.col("o_orderkey") == 0, 3).when(price < 100_000, 0).when(price < 250_000, 1).otherwise(2)
+    rows = _read(spark, sf_dir, "orders").select(
+        label.alias("prediction"), array_to_vector(F.array(price / 1000, F.col("o_custkey").cast("double"))).alias(VECTOR)
+    )
+    tables = [silhouette_per_cluster(rows, distance=d).withColumn("distance", F.lit(d)) for d in ("squaredEuclidean", "cosine")]
+    return tables[0].unionByName(tables[1]).select("distance", "prediction", "n", _rounded(F.col("score"), 6, "score"))
+
+
 def kmeans_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain, prepared = _prepared_blobs(spark, sf_dir)
     model = cluster.fit_kmeans(prepared.select(VECTOR), k=3, seed=42)
@@ -501,6 +504,18 @@ def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_rows(spark, path, parts.schema)
 
 
+def json_rows_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as JSON lines of which some are cut off and some hold a text for a number: good rows typed, bad lines as they are."""
+    parts, path = _read(spark, sf_dir, "part"), staging_path(spark, "json")
+    key = F.col("p_partkey").cast("string")
+    torn = F.concat(F.lit('{"p_partkey":'), key, F.lit(',"p_name":"'), "p_name")
+    text = F.concat(F.lit('{"p_partkey":'), key, F.lit(',"p_size":"large","p_name":"'), "p_name", F.lit('"}'))
+    line = F.when(F.col("p_partkey") % 7 == 0, torn).when(F.col("p_partkey") % 11 == 0, text).when(F.col("p_partkey") % 13 == 0, " ")
+    parts.select(F.coalesce(line, F.to_json(F.struct("*"))).alias("value")).write.text(path)
+    good, bad = read_json_quarantine(spark, path, parts.schema)
+    return good.unionByName(bad.select(F.col("value").alias("bad_line")), allowMissingColumns=True)
+
+
 def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count(_read(spark, sf_dir, "documents"), "text")
 
@@ -521,12 +536,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         column_fill_stats, feature_selection, cast_features, flatten_names_array, flatten_names_struct,
         flatten_names_scalar, align_schema, json_safe_rows, dedup_rows, sample_bernoulli, sample_repeatable,
         sample_distinct, prepare_training_rows, prepare_training_capped, default_train_rows, median_values, median_skewed, mean_values, mode_values,
-        impute_rows, standardise_rows, cluster_profile, silhouette_by_label, silhouette_cosine, kmeans_labels,
+        impute_rows, standardise_rows, cluster_profile, silhouette_by_label, silhouette_cosine, silhouettes, kmeans_labels,
         kmeans_sweep, sweep_scores, cluster_centers, lineitem_segments, train_labels, training_metrics, model_info,
         train_predict, predict_gaps, predict_keyed, feature_called_n, published_profiles, published_centers,
-        published_metrics, published_info, configured_run, guard_messages, job_groups, csv_round_trip, json_rows, word_counts, word_counts_from_lines,
+        published_metrics, published_info, configured_run, guard_messages, job_groups, csv_round_trip, json_rows, json_rows_quarantine, word_counts, word_counts_from_lines,
     ]
-    named = {query.__name__: query for query in registered}
+    named = {query.__name__: owned(query) for query in registered}
     return named | llm_queries.queries() if llm_queries else named
 
 
@@ -572,7 +587,7 @@ _BAND_VECTORS = "select prediction, [l_quantity, l_extendedprice, l_discount, l_
 
 
 def _silhouette_sql(points: str, dims: int, cosine: bool = False) -> str:
-    """CTEs up to ``score(score)``: the closed form over a relation (prediction, v)."""
+    """CTEs up to ``row_scores(prediction, score)`` and ``score(score)``: the closed form over a relation (prediction, v)."""
     unit = "list_transform(v, lambda e: e / sqrt(list_inner_product(v, v)))" if cosine else "v"
     sums = ", ".join(f"sum(v[{i + 1}])" for i in range(dims))
     if cosine:
@@ -583,17 +598,17 @@ def _silhouette_sql(points: str, dims: int, cosine: bool = False) -> str:
     vectors as (select row_number() over () as id, prediction, {unit} as v, list_inner_product(v, v) as sq from {points}),
     sums as (select prediction, count(*) as n, sum(sq) as sq, [{sums}] as total from vectors group by prediction),
     far as (
-        select p.id, p.prediction = c.prediction as own, c.n, {mean_distance} as d
+        select p.id, p.prediction, p.prediction = c.prediction as own, c.n, {mean_distance} as d
         from vectors p, sums c),
     sides as (
-        select id,
+        select id, any_value(prediction) as prediction,
             max(case when own then n end) as n,
             max(case when own then d * n / nullif(n - 1, 0) end) as a,
             min(case when not own then d end) as b
         from far group by id),
-    score as (
-        select avg(case when n = 1 then 0 when a < b then 1 - a / b when a > b then b / a - 1 else 0 end) as score
-        from sides)"""
+    row_scores as (
+        select prediction, case when n = 1 then 0 when a < b then 1 - a / b when a > b then b / a - 1 else 0 end as score from sides),
+    score as (select avg(score) as score from row_scores)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -652,7 +667,10 @@ def oracle_sql() -> dict[str, str]:
         "dedup_rows": "select distinct l_quantity, l_discount, l_tax from lineitem",
         "sample_repeatable": """
             select * from orders order by md5(concat(o_orderkey, '#42')), o_orderkey limit 1000""",
-        "sample_bernoulli": "select true as at_most, true as enough, 0::bigint as strange",
+        "sample_bernoulli": """
+            select * exclude (h) from (select *, md5(concat_ws('#', l_orderkey, l_partkey, l_suppkey, l_linenumber, 42)) as h from lineitem)
+            where substr(h, 1, 15) < format('{:015x}', floor(2000::double / (select count(*) from lineitem) * 1152921504606846976::double)::bigint)
+            order by h limit 2000""",
         "sample_distinct": """
             select distinct on (l_partkey, l_suppkey) l_partkey, l_suppkey from lineitem
             qualify dense_rank() over (order by md5(concat_ws('#', l_partkey, l_suppkey, 42)), l_partkey, l_suppkey) <= 1000""",
@@ -701,6 +719,16 @@ def oracle_sql() -> dict[str, str]:
         "silhouette_cosine": f"""
             with {_BANDED}, {_silhouette_sql(f"({_BAND_VECTORS})", 4, cosine=True)}
             select round(score, 6) as score from score""",
+        "silhouettes": " union all ".join(
+            f"""
+            select * from (
+                with points as (
+                    select (case when o_orderkey = 0 then 3 when o_totalprice < 100000 then 0 when o_totalprice < 250000 then 1 else 2 end)::integer
+                        as prediction, [o_totalprice / 1000, o_custkey::double] as v from orders),
+                {_silhouette_sql("points", 2, cosine)}
+                select '{distance}' as distance, prediction, count(*) as n, round(avg(score), 6) + 0.0 as score from row_scores group by prediction)"""
+            for distance, cosine in (("squaredEuclidean", False), ("cosine", True))
+        ),
         "kmeans_labels": f"with {_BLOBS} select product_name, x::double as x, y::double as y, prediction from blobs",
         "kmeans_sweep": f"""
             with {_BLOBS}, {_BLOB_POINTS}, {blob_score} select 3::integer as k, round(score, 6) as score from score""",
@@ -767,6 +795,13 @@ def oracle_sql() -> dict[str, str]:
         "job_groups": "select 'kmeans-k-' || k as job_group, true as ran from generate_series(2, 4) as t(k)",
         "csv_round_trip": "select * from customer",
         "json_rows": "select * from part",
+        "json_rows_quarantine": """
+            select *, null::varchar as bad_line from part where p_partkey % 7 <> 0 and p_partkey % 11 <> 0 and p_partkey % 13 <> 0
+            union all by name
+            select concat('{"p_partkey":', p_partkey, ',"p_name":"', p_name) as bad_line from part where p_partkey % 7 = 0
+            union all by name
+            select concat('{"p_partkey":', p_partkey, ',"p_size":"large","p_name":"', p_name, '"}') as bad_line
+            from part where p_partkey % 7 <> 0 and p_partkey % 11 = 0""",
         "word_counts": word_sql,
         "word_counts_from_lines": word_sql,
     }

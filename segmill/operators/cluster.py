@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import FIRST_EXCEPTION, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
+from threading import Event
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -75,6 +77,38 @@ class Sweep:
         return spark.createDataFrame(self.scores, "k int, score double")
 
 
+def together[A, B](spark: SparkSession, work: Callable[[A], B], of: Sequence[A], parallelism: int) -> list[B]:
+    """``work`` of every argument, ``parallelism`` side by side in threads, each with job properties of its own.
+
+    After the first failure no further argument is begun, and jobs that are running or that a call still starts are
+    cancelled until all calls have ended. All jobs carry one tag, so jobs of the caller go on.
+    """
+    context, tag, failed = spark.sparkContext, f"together-{uuid.uuid4().hex}", Event()
+
+    def one(argument: A) -> B | None:
+        if failed.is_set():
+            return None
+        context.addJobTag(tag)
+        try:
+            return work(argument)
+        except BaseException:
+            failed.set()
+            raise
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        calls: list[Future] = [pool.submit(inheritable_thread_target(spark)(one), argument) for argument in of]
+        done, open_ = wait(calls, return_when=FIRST_EXCEPTION)
+        errors = [call.exception() for call in done if call.exception()]
+        while open_:
+            for call in open_:
+                call.cancel()
+            context.cancelJobsWithTag(tag)
+            _, open_ = wait(open_, timeout=0.2)
+    if errors:
+        raise errors[0]
+    return [call.result() for call in calls]
+
+
 def sweep(
     prepared: DataFrame,
     k_min: int = 2,
@@ -92,6 +126,7 @@ def sweep(
     released at the end: 8 bytes per row and feature, in memory or on the executors' disks. ``parallelism`` fits run
     side by side, each in its own job group, so that the executors have work while another fit
     is between its jobs. A running fit adds 8 bytes per row (the vectors' norms) and k centers per task.
+    If a fit fails, those not begun are dropped and the jobs of the others cancelled, and its error is raised.
     """
     spark = prepared.sparkSession
     vectors = prepared.select(VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
@@ -108,11 +143,8 @@ def sweep(
             scored = sum(size > 0 for size in model.summary.clusterSizes) > 1
             return k, silhouette(model.transform(vectors), LABEL, VECTOR, distance, metric) if scored else None, model
 
-        with ThreadPoolExecutor(parallelism) as pool:
-            # Longest first. One wrapped call per k: each holds job properties of its own.
-            ks = range(k_max, k_min - 1, -1)
-            jobs = [pool.submit(inheritable_thread_target(spark)(fit_and_score), k) for k in ks]
-            tried = [job.result() for job in reversed(jobs)]
+        # Longest first.
+        tried = sorted(together(spark, fit_and_score, range(k_max, k_min - 1, -1), parallelism), key=lambda t: t[0])
     finally:
         vectors.unpersist()
 

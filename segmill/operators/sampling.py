@@ -1,8 +1,8 @@
 """Capping a table at a number of rows.
 
 Two ways to do it. ``bernoulli`` keeps each row with probability target / rows and
-then cuts off what is above the target; which rows that are depends on how the
-table is partitioned, and it may keep a few rows too few. ``hash`` keeps exactly
+then cuts off what is above the target, so it may keep a few rows too few; which rows that are depends on how the
+table is partitioned, or, with keys, on nothing but the keys and the seed. ``hash`` keeps exactly
 the rows with the smallest hashes, which depends on nothing but the rows and the
 seed. A hash does not care how often a row occurs, so such a sample can be drawn
 below a duplicate removal: only rows that can be in the sample get shuffled.
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ from segmill.operators.staging import drop_staged, stage
 _RANK = "__rank"
 _DIGITS = 2  # hex digits per refinement: 256 counts reach the driver
 _EDGE_ROWS = 100_000  # rows that may be sorted and cut in one place
+_SLICES = 64
 _SIGN = -(2**63)
 
 
@@ -94,6 +95,39 @@ def smallest(df: DataFrame, rank: Column, n: int) -> DataFrame:
     return below.unionByName(edge).drop(_RANK)
 
 
+def _drawn(df: DataFrame, n: int, rows: int, seed: int, keys: Sequence[str] | None) -> DataFrame:
+    """Each of the ``rows`` rows with probability ``n / rows``, but at most ``n`` of them.
+
+    One pass: it writes the rows drawn, and counts them by 64 slices of their random number on the way. What
+    is too much then lies in one slice, and only that is sorted.
+    """
+    if keys is None:
+        number = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), 4)
+    else:
+        number = F.conv(F.substring(row_rank(df, seed, keys), 1, 15), 16, 10).cast("long")
+    bound = int(n / rows * 16**15)
+    width = -(-bound // _SLICES)
+    ranked = df.withColumn(_RANK, F.struct(number.alias("number"), _row_hash(df, seed).alias("row"))).where(F.col(_RANK)["number"] < bound)
+    slice_ = F.floor(F.col(_RANK)["number"] / width)
+    seen = Observation()
+    counted = [F.count(F.when(slice_ == i, 1)).alias(f"slice_{i}") for i in range(_SLICES)]
+    staged = stage(ranked.observe(seen, *counted), "drawn")
+    counts = [seen.get[f"slice_{i}"] for i in range(_SLICES)]
+    if sum(counts) <= n:
+        return staged.drop(_RANK)
+    need = n
+    for cut, count in enumerate(counts):
+        if count >= need:
+            break
+        need -= count
+    below, edge = staged.where(slice_ < cut), staged.where(slice_ == cut)
+    if counts[cut] > _EDGE_ROWS:
+        edge = smallest(edge.withColumnRenamed(_RANK, "__drawn"), F.lpad(F.hex(F.col("__drawn")["number"]), 16, "0"), need).withColumnRenamed("__drawn", _RANK)
+    else:
+        edge = edge.orderBy(_RANK).limit(need)
+    return below.unionByName(edge).drop(_RANK)
+
+
 def cap_rows(
     df: DataFrame,
     n: int,
@@ -103,9 +137,10 @@ def cap_rows(
 ) -> DataFrame:
     """At most ``n`` rows of ``df``; a table that has no more is returned unchanged.
 
-    ``df`` is read more than once, so it should be a table or ``stage``d, not the
-    outcome of a long plan. Both modes cut by rank, ``bernoulli`` among the rows drawn. ``keys`` (for ``hash``) names the columns to hash; the
-    default is the whole row.
+    ``df`` is read more than once, so it should be a table or ``stage``d, not the outcome of a long plan: ``bernoulli``
+    counts it and draws in one pass. ``keys`` names the columns whose hash is the rank; without them it is a hash of
+    the whole row (``hash``), or rows are drawn by their place in the table (``bernoulli``). Rows of equal keys are drawn
+    together, and told apart by a hash of the row where the cut is among them.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -114,7 +149,7 @@ def cap_rows(
     if mode != "bernoulli":
         raise ValueError(f"mode must be 'bernoulli' or 'hash', not {mode!r}")
     rows = df.count()
-    return df if rows <= n else smallest(stage(df.sample(False, n / rows, seed), "sampled"), row_rank(df, seed), n)
+    return df if rows <= n else _drawn(df, n, rows, seed, keys)
 
 
 def distinct_sample(

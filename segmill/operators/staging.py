@@ -10,9 +10,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open: ContextVar[Scope | None] = ContextVar("scope", default=None)
+
 
 def staging_root(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``.
@@ -36,8 +42,11 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A path below the staging root that nothing else uses."""
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the staging root that nothing else uses. It belongs to the innermost open ``Scope``."""
+    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if scope := _open.get():
+        scope.paths.append((spark, path))
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -48,6 +57,61 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _plain(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme and without escapes, as files of a table are compared with it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(place).toString()
+
+
+class Scope:
+    """Owns what is staged while it is open, and deletes it at its end, after a failure as well.
+
+    What ``keep`` names survives a good end: the folders that those tables read then belong to the scope
+    around this one, if there is one, else to the caller.
+    """
+
+    def __init__(self) -> None:
+        self.paths: list[tuple[SparkSession, str]] = []
+        self.kept: set[str] = set()
+
+    def __enter__(self) -> Scope:
+        self._outer = _open.set(self)
+        return self
+
+    def keep(self, *tables: DataFrame) -> None:
+        for df in tables:
+            # file:///a and file:/a are the same
+            files = [re.sub("^file:/+", "file:/", unquote(file)) for file in df.inputFiles()]
+            for spark, path in self.paths:
+                if any(file.startswith(f"{_plain(spark, path)}/") for file in files):
+                    self.kept.add(path)
+
+    def __exit__(self, kind: type | None, *_: object) -> None:
+        _open.reset(self._outer)
+        outer = _open.get()
+        for spark, path in self.paths:
+            if kind is None and path in self.kept:
+                if outer:
+                    outer.paths.append((spark, path))
+                continue
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def owned[**P](query: Callable[P, DataFrame]) -> Callable[P, DataFrame]:
+    """``query`` in a scope of its own, which keeps what the returned table reads."""
+
+    @wraps(query)
+    def scoped(*args: P.args, **kwargs: P.kwargs) -> DataFrame:
+        with Scope() as scope:
+            out = query(*args, **kwargs)
+            scope.keep(out)
+        return out
+
+    return scoped
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a table that ``stage`` returned. Files outside the staging root are left alone."""
     spark = df.sparkSession

@@ -13,7 +13,7 @@ from segmill.operators.features import choose_features
 from segmill.operators.prepare import Preparation, fit_preparation
 from segmill.operators.project import NAME_COLUMN, plain_results, training_columns
 from segmill.operators.sampling import cap_rows, distinct_sample
-from segmill.operators.staging import drop_staged, stage
+from segmill.operators.staging import Scope, drop_staged, stage
 from segmill.plans.config import Config, Preprocessing, Training
 from segmill.sinks import publish_results, save_bundle, write_csv, write_document
 from segmill.sources import Bundle, read_table
@@ -46,8 +46,15 @@ def prepare_training(
     rows that can be in the sample are shuffled. ``bernoulli`` needs the number of
     distinct rows, hence removes duplicates from the whole table first. The working table
     is staged, and read in partitions of about ROWS_PER_PARTITION rows whatever its size.
-    Features that are called like a result column get a trailing underscore.
+    Features that are called like a result column get a trailing underscore. What else is staged on the way is deleted.
     """
+    with Scope() as scope:
+        table = _prepared(raw, options, seed, name_column)
+        scope.keep(table.df)
+    return table
+
+
+def _prepared(raw: DataFrame, options: Preprocessing, seed: int, name_column: str) -> PreparedTable:
     raw = plain_results(raw)
     features, rows_total = choose_features(raw, options.min_non_null_ratio)
     texts = list(name_columns(raw.schema, name_column))
@@ -58,7 +65,7 @@ def prepare_training(
         working, rows_working = distinct_sample(table, target, seed, rows_total, options.sample_keys)
     else:
         distinct = stage(table.dropDuplicates(), "distinct")
-        working = cap_rows(distinct, target, seed, options.sampling)
+        working = cap_rows(distinct, target, seed, options.sampling, options.sample_keys)
         rows_working = working.count()
     partitions = rows_working // ROWS_PER_PARTITION + 1
     if target < rows_total:
@@ -100,7 +107,19 @@ def train(
     input_path: str | None = None,
     name_column: str = NAME_COLUMN,
 ) -> TrainResult:
-    """Prepare ``raw``, search for the best number of clusters and describe the outcome."""
+    """Prepare ``raw``, search for the best number of clusters and describe the outcome.
+
+    Of what is staged on the way only the working table is left, and after a failure nothing.
+    """
+    with Scope() as scope:
+        result = _trained(raw, preprocessing, training, input_path, name_column)
+        scope.keep(result.prepared.df)
+    return result
+
+
+def _trained(
+    raw: DataFrame, preprocessing: Preprocessing, training: Training, input_path: str | None, name_column: str
+) -> TrainResult:
     spark = raw.sparkSession
     table = prepare_training(raw, preprocessing, training.seed, name_column)
     preparation = fit_preparation(

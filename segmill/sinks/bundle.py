@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 
 from pyspark.sql import SparkSession
 
+from segmill.operators import commits
 from segmill.sinks.files import write_document
-from segmill.sources.bundle import IMPUTER_DIR, INFO_DOCUMENT, KMEANS_DIR, SCALER_DIR, VERSIONS, VERSIONS_SCHEMA, Bundle
+from segmill.sources.bundle import IMPUTER_DIR, INFO_DOCUMENT, KMEANS_DIR, LOG, SCALER_DIR, VERSIONS, Bundle
 
 
 def save_bundle(spark: SparkSession, bundle: Bundle, root: str) -> str:
     """Save under ``root`` and return the folder of this version.
 
-    Every save goes to a folder of its own and is entered in the index of versions only when it
-    is whole. Readers take the latest entry, so they see the earlier bundle until
-    then, and also after a save that died half-way.
+    Every save goes to a folder of its own and is entered in the numbered log of versions only when it
+    is whole. Readers take the last entry, so they see the earlier bundle until then, and
+    also after a save that died half-way. Of several savers the one that commits last wins, whatever their clocks say.
     """
     version = uuid.uuid4().hex
     folder = f"{root.rstrip('/')}/{VERSIONS}/{version}"
@@ -24,6 +24,5 @@ def save_bundle(spark: SparkSession, bundle: Bundle, root: str) -> str:
     bundle.imputer.write().save(f"{folder}/{IMPUTER_DIR}")
     bundle.scaler.write().save(f"{folder}/{SCALER_DIR}")
     write_document(bundle.info(spark, folder), f"{folder}/{INFO_DOCUMENT}")
-    entry = spark.createDataFrame([(version, time.time_ns())], VERSIONS_SCHEMA)
-    entry.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{VERSIONS}/index")
+    commits.append(spark, f"{root.rstrip('/')}/{LOG}", {"version": version})
     return folder

@@ -9,6 +9,7 @@ from pyspark.ml.feature import ImputerModel, StandardScalerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segmill.operators import commits
 from segmill.operators.prepare import imputed_names
 
 # Names inside the bundle, the recorded model type, and the record's fields.
@@ -17,7 +18,8 @@ IMPUTER_DIR = "imputer_model"
 SCALER_DIR = "scaler_model"
 INFO_DOCUMENT = "model_info.json"
 VERSIONS = "versions"
-VERSIONS_SCHEMA = "version string, saved_at bigint"
+LOG = "versions/log"
+LOG_SCHEMA = "version string"
 MODEL_TYPE = "pyspark.ml.clustering.KMeansModel"
 INFO_SCHEMA = (
     "model_type string, best_k int, best_score double, metric_name string, "
@@ -60,13 +62,8 @@ class Bundle:
 def bundle_folder(spark: SparkSession, root: str) -> str:
     """Where the bundle saved last under ``root`` is; ``root`` itself if it holds a bundle without versions."""
     root = root.rstrip("/")
-    index = f"{root}/{VERSIONS}/index"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(index)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return root
-    saved = spark.read.schema(VERSIONS_SCHEMA).parquet(index)
-    version = saved.agg(F.max(F.struct("saved_at", "version"))["version"]).first()[0]
-    return f"{root}/{VERSIONS}/{version}"
+    version = commits.entries(spark, f"{root}/{LOG}", LOG_SCHEMA).agg(F.max_by("version", "entry")).first()[0]
+    return root if version is None else f"{root}/{VERSIONS}/{version}"
 
 
 def load_bundle(spark: SparkSession, root: str) -> Bundle:

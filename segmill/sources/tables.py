@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+#: Name of the text of a bad line beside the parsed fields; longer than any name that a schema is likely to have.
+_BAD = "__line_that_is_not_of_the_schema"
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -24,6 +28,22 @@ def read_json_rows(spark: SparkSession, path: str, schema: StructType | str, on_
     return spark.read.schema(schema).option("mode", mode).json(path)
 
 
+def read_json_quarantine(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+    """The good rows of a file of JSON objects, one per line, and the bad lines.
+
+    A line is bad if it is no JSON object or a value is not of its field's type: it then appears in the second table
+    as it is (``value``) with its ``file``, and none of it in the first. Missing fields are null and others are
+    ignored; lines without text are no rows. Both tables are lazy and each is one pass over the lines.
+    """
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.from_json("value", StructType([*fields.fields]).add(_BAD, StringType()), options).alias("row"))
+    bad = F.col("row").isNull() | F.col("row").getField(_BAD).isNotNull()
+    good = parsed.where(~bad).select(*[F.col("row").getField(f.name).alias(f.name) for f in fields.fields])
+    return good, parsed.where(bad).select("file", "value")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """The lines of text files, in the column ``value``."""
     return spark.read.text(path)

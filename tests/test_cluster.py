@@ -4,7 +4,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from segmill.operators import cluster, summarise
-from segmill.operators.evaluate import silhouette
+from segmill.operators.evaluate import silhouette, silhouette_per_cluster
 from segmill.operators.prepare import fit_preparation
 
 
@@ -127,3 +127,74 @@ def test_metrics_record(spark):
         "best_k": 2, "best_score": 0.5, "metric_name": "silhouette", "rows_total": 100, "rows_working": 20,
         "features_count": 2, "features": ["a", "b"],
     }
+
+
+@pytest.mark.parametrize("name", ["squaredEuclidean", "cosine"])
+def test_silhouette_per_cluster(spark, name):
+    rng = np.random.default_rng(3)
+    points, labels = rng.normal(size=(60, 3)) + 1, np.array([0] * 25 + [4] * 34 + [7])
+    rows = [(p.tolist(), int(c)) for p, c in zip(points, labels, strict=True)]
+    df = spark.createDataFrame(rows, "v array<double>, prediction int").select("prediction", array_to_vector("v").alias("features"))
+    odd = df.unionByName(spark.createDataFrame([(None, [1.0, 2.0, 3.0]), (4, None)], "prediction int, v array<double>").select("prediction", F.when(F.col("v").isNotNull(), array_to_vector("v")).alias("features")))
+    got = silhouette_per_cluster(odd, distance=name).collect()
+    assert [(r.prediction, r.n) for r in got] == [(0, 25), (4, 34), (7, 1)] and got[2].score == 0.0
+    whole = sum(r.n * r.score for r in got) / 60
+    assert whole == pytest.approx(silhouette(df, distance=name), abs=1e-9)
+
+    def distance(p, q):
+        return ((p - q) ** 2).sum() if name == "squaredEuclidean" else 1 - p @ q / np.sqrt((p @ p) * (q @ q))
+
+    assert whole == pytest.approx(naive_silhouette(points, labels, distance), abs=1e-9)
+
+
+def test_silhouette_needs_two_clusters_and_a_known_distance(spark):
+    df = spark.range(4).select(F.lit(1).alias("prediction"), array_to_vector(F.array(F.col("id").cast("double"))).alias("features"))
+    with pytest.raises(ValueError, match="two clusters"):
+        silhouette_per_cluster(df)
+    with pytest.raises(ValueError, match="two clusters"):
+        silhouette_per_cluster(df.where("false"))
+    with pytest.raises(ValueError, match="distance must be"):
+        silhouette_per_cluster(df, distance="manhattan")
+
+
+def test_zero_vector_is_at_distance_one_by_cosine(spark):
+    rows = [(0, [0.0, 0.0]), (0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "prediction int, v array<double>").select("prediction", array_to_vector("v").alias("features"))
+    assert [r.score for r in silhouette_per_cluster(df, distance="cosine").collect()] == pytest.approx([0.0, 1.0])
+
+
+def test_a_failed_fit_stops_the_sweep(spark, monkeypatch):
+    prepared = spark.range(300).select(array_to_vector(F.array((F.col("id") % 3 * 10).cast("double"), F.rand(1))).alias("features"))
+    begun, whole = [], cluster.fit_kmeans
+
+    def fit(df, k, *args, **kwargs):
+        begun.append(k)
+        if k == 9:
+            raise RuntimeError("no fit of nine")
+        return whole(df, k, *args, **kwargs)
+
+    monkeypatch.setattr(cluster, "fit_kmeans", fit)
+    with pytest.raises(RuntimeError, match="no fit of nine"):
+        cluster.sweep(prepared, 2, 10, parallelism=1)
+    assert begun == [10, 9]
+    tracker = spark.sparkContext.statusTracker()
+    assert not tracker.getActiveJobsIds()
+
+
+def test_running_jobs_are_cancelled_after_a_failure(spark):
+    """One call runs jobs for minutes; the failure of the other ends it, and jobs of others go on."""
+    from time import monotonic, sleep
+
+    def work(argument):
+        if argument == "fails":
+            sleep(1.5)
+            raise ValueError("failed")
+        slow = spark.range(0, 8, 1, 8).select(F.expr("java_method('java.lang.Thread', 'sleep', 60000L + id)"))
+        slow.collect()
+
+    start = monotonic()
+    with pytest.raises(ValueError, match="failed"):
+        cluster.together(spark, work, ["slow", "fails", "never"], 2)
+    assert monotonic() - start < 40
+    assert spark.range(10).count() == 10
+    assert cluster.together(spark, lambda x: x + spark.range(x).count(), [3, 1, 2], 2) == [6, 2, 4]

@@ -5,6 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from segmill.operators import commits
+from segmill.operators.staging import Scope, stage, staging_root
 from segmill.plans import Config, DataPaths, Preprocessing, Training, load_config, predict, prepare_training
 from segmill.plans import run_prediction, run_training, train
 from segmill.sinks import publish_results, read_published, save_bundle, write_csv, write_document
@@ -285,3 +287,100 @@ def test_config_file(tmp_path):
     path.write_text(json.dumps({"training": {"kmax": 3}}))
     with pytest.raises(ValueError, match="unknown Training options: kmax"):
         load_config(str(path))
+
+
+def test_a_reused_run_id_is_never_seen_half_written(spark, result, tmp_path, monkeypatch):
+    """Readers look after every table of a second publication under the same id."""
+    root, info = str(tmp_path / "results"), result.bundle.info(spark)
+    publish_results(spark, root, result.profiles, result.centers, result.metrics, info, "same")
+    seen, whole = [], commits.append
+
+    def look():
+        seen.append(tuple(read_published(spark, root, t, "same").count() for t in ("cluster_profiles", "cluster_centers", "training_metrics")))
+
+    def append(*args):
+        look()
+        return whole(*args)
+
+    monkeypatch.setattr(commits, "append", append)
+    publish_results(spark, root, result.profiles.limit(1), result.centers.limit(1), result.metrics, info, "same")
+    look()
+    assert seen == [(2, 2, 1), (1, 1, 1)]
+    with pytest.raises(ValueError, match="nothing published"):
+        read_published(spark, root, "model_info", "other")
+    with pytest.raises(ValueError, match="nothing published"):
+        read_published(spark, str(tmp_path / "none"), "model_info")
+
+
+def test_the_later_commit_wins_whatever_the_clocks_say(spark, result, tmp_path, monkeypatch):
+    import time
+    from dataclasses import replace
+
+    root = str(tmp_path / "bundle")
+    for n, clock in enumerate((2_000, 1_000)):
+        monkeypatch.setattr(time, "time_ns", lambda clock=clock: clock)
+        monkeypatch.setattr(time, "time", lambda clock=clock: clock / 1e9)
+        save_bundle(spark, replace(result.bundle, best_score=float(n)), root)
+    monkeypatch.undo()
+    assert load_bundle(spark, root).best_score == 1.0
+
+
+def test_writers_of_one_number_get_different_ones(spark, tmp_path):
+    """A hundred entries by ten writers at once, all of which may look before any has written."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    folder = str(tmp_path / "log")
+    with ThreadPoolExecutor(10) as pool:
+        numbers = list(pool.map(lambda i: commits.append(spark, folder, {"version": f"v{i}"}), range(100)))
+    assert sorted(numbers) == list(range(1, 101))
+    rows = commits.entries(spark, folder, "version string").collect()
+    assert {(r.entry, r.version) for r in rows} == {(n, f"v{i}") for i, n in enumerate(numbers)}
+
+
+def test_an_entry_without_text_does_not_count(spark, tmp_path):
+    folder = str(tmp_path / "log")
+    assert commits.entries(spark, folder, "version string").count() == 0
+    commits.append(spark, folder, {"version": "a"})
+    assert commits.create_once(spark, f"{folder}/{2:020d}.json", "")
+    assert not commits.create_once(spark, f"{folder}/{2:020d}.json", "x")
+    assert [tuple(r) for r in commits.entries(spark, folder, "version string").collect()] == [(1, "a")]
+    assert commits.append(spark, folder, {"version": "b"}) == 3
+
+
+def staged(spark):
+    return set(Path(staging_root(spark).removeprefix("file:")).glob("*"))
+
+
+@pytest.mark.parametrize("options", [Preprocessing(), Preprocessing(target_n=100), Preprocessing(target_n=100, sampling="bernoulli")])
+def test_training_leaves_its_working_table_only(spark, products, options):
+    before = staged(spark)
+    trained = train(products, options, Training(k_max=2))
+    left = staged(spark) - before
+    assert len(left) == 1 and trained.labelled.count() == trained.prepared.rows_working
+    trained.release()
+    assert staged(spark) == before
+
+
+def test_failed_training_leaves_nothing(spark, products):
+    before = staged(spark)
+    with pytest.raises(ValueError, match="too few rows"):
+        train(products, Preprocessing(), Training(k_min=5000, k_max=6000))
+    assert staged(spark) == before
+
+
+def test_scopes_in_scopes(spark):
+    before = staged(spark)
+    with Scope() as outer:
+        with Scope() as inner:
+            kept, _ = stage(spark.range(3), "kept"), stage(spark.range(3), "gone")
+            inner.keep(kept.where("id > 0"))
+        assert len(staged(spark) - before) == 1
+        with pytest.raises(RuntimeError), Scope() as failed:
+            failed.keep(stage(spark.range(3), "kept"))
+            raise RuntimeError
+        assert len(staged(spark) - before) == 1
+        outer.keep(kept)
+    assert kept.count() == 3
+    with Scope():
+        stage(spark.range(3), "gone")
+    assert len(staged(spark) - before) == 1

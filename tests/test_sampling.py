@@ -79,9 +79,9 @@ def test_cut_through_equal_rows_sorts_few_of_them(spark, monkeypatch):
 @pytest.mark.parametrize("n", [49, 51])
 def test_bernoulli_acts_alike_around_the_old_threshold(numbers, monkeypatch, n):
     monkeypatch.setattr(sampling, "_EDGE_ROWS", 50)
-    sampled = rows_of(cap_rows(numbers, n, seed=3))
-    drawn = numbers.sample(False, n / 5000, 3)
-    assert sampled == brute_force(drawn, row_rank(drawn, 3), n)
+    sampled = rows_of(cap_rows(numbers, n, seed=3, keys=["k"]))
+    drawn = numbers.where(F.conv(F.substring(row_rank(numbers, 3, ["k"]), 1, 15), 16, 10).cast("long") < int(n / 5000 * 16**15))
+    assert sampled == brute_force(drawn, row_rank(drawn, 3, ["k"]), n)
 
 
 def test_distinct_sample_by_keys(spark):
@@ -130,3 +130,34 @@ def test_smallest_is_filter_without_wide_shuffle(numbers, monkeypatch):
     monkeypatch.setattr(sampling, "_EDGE_ROWS", 50)
     plan = smallest(numbers, row_rank(numbers), 1000)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("TakeOrderedAndProject") == 1 and "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("edge", [5, 100_000])
+@pytest.mark.parametrize("seed", range(6))
+def test_keyed_bernoulli_draws_the_same_rows_everywhere(numbers, monkeypatch, seed, edge):
+    monkeypatch.setattr(sampling, "_EDGE_ROWS", edge)
+    rank = F.substring(row_rank(numbers, seed, ["k"]), 1, 15)
+    ranked = sorted((r.rank, r.k, r.x) for r in numbers.withColumn("rank", rank).collect())
+    expected = sorted((k, x) for rank, k, x in ranked[:1000] if int(rank, 16) < int(1000 / 5000 * 16**15))
+    for table in (numbers, numbers.orderBy(F.desc("k")).repartition(3)):
+        assert rows_of(cap_rows(table, 1000, seed, "bernoulli", ["k"])) == expected
+
+
+def test_bernoulli_draws_copies_apart_without_keys_and_together_with(spark):
+    df = stage(spark.range(4000).select((F.col("id") % 2).alias("k")), "copies")
+    assert 1700 < cap_rows(df, 2000, 3).count() <= 2000
+    assert cap_rows(df, 2000, 3, keys=["k"]).count() in (0, 2000)
+
+
+def test_bernoulli_is_one_pass(spark, monkeypatch):
+    """Rows are numbered once: what is too much is cut in the written sample."""
+    passes = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            passes.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(3000).mapInArrow(seen, "id long")
+    sampling._drawn(df, 1000, 3000, 1, ["id"]).count()
+    assert passes.value == 3000
