@@ -42,6 +42,8 @@ BUCKETS = 1 << 24
 #: Languages up to which their totals are broadcast.
 BROADCAST_LANGS = 10_000
 _SALTS = 64
+#: Tasks per core that count, and candidates whose counts are added up together.
+_TASKS, _PIECE = 3, 8192
 #: Words of a block.
 _BLOCK = 1 << 20
 
@@ -253,7 +255,11 @@ def _candidates(corpus: DataFrame, length: int, shorter: list[np.ndarray], total
 
 
 def _counted(corpus: DataFrame, candidates: DataFrame, length: int, least: int, scratch: Scratch) -> DataFrame:
-    """``key, n`` of the candidates that occur ``least`` times, counted by tries of ``TRIE`` candidates each."""
+    """``key, n`` of the candidates that occur ``least`` times, counted by tries of ``TRIE`` candidates each.
+
+    The counts of a task are one array, cut into pieces of ``_PIECE`` candidates whose arrays are then added up. There are
+    a few tasks per core, not one per block, so what is added up does not grow with the corpus.
+    """
     context = corpus.sparkSession.sparkContext
     tables = []
     for part in _parts(candidates, TRIE):
@@ -268,11 +274,21 @@ def _counted(corpus: DataFrame, candidates: DataFrame, length: int, least: int,
                 for ids in _numbers(batch):
                     rows = trie.ends(ids, length)
                     total += np.bincount(rows[rows >= 0], minlength=len(keys))
-            hit = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([keys[i].tobytes() for i in hit], pa.binary()), pa.array(total[hit])], names=["key", "n"])
+            pieces = range(0, len(keys), _PIECE)
+            counts = [total[start : start + _PIECE].astype("<i8").tobytes() for start in pieces]
+            yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.int64()), pa.array(counts, pa.binary())], names=["start", "counts"])
 
-        counts = corpus.mapInArrow(count, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        tables.append(scratch.stage(counts.where(F.col("n") >= least), "phrases"))
+        def add(batches: Iterator[pa.RecordBatch], shared: Any = shared) -> Iterator[pa.RecordBatch]:
+            keys, total = shared.value[1], {}
+            for batch in batches:
+                for start, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    total[start] = total.get(start, 0) + np.frombuffer(counts, "<i8")
+            for start, counts in total.items():
+                hit = np.flatnonzero(counts >= least)
+                yield pa.RecordBatch.from_arrays([pa.array([keys[start + i].tobytes() for i in hit], pa.binary()), pa.array(counts[hit])], names=["key", "n"])
+
+        tasks = corpus.coalesce(_TASKS * context.defaultParallelism).mapInArrow(count, "start long, counts binary")
+        tables.append(scratch.stage(tasks.repartition("start").mapInArrow(add, "key binary, n long"), "phrases"))
     if not tables:
         return corpus.sparkSession.createDataFrame([], "key binary, n long")
     out = tables[0]
