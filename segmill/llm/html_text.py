@@ -2,12 +2,15 @@
 
 A page is read into blocks, each with its path of tags from the root. Zones that are never
 article text (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments of
-readers) are told by tag, role, class and id; within an article by whole classes, and where a part of
-one is a mark, by links and punctuation. For the other blocks, text length and
+readers) are told by tag, role, class and id. Within an article a class tells if it holds a mark and otherwise
+only marks and words of layout (``comment-list``, ``ad-slot``); an id of that kind does too, unless the element opens
+with that very title and nothing in it is signed or dated by readers. Where another part of a class or id is a mark, links and
+punctuation decide. For the other blocks, text length and
 punctuation are summed per tag path and divided by the number of blocks, smoothed over
 neighbouring paths and multiplied; paths above one standard deviation hold content. The
 smallest element that holds nearly all of that content is a seed: the main text is every block of
 the article or main around it, or else of the highest element around it that adds no zone and no links.
+All of it takes time linear in the page.
 """
 
 from __future__ import annotations
@@ -15,239 +18,66 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from html.parser import HTMLParser
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What HTML says of its elements.
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = set(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rb rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
-)
-CLOSES_P = set(
-    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "header hgroup hr main menu nav ol p pre search section table ul".split()
-)
-SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "option": "option optgroup", "tr": "tr td th", "td": "td th", "th": "td th"}
-SCOPES = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "option": "select", "tr": "table", "td": "tr table", "th": "tr table"}
-
-# What is never article text.
-ZONES = set(
-    "head script style noscript template nav footer aside form button select textarea input iframe object svg canvas audio video "
-    "dialog menu search".split()
-)
-ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
-MARKS = set(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar nav navbar "
-    "navigation menu breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices popup modal overlay newsletter "
-    "subscribe subscription signup login share sharing social related recommended recommendations comment comments disqus respond "
-    "replies widget toolbar pagination pager search skip hidden".split()
-)
-WHOLE_MARKS = set("header site-header page-header top-header site-footer page-footer".split())
-
-HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
-#: Zones that say nothing about the layout of a page.
-UNSEEN = set("head script style noscript template iframe object svg canvas audio video".split())
+from segmill.llm.html_reader import Block, Node, Reader
 
 #: Share of the content that the seed must hold.
 HELD = 0.9
-_SPLIT = re.compile(r"[\s_\-:]+|(?<=[a-z])(?=[A-Z])")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、؟¿¡]")
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
-
-
-@dataclass
-class _Element:
-    tag: str
-    number: int
-    path: tuple[str, ...]
-    lineage: tuple[int, ...]
-    dropped: bool
-    in_article: bool
-    in_link: bool
-
-
-#: What stands above the first tag.
-_ROOT = _Element("", 0, ("",), (0,), False, False, False)
-#: Elements nested deeper count as part of the one at this depth.
-_DEEPEST = 512
-
-
-@dataclass
-class Block:
-    """Text between two block boundaries: path, numbers of the elements around it, characters inside links."""
-
-    path: tuple[str, ...]
-    lineage: tuple[int, ...]
-    parts: list[str] = field(default_factory=list)
-    linked: int = 0
-
-    @property
-    def text(self) -> str:
-        return " ".join("".join(self.parts).split())
-
-
-def _is_zone(tag: str, attributes: dict[str, str | None], in_article: bool) -> bool:
-    if tag in ZONES or (tag == "header" and not in_article) or "hidden" in attributes:
-        return True
-    value = lambda name: attributes.get(name) or ""
-    if value("aria-hidden") == "true" or value("role").lower() in ROLES or _HIDDEN.search(value("style")):
-        return True
-    names = f"{value('class')} {value('id')}"
-    marks = {m.lower() for m in _SPLIT.split(names) if m}
-    if tag in ("html", "body"):
-        return False
-    if in_article and tag not in ("article", "main"):
-        return tag not in INLINE and bool(set(_names(tag, attributes).lower().split()) & MARKS)
-    if tag in HEADINGS:
-        return bool({m.lower() for m in _SPLIT.split(value("class")) if m} & MARKS)
-    if tag in ("article", "main"):
-        return bool(marks & {"comment", "comments", "ad", "advert", "sponsored", "related", "promo"})
-    return bool(marks & MARKS or WHOLE_MARKS & set(names.lower().split()))
-
+_WORDS = re.compile(r"[^\W_]+")
 
-def _names(tag: str, attributes: dict[str, str | None]) -> str:
-    """The classes, and the id unless it is an anchor."""
-    return f"{attributes.get('class') or ''} {'' if tag in HEADINGS or tag == 'section' else attributes.get('id') or ''}"
 
+def _sums(values: list[float]) -> np.ndarray:
+    return np.concatenate([[0.0], np.cumsum(np.array(values, float))])
 
-def _is_doubtful(tag: str, attributes: dict[str, str | None], in_article: bool) -> bool:
-    """Whether a part of a class or id within an article is a mark: then its text decides."""
-    if not in_article or tag in INLINE or tag in ("html", "body", "article", "main"):
-        return False
-    names = _names(tag, attributes)
-    return bool({m.lower() for m in _SPLIT.split(names) if m} & MARKS or WHOLE_MARKS & set(names.lower().split()))
 
+def _chars(block: Block) -> int:
+    return len(block.text) - block.text.count(" ")
 
-class _Reader(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.stack: list[_Element] = []
-        self.opened: Counter[str] = Counter()
-        self.count = 0
-        self.blocks: list[Block] = []
-        self.open: Block | None = None
-        self.articles: set[int] = set()  # numbers of the elements that are an article or main
-        self.doubtful: set[int] = set()  # numbers of the elements that may be zones
-        self.zoned: set[int] = set()  # numbers of the elements that hold a zone
 
-    def _close_to(self, tags: set[str], stop: set[str] = frozenset()) -> None:
-        if not any(self.opened[t] for t in tags):
-            return
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag in tags:
-                self._drop_from(i)
-                self.open = None
-                return
-            if self.stack[i].tag in stop:
-                return
+def _marks(block: Block) -> int:
+    return len(_PUNCTUATION.findall(block.text))
 
-    def _drop_from(self, i: int) -> None:
-        self.opened.subtract(e.tag for e in self.stack[i:])
-        del self.stack[i:]
 
-    def handle_starttag(self, tag, attrs):
-        if tag in CLOSES_P:
-            self._close_to({"p"}, {"article", "section", "div", "td", "th", "li", "blockquote", "body", "button", "table", "figure"})
-        if tag in SIBLINGS:
-            self._close_to(set(SIBLINGS[tag].split()), set(SCOPES[tag].split()))
-        if tag in ("br", "hr", "wbr") or tag in VOID:
-            if tag == "br":
-                self.handle_data("\n")
-            elif tag not in INLINE:
-                self.open = None
-            return
-        above = self.stack[-1] if self.stack else _ROOT
-        self.count += 1
-        path, lineage = above.path, above.lineage
-        if tag not in INLINE:
-            self.open = None
-            if len(path) < _DEEPEST:
-                path, lineage = (*path, tag), (*lineage, self.count)
-        attributes = dict(attrs)
-        dropped = above.dropped or _is_zone(tag, attributes, above.in_article)
-        if dropped and not above.dropped and tag not in UNSEEN:
-            self.zoned.update(above.lineage)
-        elif tag not in INLINE and lineage is not above.lineage and _is_doubtful(tag, attributes, above.in_article):
-            self.doubtful.add(self.count)
-        article = tag in ("article", "main") or (attributes.get("role") or "").lower() == "main"
-        if article and lineage is not above.lineage:
-            self.articles.add(self.count)
-        in_article, in_link = above.in_article or article, above.in_link or tag == "a"
-        self.stack.append(_Element(tag, self.count, path, lineage, dropped, in_article, in_link))
-        self.opened[tag] += 1
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        if not self.opened[tag]:
-            return
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag == tag:
-                if any(e.tag not in INLINE for e in self.stack[i:]):
-                    if tag in INLINE:
-                        return  # an inline end tag does not close the blocks opened since
-                    self.open = None
-                self._drop_from(i)
-                return
-
-    def handle_data(self, data):
-        above = self.stack[-1] if self.stack else _ROOT
-        if above.dropped:
-            return
-        if self.open is None:
-            if not data.strip():
-                return
-            self.open = Block(above.path, above.lineage)
-            self.blocks.append(self.open)
-        self.open.parts.append(data)
-        if above.in_link:
-            self.open.linked += len("".join(data.split()))
-
-
-def read_blocks(html: str | None) -> list[Block]:
-    """Blocks outside the zones, in page order; none for a null or empty page."""
-    return _read(html)[0]
-
-
-def _read(html: str | None) -> tuple[list[Block], set[int], set[int]]:
-    """Blocks outside the zones, and numbers of the elements that are an article or main, and that hold a zone."""
+def read_page(html: str | None) -> tuple[list[Node], list[Block]]:
+    """Elements, and blocks outside the zones in page order; none of either for a null or empty page."""
     if not html:
-        return [], set(), set()
-    reader = _Reader()
-    reader.feed(html)
-    reader.close()
-    blocks = [b for b in reader.blocks if b.text]
-    if reader.doubtful:
-        low = _low(blocks, reader.doubtful)
-        blocks = [b for b in blocks if low.isdisjoint(b.lineage)]
-    return blocks, reader.articles, reader.zoned
-
-
-def _low(blocks: list[Block], elements: set[int]) -> set[int]:
-    """Those of the elements whose text is half links or more, or has no punctuation."""
-    chars, linked, marks = Counter(), Counter(), Counter()
+        return [], []
+    reader = Reader(html)
+    nodes, blocks = reader.nodes, reader.blocks
     for b in blocks:
-        for e in elements.intersection(b.lineage):
-            chars[e] += len("".join(b.text.split()))
-            linked[e] += b.linked
-            marks[e] += len(_PUNCTUATION.findall(b.text))
-    return {e for e in chars if linked[e] >= 0.5 * chars[e] or not marks[e]}
-
-
-def path_scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
+        b.text = " ".join("".join(b.parts).split())
+    chars, linked, marks = (_sums([f(b) for b in blocks]) for f in (_chars, lambda b: b.linked, _marks))
+    kept = np.array([bool(b.text) for b in blocks], bool)
+    for n in nodes:
+        size, links, signs = (x[n.end] - x[n.first] for x in (chars, linked, marks))
+        low = n.doubtful and size and (links >= 0.5 * size or not signs)
+        if low or (n.anchor and not _is_titled(n, blocks)):
+            kept[n.first : n.end] = False
+    place = np.concatenate([[0], np.cumsum(kept)])
+    for n in nodes:
+        n.first, n.end = int(place[n.first]), int(place[n.end])
+    return nodes, [b for b, k in zip(blocks, kept.tolist()) if k]
+
+
+def _is_titled(node: Node, blocks: list[Block]) -> bool:
+    """Whether the element's first text is its id spelt out, and no reader wrote in it."""
+    title = next((b.text for b in blocks[node.first : node.end] if b.text), "")
+    return not node.readers and _WORDS.findall(title.lower()) == _WORDS.findall(node.anchor.lower())
+
+
+def path_scores(blocks: list[Block]) -> dict[int, float]:
     """Smoothed text and punctuation per block of every tag path, multiplied."""
     order = list(dict.fromkeys(b.path for b in blocks))
     place = {p: i for i, p in enumerate(order)}
     at = np.array([place[b.path] for b in blocks])
     plain = np.array([max(len(b.text) - b.linked, 0) for b in blocks], float)
-    marks = np.array([len(_PUNCTUATION.findall(b.text)) for b in blocks], float)
+    marks = np.array([_marks(b) for b in blocks], float)
     number = np.bincount(at, minlength=len(order))
     ratios = []
     for values in (plain, marks):
@@ -258,26 +88,27 @@ def path_scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
     return {p: float(fused[i]) for p, i in place.items()}
 
 
-def _link_heavy(blocks: list[Block]) -> set[tuple[str, ...]]:
-    """Tag paths of which half the characters or more are links."""
+def _has_links_only(blocks: list[Block]) -> bool:
+    """Whether half the characters or more of a tag path are links."""
     linked, chars = Counter(), Counter()
     for b in blocks:
         linked[b.path] += b.linked
-        chars[b.path] += len("".join(b.text.split()))
-    return {p for p in chars if linked[p] and linked[p] >= 0.5 * chars[p]}
+        chars[b.path] += _chars(b)
+    return any(linked[p] and linked[p] >= 0.5 * chars[p] for p in chars)
 
 
-def _region(seed: int, blocks: list[Block], articles: set[int], zoned: set[int]) -> int:
+def _region(seed: int, nodes: list[Node], blocks: list[Block]) -> int:
     """The nearest article or main around the seed, or the highest element that adds no zone and no link-heavy path."""
-    lineage = next(b.lineage for b in blocks if seed in b.lineage)
-    around = lineage[: lineage.index(seed) + 1][::-1]
+    around = [seed]
+    while nodes[around[-1]].parent >= 0:
+        around.append(nodes[around[-1]].parent)
     for e in around:
-        if e in articles:
+        if nodes[e].article:
             return e
     region = seed
-    for d, e in zip(range(len(around) - 2, -1, -1), around[1:], strict=True):
-        inner = (e, region)
-        if e in zoned or _link_heavy([b for b in blocks if b.lineage[d : d + 1] == inner[:1] and b.lineage[d : d + 2] != inner]):
+    for e in around[1:]:
+        added = blocks[nodes[e].first : nodes[region].first] + blocks[nodes[region].end : nodes[e].end]
+        if nodes[e].zoned or _has_links_only(added):
             break
         region = e
     return region
@@ -285,37 +116,35 @@ def _region(seed: int, blocks: list[Block], articles: set[int], zoned: set[int])
 
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by line feeds; empty if there is none."""
-    blocks, articles, zoned = _read(html)
+    nodes, blocks = read_page(html)
     if not blocks:
         return ""
     scores = path_scores(blocks)
     values = np.array(list(scores.values()))
     least = min(values.std(), values.max()) if len(values) > 1 else 0.0
-    weight: dict[int, int] = {}
-    total = 0
-    for b in blocks:
-        if scores[b.path] >= least:
-            plain = max(len(b.text) - b.linked, 0)
-            total += plain
-            for e in b.lineage:
-                weight[e] = weight.get(e, 0) + plain
-    heaviest = [e for e, w in weight.items() if total and w >= HELD * total]
-    chosen = max(heaviest, key=lambda e: max((b.lineage.index(e) for b in blocks if e in b.lineage), default=0), default=None)
-    content = [b for b in blocks if chosen is None or chosen in b.lineage]
-    leaf = content and all(b.lineage[-1] == chosen for b in content) and len(blocks) > 1
-    if leaf and len(content[0].lineage) > 1 and content[0].path[-1] in ("p", "h1", "h2", "h3", "li", "pre", "blockquote"):
-        chosen = content[0].lineage[-2]  # a lone paragraph stands for its parent
-    if chosen is not None:
-        region = _region(chosen, blocks, articles, zoned)
-        content = [b for b in blocks if region in b.lineage]
-        if region in articles:
+    weight = _sums([max(len(b.text) - b.linked, 0) if scores[b.path] >= least else 0 for b in blocks])
+    held = np.array([weight[n.end] - weight[n.first] for n in nodes])
+    content = blocks
+    if weight[-1]:
+        # Elements that hold so much lie in each other.
+        chosen = max(np.flatnonzero(held >= HELD * weight[-1]).tolist(), key=lambda e: nodes[e].depth)
+        node = nodes[chosen]
+        content = blocks[node.first : node.end]
+        if node.depth and len(blocks) > 1 and node.tag in ("p", "h1", "h2", "h3", "li", "pre", "blockquote") and all(b.node == chosen for b in content):
+            chosen = node.parent  # a lone paragraph stands for its parent
+        region = nodes[_region(chosen, nodes, blocks)]
+        content = blocks[region.first : region.end]
+        if region.article:
             return "\n".join(b.text for b in content)
-    kept = [b.text for b in content if not (b.linked and b.linked >= 0.8 * len("".join(b.text.split())) and b.path[-1] in ("li", "ul", "ol"))]
+    kept = [b.text for b in content if not (b.linked and b.linked >= 0.8 * _chars(b) and nodes[b.node].tag in ("li", "ul", "ol"))]
     return "\n".join(kept)
 
 
 def extract(html: Column) -> Column:
-    """Main text of whole pages; empty for a null or empty page."""
+    """Main text of whole pages, each by itself: equal pages have equal texts, whatever other columns there are.
+
+    Empty for a null or empty page and one without text; a page of any length and depth is read whole.
+    """
 
     def extracted(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in pages:
