@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import zlib
 from collections.abc import Iterator
 from itertools import chain, repeat
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +118,7 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -125,6 +128,9 @@ class Encoder:
         self.cuts = parts.get("normalizer") is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space")
         self.known: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
+        # Words of ASCII letters are one piece each, and look the same byte for byte: the model alone encodes them.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = CharDelimiterSplit(" ")
         self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that begin with a blank
         self.opens[[i for token, i in vocabulary.items() if token.startswith(_BLANK)]] = True
 
@@ -132,30 +138,38 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def _encode_words(self, words: list[str], letters: bool) -> list[bytes]:
         """Ids of words without white space, each with a blank before: encoded as one text, they part at the blanks."""
         out: list[bytes] = []
         for start in range(0, len(words), 50_000):
-            raw = self._encode([" " + " ".join(words[start : start + 50_000])])[0]
+            some = words[start : start + 50_000]
+            if letters:
+                encoded = self.letters.encode_batch_fast([_BLANK + f" {_BLANK}".join(some)], add_special_tokens=False)
+                raw = np.array(encoded[0].ids, "<u4").tobytes()
+            else:
+                raw = self._encode([" " + " ".join(some)])[0]
             at = (4 * np.flatnonzero(self.opens[np.frombuffer(raw, "<u4")])).tolist()
             out += [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)])]
         return out
 
-    def _learn(self, pieces: list[str]) -> list[bytes]:
-        """The ids of every piece with a blank before it; short ones are remembered."""
+    def _learn(self, pieces: list[str], again: list[bool]) -> list[bytes]:
+        """The ids of every piece with a blank before it; short ones that are met ``again`` are remembered."""
         if len(self.known) > _REMEMBERED:
             self.known = {}
         stems = [p.rstrip(_TAIL) for p in pieces]
         stems = [s if s.isalpha() and (s.isascii() or max(s) < _LATIN) else p for p, s in zip(pieces, stems)]
         new = {s for s in stems if s not in self.known}
-        words = [p for p in new if len(p.split()) == 1]
-        others = list(new.difference(words))
-        fresh = dict(zip(words, self._encode_words(words), strict=True))
+        letters = [p for p in new if p.isascii() and p.isalpha()]
+        words = [p for p in new.difference(letters) if len(p.split()) == 1]
+        others = list(new.difference(letters, words))
+        fresh = dict(zip(letters, self._encode_words(letters, True), strict=True))
+        fresh.update(zip(words, self._encode_words(words, False), strict=True))
         fresh.update(zip(others, self._encode([" " + p for p in others]), strict=True))
         tails = list({p[len(s) :] for p, s in zip(pieces, stems)})
         tail = dict(zip(tails, self._encode(tails)))
-        found = [(fresh.get(s) or self.known[s]) + tail[p[len(s) :]] for p, s in zip(pieces, stems)]
-        self.known.update((p, ids) for p, ids in chain(fresh.items(), zip(pieces, found)) if len(p) <= _SHORT)
+        known = self.known
+        found = [(fresh.get(s) or known[s]) + tail[p[len(s) :]] for p, s in zip(pieces, stems)]
+        self.known.update((p, ids) for p, ids, a in zip(pieces, found, again) if a and len(p) <= _SHORT)
         return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +188,8 @@ class Encoder:
         irregular[odd] = True
         whole = np.logical_or.reduceat(irregular[which], heads)
         new = [i for i in new if not irregular[i]]
-        for i, ids in chain(zip(odd, repeat(b"")), zip(new, self._learn([pieces[i] for i in new]))):
+        again = (np.bincount(which, minlength=len(pieces)) > 1).tolist()
+        for i, ids in chain(zip(odd, repeat(b"")), zip(new, self._learn([pieces[i] for i in new], [again[i] for i in new]))):
             pool[i] = ids
         # The first piece has no blank before it; a text that is not cut has all its ids there.
         first = self._encode([texts[i].as_py() if w else pieces[which[h]] for i, (h, w) in enumerate(zip(heads.tolist(), whole.tolist()))])
@@ -188,6 +203,14 @@ class Encoder:
         return np.frombuffer(b"".join(pool), "<u4")[at], np.add.reduceat(taken, heads)
 
 
+def _encoder(path: str) -> Encoder:
+    """The encoder of this worker process: what it remembers serves all its tasks."""
+    held = sys.modules.setdefault("segmill_encoders", ModuleType("segmill_encoders")).__dict__
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 def _schema(id_type: T.DataType) -> T.StructType:
     fields = [
         ("shard", T.IntegerType()), ("block", T.IntegerType()), ("first", T.LongType()), ("doc_ids", T.ArrayType(id_type)),
@@ -231,7 +254,7 @@ def write_tokens(
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        encode, shard, arrow = Encoder(tokenizer), TaskContext.get().partitionId(), to_arrow_schema(schema)
+        encode, shard, arrow = _encoder(tokenizer), TaskContext.get().partitionId(), to_arrow_schema(schema)
         block, first = 0, 0
         names, lengths, values = [], np.zeros(0, np.int64), np.zeros(0, np.uint64)
 
