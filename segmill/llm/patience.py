@@ -49,6 +49,15 @@ _GPL = """This program is free software: you can redistribute it and/or modify i
 License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."""
 _MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
 distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable
+for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin
+of this software must not be misrepresented; you must not claim that you wrote the original software."""
+_BOOST = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying
+documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software"""
+_WTFPL = """Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed
+as long as the name is changed."""
+_EPL = """This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"""
 _UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,
 use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
 commercial or non-commercial, and by any means."""
@@ -64,6 +73,10 @@ TEMPLATES = {
     "AGPL-3.0": [_GPL.format(" Affero", 3), "This work is licensed under the GNU Affero General Public License, version 3"],
     "MPL-2.0": [_MPL, "Licensed under the Mozilla Public License, Version 2.0"],
     "Unlicense": [_UNLICENSE],
+    "Zlib": [_ZLIB],
+    "BSL-1.0": [_BOOST, "Distributed under the Boost Software License, Version 1.0"],
+    "WTFPL": [_WTFPL, "Do What The Fuck You Want To Public License"],
+    "EPL-2.0": [_EPL],
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0 license"],
     **{
         f"CC-{kind}-4.0": [
@@ -77,8 +90,6 @@ TEMPLATES = {
         }.items()
     },
 }
-#: Texts without any of these cannot hold a template.
-GATES = ("licen", "copyright", "public domain", "redistribut", "permission", "software")
 #: Everyday words, which do not mark the place of a template.
 COMMON = set("a an and any are as at be but by can for from if in is it its no not of on or that the this to under was with you".split())
 
@@ -87,15 +98,28 @@ _WORD = re.compile(r"\w+")
 
 @dataclass(frozen=True)
 class Template:
+    """``signals`` are words of the template by which it is looked for, more than a copy may lack."""
+
     license: str
     words: tuple[str, ...]
     signals: frozenset[str]
 
+    def spare(self, least: float) -> int:
+        """Words that a copy of coverage ``least`` may lack."""
+        return int(len(self.words) - least * len(self.words) + 1e-9)
+
+    def need(self, least: float) -> int:
+        """Signals that it holds at least: each word that it lacks is one of them at most."""
+        return max(1, len(self.signals) - self.spare(least))
+
 
 def _template(license: str, text: str) -> Template:
     words = tuple(_WORD.findall(text.lower()))
-    once = {w for w, n in Counter(words).items() if n == 1}
-    return Template(license, words, frozenset(once - COMMON))
+    counts = Counter(words)
+    once = {w for w, n in counts.items() if n == 1}
+    # Short or repetitive templates have few rare words: then all that occur once are signals, or all there are.
+    signals = next((c for c in (once - COMMON, once) if len(c) > 0.3 * len(words)), set(counts))
+    return Template(license, words, frozenset(signals))
 
 
 def templates(texts: dict[str, list[str]] = TEMPLATES) -> list[Template]:
@@ -137,6 +161,11 @@ def align(text: list[str], template: tuple[str, ...] | list[str]) -> list[tuple[
         ours, theirs = Counter(text[a:b]), Counter(template[c:d])
         unique = {w for w, n in theirs.items() if n == 1 and ours.get(w) == 1}
         if not unique:
+            # Nothing to anchor on: all pairs of equal words, of which the longest rising run is the best alignment.
+            spots: dict[str, list[int]] = {}
+            for j in range(d - 1, c - 1, -1):
+                spots.setdefault(template[j], []).append(j)
+            out += _increasing([(i, j) for i in range(a, b) for j in spots.get(text[i], ())])
             continue
         place = {w: j for j, w in enumerate(template[c:d], c) if w in unique}
         anchors = _increasing([(i, place[w]) for i, w in enumerate(text[a:b], a) if w in unique])
@@ -166,10 +195,8 @@ def _around(words: list[str], template: Template, where: dict[str, list[int]], l
 
     A copy lacks at most ``spare`` of the template's words, so it holds one of any ``spare + 1`` signals.
     """
-    n = len(template.words)
-    spare = int(n - least * n + 1e-9)
-    rarest = sorted(template.signals, key=lambda w: (len(where.get(w, ())), w))[: spare + 1]
-    need = len(template.signals) - spare
+    n, need = len(template.words), template.need(least)
+    rarest = sorted(template.signals, key=lambda w: (len(where.get(w, ())), w))[: template.spare(least) + 1]
     spots = sorted((i, w) for w in template.signals for i in where.get(w, ()))
     places = [i for i, _ in spots]
     starts = sorted({i - template.words.index(w) for w in rarest for i in where.get(w, ())})
@@ -191,29 +218,33 @@ def find_licenses(text: str | None, known: list[Template], least: float = COVERA
     Of finds that overlap, the one with more matched words stays, then the one of higher
     coverage, then the shorter. Start and end are code points. A null or empty text holds nothing.
     """
-    if not text or not any(g in (low := text.lower()) for g in GATES):
+    if not text:
+        return []
+    low = text.lower()
+    signals = set().union(*(t.signals for t in known))
+    if signals.isdisjoint(_WORD.findall(low)):
         return []
     tokens = list(_WORD.finditer(low if len(low) == len(text) else text))
     words = [m[0].lower() for m in tokens]
     where: dict[str, list[int]] = {}
-    signals = set().union(*(t.signals for t in known)) if known else set()
     for i, w in enumerate(words):
         if w in signals:
             where.setdefault(w, []).append(i)
     found = set()
     for t in known:
-        if sum(w in where for w in t.signals) < 0.5 * len(t.signals):
+        if len(t.signals & where.keys()) < t.need(least):
             continue
         for begin, end in {*_stretches(words, t, where), *_around(words, t, where, least)}:
             pairs = align(words[begin:end], t.words)
-            if len(pairs) >= least * len(t.words):
+            if pairs and len(pairs) >= least * len(t.words):
                 first, last = tokens[begin + pairs[0][0]], tokens[begin + pairs[-1][0]]
                 found.add((t.license, len(pairs) / len(t.words), len(pairs), len(t.words), first.start(), last.end()))
-    kept: list[tuple[str, float, int, int, int, int]] = []
+    kept: list[tuple[int, tuple[str, float, int, int, int, int]]] = []  # by place; they do not overlap
     for f in sorted(found, key=lambda f: (-f[2], -f[1], f[5] - f[4], f[4], f[0])):
-        if all(f[5] <= k[4] or k[5] <= f[4] for k in kept):
-            kept.append(f)
-    return sorted(kept, key=lambda f: f[4])
+        at = bisect_left(kept, (f[4],))
+        if (at == 0 or kept[at - 1][1][5] <= f[4]) and (at == len(kept) or f[5] <= kept[at][0]):
+            kept.insert(at, (f[4], f))
+    return [f for _, f in kept]
 
 
 def scan_licenses(
