@@ -213,6 +213,7 @@ def _candidates(corpus: DataFrame, length: int, shorter: list[np.ndarray], total
     context = corpus.sparkSession.sparkContext
     wanted = 1 << max(10, (total // 16).bit_length())
     buckets, slices = min(wanted, BUCKETS), max(1, wanted // BUCKETS)
+    pieces = max(64, buckets >> 16)
     tables = []
     for part in shorter or [None]:
         trie = context.broadcast(None if part is None else _trie_arrays(part))
@@ -238,16 +239,34 @@ def _candidates(corpus: DataFrame, length: int, shorter: list[np.ndarray], total
             heavy[summed.where(F.col("n") >= least).select("bucket").toArrow().column("bucket").to_numpy()] = True
             bits = context.broadcast(np.packbits(heavy).tobytes())
 
+            kind = f"V{4 * length}"
+
             def distinct(batches: Iterator[pa.RecordBatch], windows: Any = windows, bits: Any = bits) -> Iterator[pa.RecordBatch]:
                 heavy = np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
+                seen: dict[int, np.ndarray] = {}
                 for batch in batches:
                     for ids in _numbers(batch):
                         at, bucket = windows(ids)
-                        at = at[heavy[bucket]]
-                        rows = np.unique(ids[at[:, None] + np.arange(length)].astype("<i4").view(f"V{4 * length}").ravel()) if len(at) else []
-                        yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary())], names=["key"])
-
-            tables.append(scratch.stage(corpus.mapInArrow(distinct, "key binary").distinct(), "candidates"))
+                        hit = heavy[bucket]
+                        at, piece = at[hit], bucket[hit] * pieces // buckets
+                        keys = ids[at[:, None] + np.arange(length)].astype("<i4").view(kind).ravel()
+                        order = np.argsort(piece, kind="stable")
+                        for part in np.split(order, np.flatnonzero(np.diff(piece[order])) + 1) if len(at) else ():
+                            number = int(piece[part[0]])
+                            seen[number] = np.unique(np.append(seen.get(number, np.zeros(0, kind)), keys[part]))
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array([k.tobytes() for k in seen.values()], pa.binary())], names=["piece", "keys"])
+
+            def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                seen: dict[int, np.ndarray] = {}
+                for batch in batches:
+                    for number, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                        seen[number] = np.unique(np.append(seen.get(number, np.zeros(0, kind)), np.frombuffer(keys, kind)))
+                for keys in seen.values():
+                    yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in keys], pa.binary())], names=["key"])
+
+            # A task's windows are sets by range of buckets, which are then united: rows do not grow with tasks times windows.
+            sets = corpus.coalesce(_TASKS * context.defaultParallelism).mapInArrow(distinct, "piece long, keys binary")
+            tables.append(scratch.stage(sets.repartition("piece").mapInArrow(merge, "key binary"), "candidates"))
     out = tables[0]
     for table in tables[1:]:
         out = out.unionByName(table)
