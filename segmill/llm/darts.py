@@ -239,6 +239,7 @@ def near_duplicates(
     similar or more; classes are the connected components of the links. Equal texts are one
     text. A text without words (null, empty, marks only) is a class of its own, with
     ``class_key`` null. ``row_no`` tells the rows of the result apart, also repeated ones.
+    Kept columns of these two names are replaced; an empty table gives an empty one.
 
     Candidates meet in bands. Every member of a band is compared with the band's centre,
     and the links found give classes. For the texts in bands that still hold two classes, an exact

@@ -216,7 +216,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None =
     string repeats if it starts at any other place of the table, in the same document
     too; overlapping places count, and places are judged on the input. Null texts count as empty. Texts shorter than
     ``length`` lose nothing; rows with equal texts of ``length`` or more lose all.
-    Result columns replace kept ones of the same name.
+    Result columns replace kept ones of the same name. An empty table gives an empty one.
     """
     bounded_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep

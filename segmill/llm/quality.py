@@ -157,7 +157,11 @@ def fit_forest(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DE
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Forest:
-    """Fit on at most ``sample_rows`` labelled documents that are not held out."""
+    """Fit on at most ``sample_rows`` labelled documents that are not held out.
+
+    Of an id with several texts one is taken, so repeated rows count once; null texts count as empty, null ids and labels other than 0
+    and 1 not at all. Without labelled rows, or with one label only, every text gets the smoothed share of 1. Other columns are not read.
+    """
 
     @F.pandas_udf("array<double>")
     def measured(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -171,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
 
 
 def score(text: Column, forest: Forest) -> Column:
-    """Probability that a whole text is good; a null text counts as empty."""
+    """Probability that a whole text of any length is good; a null text counts as empty, equal texts have equal scores."""
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

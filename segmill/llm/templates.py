@@ -171,7 +171,8 @@ def find_leaks(
     item's length (any two that differ by half of it are in one). ``n_changed`` of the ``n_slots`` slots in all windows met differ in value (after case), so 0 means a literal
     copy. Items of fewer than ``width`` tokens are matched as one window of their own
     length, from three tokens on; items without a usable window, null items and null
-    texts match nothing. Repeated items and rows are each reported.
+    texts match nothing. Repeated items and rows are each reported; an empty table on either side gives no leaks.
+    Kept columns travel packed, so their names clash with nothing.
     """
     keep = docs.columns if keep is None else keep
     source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])

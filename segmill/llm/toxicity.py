@@ -118,7 +118,11 @@ def ftrl(examples: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int =
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Weights:
-    """Fit on at most ``sample_rows`` labelled documents that are not held out, in one task; the driver gets the weights."""
+    """Fit on at most ``sample_rows`` labelled documents that are not held out, in one task; the driver gets the weights.
+
+    Of an id with several texts one is taken, so repeated rows count once; null texts count as empty, null ids and labels other than 0
+    and 1 not at all. Without labelled rows every text gets the score 0.5. Other columns are not read.
+    """
 
     @F.pandas_udf("array<int>")
     def hashed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -139,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
 
 
 def score(text: Column, model: Weights, bits: int = BITS) -> Column:
-    """Probability that a whole text is toxic; a null text counts as empty."""
+    """Probability that a whole text of any length is toxic; a null text counts as empty, equal texts have equal scores."""
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
