@@ -30,7 +30,9 @@ from segmill.sources import load_bundle, read_json_quarantine, read_json_rows, r
 
 try:
     from segmill.llm import queries as llm_queries
-except ImportError:
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith("segmill.llm"):
+        raise  # the subpackage is there, but something that it needs is not
     llm_queries = None
 
 ENTRY_DIR = "/root/testdata/sf0.001"
