@@ -118,7 +118,7 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import CharDelimiterSplit
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -128,9 +128,11 @@ class Encoder:
         self.cuts = parts.get("normalizer") is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space")
         self.known: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
-        # Words of ASCII letters are one piece each, and look the same byte for byte: the model alone encodes them.
+        # A word of letters is one piece: written byte by byte as in the vocabulary, the model alone encodes it.
         self.letters = Tokenizer(self.tokenizer.model)
         self.letters.pre_tokenizer = CharDelimiterSplit(" ")
+        written = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.written = {i: written(chr(i))[0][0] for i in range(128, ord(_LATIN))}
         self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that begin with a blank
         self.opens[[i for token, i in vocabulary.items() if token.startswith(_BLANK)]] = True
 
@@ -139,12 +141,13 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
     def _encode_words(self, words: list[str], letters: bool) -> list[bytes]:
-        """Ids of words without white space, each with a blank before: encoded as one text, they part at the blanks."""
+        """Ids of pieces without blanks, each with one before: encoded as one text, they part at the blanks."""
         out: list[bytes] = []
         for start in range(0, len(words), 50_000):
             some = words[start : start + 50_000]
             if letters:
-                encoded = self.letters.encode_batch_fast([_BLANK + f" {_BLANK}".join(some)], add_special_tokens=False)
+                spelt = [w if w.isascii() else w.translate(self.written) for w in some]
+                encoded = self.letters.encode_batch_fast([_BLANK + f" {_BLANK}".join(spelt)], add_special_tokens=False)
                 raw = np.array(encoded[0].ids, "<u4").tobytes()
             else:
                 raw = self._encode([" " + " ".join(some)])[0]
@@ -159,12 +162,10 @@ class Encoder:
         stems = [p.rstrip(_TAIL) for p in pieces]
         stems = [s if s.isalpha() and (s.isascii() or max(s) < _LATIN) else p for p, s in zip(pieces, stems)]
         new = {s for s in stems if s not in self.known}
-        letters = [p for p in new if p.isascii() and p.isalpha()]
-        words = [p for p in new.difference(letters) if len(p.split()) == 1]
-        others = list(new.difference(letters, words))
+        letters = [p for p in new if p.isalpha() and (p.isascii() or max(p) < _LATIN)]
+        others = list(new.difference(letters))
         fresh = dict(zip(letters, self._encode_words(letters, True), strict=True))
-        fresh.update(zip(words, self._encode_words(words, False), strict=True))
-        fresh.update(zip(others, self._encode([" " + p for p in others]), strict=True))
+        fresh.update(zip(others, self._encode_words(others, False), strict=True))
         tails = list({p[len(s) :] for p, s in zip(pieces, stems)})
         tail = dict(zip(tails, self._encode(tails)))
         known = self.known
