@@ -9,7 +9,9 @@ item position), so words put in or taken out do not split a copy; a name of seve
 placeholder. A find counts by the windows whose slots are consistent along one alignment: the same
 value of the item always stands for the same value of the document, and for names the other way
 round too (two numbers or units may become equal by chance). Values that differ are decided by the
-majority. Windows whose slots are all literally equal count without that.
+majority. Windows whose slots are all literally equal count without that. Of the alignments of an item with a
+document, the one of most windows is scored first; then only those are that hold more windows than it has in the end, so
+a repetitive text, which fits a repetitive item at thousands of places, is not scored at each.
 
 Only DataFrame functions are used. The benchmark's windows are broadcast up to
 ``BROADCAST_WINDOWS`` rows of three numbers, beyond that the join is shuffled; texts are
@@ -18,6 +20,8 @@ not carried through it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +36,7 @@ LEAST_PLAIN = 3
 BROADCAST_WINDOWS = 200_000
 #: Shifts are added up over the length of the item, and at least over this many.
 LEAST_REACH = 16
+RESULTS = ["item_id", "n_windows", "item_windows", "coverage", "n_slots", "n_changed"]
 
 # Placeholders (characters that no token pattern takes) and the units known, in plain text.
 NUMBER, UNIT, NAME = "ⓝ", "ⓤ", "ⓟ"
@@ -74,7 +79,7 @@ def _readings(tokens: Column) -> list[Column]:
     """The tokens with what may be names as words, and as placeholders."""
     maybe = lambda t: t.startswith(MAYBE)
     return [
-        F.transform(tokens, lambda t: F.when(maybe(t), F.substring(t, 2, 1_000_000)).otherwise(t)),
+        F.transform(tokens, lambda t: F.when(maybe(t), F.substr(t, F.lit(2))).otherwise(t)),
         F.transform(tokens, lambda t: F.when(maybe(t), F.lit(NAME)).otherwise(t)),
     ]
 
@@ -109,15 +114,20 @@ def _plain_windows(tokens: Column, width: int) -> Column:
 
 
 def _first_of_each_start(lines: Column) -> Column:
-    """One (item_at, shift) for every ``item_at`` of the lines (n, shift, starts): that of the longest line, then of the smallest shift."""
+    """One (item_at, shift) for every ``item_at`` of the lines (n, shift, starts): that of the longest line, then of the smallest shift.
+
+    Lines that follow once all ``item_windows`` are met add nothing.
+    """
     ordered = F.array_sort(F.transform(lines, lambda l: F.struct(F.negative(l["n"]).alias("n"), l["shift"].alias("shift"), l["starts"].alias("starts"))))
     none = F.struct(F.array().cast("array<int>").alias("starts"), F.array().cast("array<struct<item_at:int,shift:int>>").alias("met"))
 
     def added(seen: Column, line: Column) -> Column:
         new = F.transform(F.array_except(line["starts"], seen["starts"]), lambda s: F.struct(s.alias("item_at"), line["shift"].alias("shift")))
-        return F.struct(F.array_union(seen["starts"], line["starts"]).alias("starts"), F.concat(seen["met"], new).alias("met"))
+        more = F.struct(F.array_union(seen["starts"], line["starts"]).alias("starts"), F.concat(seen["met"], new).alias("met"))
+        return F.when(F.size(seen["starts"]) < F.col("item_windows"), more).otherwise(seen)
 
-    return F.aggregate(ordered, none, added)["met"]
+    alone = _once(lines[0], lambda l: F.transform(l["starts"], lambda s: F.struct(s.alias("item_at"), l["shift"].alias("shift"))))
+    return F.when(F.size(lines) == 1, alone).otherwise(F.aggregate(ordered, none, added)["met"])
 
 
 def _pair(slot: Column) -> Column:
@@ -153,6 +163,62 @@ def _without(slots: Column) -> Column:
     return _once(slots, lambda cs: F.filter("met", lambda w: ~F.exists(cs, lambda c: inside(c, w))))
 
 
+def _no_leaks(rows: DataFrame, items: DataFrame) -> DataFrame:
+    long = F.lit(0).cast("long")
+    none = rows.where(F.lit(False)).select("row_no", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"))
+    return none.select("*", *[(long if name != "coverage" else F.lit(0.0)).alias(name) for name in RESULTS[1:]])
+
+
+def _scored(lines: DataFrame, items: DataFrame, rows: DataFrame) -> DataFrame:
+    """Windows and slots of the alignments ``lines`` (row_no, item_no, width, item_windows, part, met)."""
+    wanted = lines.select("row_no").distinct()
+    values = rows.select("row_no", "text").join(wanted, "row_no", "left_semi")
+    values = values.select("row_no", raw_tokens(F.col("text")).alias("doc_raw"))
+
+    def positions(window: Column) -> Column:
+        return F.transform(
+            F.sequence(window["item_at"], window["item_at"] + F.col("width") - 1),
+            lambda at: F.struct(at.alias("at"), window["shift"].alias("shift")),
+        )
+
+    slots = (
+        lines.join(items, "item_no")
+        .join(values, "row_no")
+        .withColumn("covered", F.array_distinct(F.flatten(F.transform("met", positions))))
+        .withColumn(
+            "slots",
+            F.transform(
+                "covered",
+                lambda c: F.struct(
+                    c["at"].alias("at"),
+                    c["shift"].alias("shift"),
+                    F.when(F.get("tokens", c["at"]).startswith(MAYBE), F.lit(NAME)).otherwise(F.get("tokens", c["at"])).alias("kind"),
+                    F.lower(F.get("raw", c["at"])).alias("here"),
+                    F.lower(F.get("doc_raw", c["at"] + c["shift"])).alias("there"),
+                ),
+            ),
+        )
+        # Words that were met as words are no slots.
+        .withColumn("slots", F.filter("slots", lambda c: F.get("tokens", c["at"]).isin(NUMBER, UNIT, NAME) | (c["here"] != c["there"])))
+    )
+    pairs = F.transform("slots", _pair)
+    literal = _without(F.filter("slots", lambda c: c["here"] != c["there"]))
+    consistent = _without(_once(_partners(pairs), lambda ps: F.filter("slots", lambda c: ~F.array_contains(ps, _pair(c)))))
+    slots = slots.withColumn("n_windows", F.greatest(F.size(literal), F.size(consistent)))
+    return slots.select(
+        "row_no",
+        "item_no",
+        "part",
+        F.size("met").alias("n_met"),
+        "item_id",
+        F.col("n_windows").cast("long"),
+        F.col("item_windows").cast("long"),
+        (F.col("n_windows") / F.col("item_windows")).alias("coverage"),
+        F.size(F.array_distinct("slots.at")).cast("long").alias("n_slots"),
+        F.size(F.filter("slots", lambda c: c["here"] != c["there"])).cast("long").alias("n_changed"),
+    )
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -187,23 +253,26 @@ def find_leaks(
         raw_tokens(F.col("item_text")).alias("raw"),
     )
     items = stage(items.where(F.size("tokens") >= min(3, width)).withColumn("width", F.least(F.size("tokens"), F.lit(width))), "leak-items")
-    found, usable_windows = None, None
-    for (w,) in items.select("width").distinct().orderBy("width").collect():  # at most `width` values
-        own = items.where(F.col("width") == w)
-        keys = own.select("item_no", F.explode(_plain_windows(F.col("tokens"), w)).alias("window"))
-        keys = stage(keys.select("window.hash", "item_no", F.col("window.at").alias("item_at")), "leak-keys")
-        tokens = rows.select("row_no", canonical_tokens(F.col("text")).alias("tokens"))
-        windows = tokens.select("row_no", F.explode(_windows(F.col("tokens"), w)).alias("window"))
-        windows = windows.select("row_no", "window.at", "window.hash")
-        counts = keys.groupBy("item_no").agg(F.countDistinct("item_at").cast("int").alias("item_windows"))
-        usable_windows = counts if usable_windows is None else usable_windows.union(counts)
-        small = keys.count() <= BROADCAST_WINDOWS
-        met = windows.join(F.broadcast(keys) if small else keys, "hash").select("row_no", "item_no", "at", "item_at")
-        found = met.withColumn("width", F.lit(w)) if found is None else found.union(met.withColumn("width", F.lit(w)))
-    if found is None:
-        found = rows.select("row_no", F.lit(0).cast("long").alias("item_no"), F.lit(0).alias("at"), F.lit(0).alias("item_at"), F.lit(0).alias("width"))
-        found = found.where(F.lit(False))
-        usable_windows = found.select("item_no", F.lit(1).alias("item_windows"))
+    widths = [w for (w,) in items.select("width").distinct().orderBy("width").collect()]  # at most `width` values
+    # The hash is over all tokens of a window, so windows of different widths only meet by a collision; the width is compared as well.
+    keys = [
+        items.where(F.col("width") == w).select("item_no", F.explode(_plain_windows(F.col("tokens"), w)).alias("window"), "width") for w in widths
+    ]
+    if not keys:
+        return rows.select(ROW, "row_no"), _no_leaks(rows, items)
+    keys = reduce(DataFrame.union, keys).select("window.hash", "width", "item_no", F.col("window.at").alias("item_at"))
+    keys = stage(keys, "leak-keys")
+    usable_windows = keys.groupBy("item_no").agg(F.countDistinct("item_at").cast("int").alias("item_windows"))
+    tokens = rows.select("row_no", canonical_tokens(F.col("text")).alias("tokens"))
+    if len(widths) == 1:
+        windows = tokens.select("row_no", F.lit(widths[0]).alias("width"), F.explode(_windows(F.col("tokens"), widths[0])).alias("window"))
+    else:
+        of_width = [F.struct(F.lit(w).alias("width"), _windows(F.col("tokens"), w).alias("windows")) for w in widths]
+        windows = tokens.select("row_no", F.explode(F.array(*of_width)).alias("of"))
+        windows = windows.select("row_no", "of.width", F.explode("of.windows").alias("window"))
+    windows = windows.select("row_no", "width", "window.at", "window.hash")
+    small = keys.count() <= BROADCAST_WINDOWS
+    found = windows.join(F.broadcast(keys) if small else keys, ["hash", "width"]).select("row_no", "item_no", "at", "item_at", "width")
     shift = (F.col("at") - F.col("item_at")).alias("shift")
     lines = found.groupBy("row_no", "item_no", "width", shift).agg(F.collect_set("item_at").alias("starts"))
     usable = items.select("item_no", "item_id", "tokens", "raw").join(usable_windows, "item_no")
@@ -222,54 +291,18 @@ def find_leaks(
         .where(F.size("met") >= coverage * F.col("item_windows"))
     )
     lines = stage(lines, "leak-lines")
-    wanted = lines.select("row_no").distinct()
-    values = rows.select("row_no", "text").join(wanted, "row_no", "left_semi")
-    values = values.select("row_no", raw_tokens(F.col("text")).alias("doc_raw"))
-
-    def positions(window: Column) -> Column:
-        return F.transform(
-            F.sequence(window["item_at"], window["item_at"] + F.col("width") - 1),
-            lambda at: F.struct(at.alias("at"), window["shift"].alias("shift")),
-        )
-
-    slots = (
-        lines.join(usable.select("item_no", "item_id", "tokens", "raw"), "item_no")
-        .join(values, "row_no")
-        .withColumn("covered", F.array_distinct(F.flatten(F.transform("met", positions))))
-        .withColumn(
-            "slots",
-            F.transform(
-                "covered",
-                lambda c: F.struct(
-                    c["at"].alias("at"),
-                    c["shift"].alias("shift"),
-                    F.when(F.get("tokens", c["at"]).startswith(MAYBE), F.lit(NAME)).otherwise(F.get("tokens", c["at"])).alias("kind"),
-                    F.lower(F.get("raw", c["at"])).alias("here"),
-                    F.lower(F.get("doc_raw", c["at"] + c["shift"])).alias("there"),
-                ),
-            ),
-        )
-        # Words that were met as words are no slots.
-        .withColumn("slots", F.filter("slots", lambda c: F.get("tokens", c["at"]).isin(NUMBER, UNIT, NAME) | (c["here"] != c["there"])))
-    )
-    pairs = F.transform("slots", _pair)
-    literal = _without(F.filter("slots", lambda c: c["here"] != c["there"]))
-    consistent = _without(_once(_partners(pairs), lambda ps: F.filter("slots", lambda c: ~F.array_contains(ps, _pair(c)))))
-    slots = slots.withColumn("n_windows", F.greatest(F.size(literal), F.size(consistent)))
-    best = Window.partitionBy("row_no", "item_no").orderBy(F.desc("n_windows"), "part")
+    texts = usable.select("item_no", "item_id", "tokens", "raw")
+    pair = ["row_no", "item_no"]
+    firsts = lines.groupBy(*pair).agg(F.min(F.struct(F.negative(F.size("met")).alias("n"), "part"))["part"].alias("part"))
+    first = stage(_scored(lines.join(firsts, [*pair, "part"]), texts, rows), "leak-firsts")
+    more = lines.join(first.select(*pair, F.col("n_windows").alias("sure")), pair).where(F.size("met") > F.col("sure")).drop("sure")
+    best = Window.partitionBy(*pair).orderBy(F.desc("n_windows"), F.desc("n_met"), "part")
     leaks = (
-        slots.where(F.col("n_windows") >= coverage * F.col("item_windows"))
+        first.union(_scored(more, texts, rows))
+        .where(F.col("n_windows") >= coverage * F.col("item_windows"))
         .withColumn("place", F.row_number().over(best))
         .where("place = 1")
-        .select(
-            "row_no",
-            "item_id",
-            F.col("n_windows").cast("long"),
-            F.col("item_windows").cast("long"),
-            (F.col("n_windows") / F.col("item_windows")).alias("coverage"),
-            F.size(F.array_distinct("slots.at")).cast("long").alias("n_slots"),
-            F.size(F.filter("slots", lambda c: c["here"] != c["there"])).cast("long").alias("n_changed"),
-        )
+        .select("row_no", *RESULTS)
     )
     return rows.select(ROW, "row_no"), leaks
 
