@@ -237,8 +237,8 @@ def near_duplicates(
 
     Two texts are linked if their weighted sets of ``width``-word shingles are ``least``
     similar or more; classes are the connected components of the links. Equal texts are one
-    text. A text without words (null, empty, marks only) is a class of its own, with
-    ``class_key`` null. ``row_no`` tells the rows of the result apart, also repeated ones.
+    text, also where they hold no words but marks only; such a text has no other links. A null or empty text is a
+    class of its own, with ``class_key`` null. ``row_no`` tells the rows of the result apart, also repeated ones.
     Kept columns of these two names are replaced; an empty table gives an empty one.
 
     Candidates meet in bands. Every member of a band is compared with the band's centre,
@@ -256,11 +256,11 @@ def near_duplicates(
 
     source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])
     key = F.unhex(F.md5(F.col(f"`{text}`").cast("binary")))
-    packed = pack(source, key=key, found=signed_texts(source[f"`{text}`"]), row_no=F.monotonically_increasing_id())
+    packed = pack(source, key=key, found=signed_texts(source[f"`{text}`"]), filled=F.length(source[f"`{text}`"]) > 0, row_no=F.monotonically_increasing_id())
     kept = F.struct(*[F.col(ROW).getField(c).alias(c) for c in keep]).alias(ROW)
-    every = stage(packed.select(kept, "row_no", "key", "found.*"), "near-rows")
+    every = stage(packed.select(kept, "row_no", "key", "filled", "found.*"), "near-rows")
     texts = source.select(key.alias("key"), F.col(f"`{text}`").alias("text"))
-    signed = every.where("sig is not null").groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    signed = every.where("filled").groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     signed = stage(signed.withColumn("id", F.monotonically_increasing_id()), "near-signed")
     members = signed.select("id", F.explode("bands").alias("band"))
     scratch = Scratch()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from segmill.llm import codes, darts, html_text, long_matches, mixing, multi_index, patience, phrases, quality, secrets, templates, token_files, toxicity
 from segmill.llm.common import bounded_batches, held_out, unpack
-from segmill.operators.staging import staging_path
+from segmill.operators.staging import owned, staging_path
 from segmill.sources import read_table
 
 
@@ -29,8 +29,9 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@owned
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document: the smallest id of its class, and the class's size. A text without words is a class of its own."""
+    """One row per document: the smallest id of its class, and the class's size. An empty text is a class of its own."""
     classed = darts.near_duplicates(_read(spark, sf_dir, "documents"), keep=["doc_id"])
     sizes = classed.where("class_key is not null").groupBy("class_key").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")
@@ -42,6 +43,7 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@owned
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item found in it."""
     rows, leaks = templates.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -78,6 +80,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@owned
 def op9_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _read(spark, sf_dir, "embeddings")
     return multi_index.nearest(vectors, vectors["vec_id"] % 50 == 0)
