@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmill.llm import darts, mixing, quality, secrets, templates
-from segmill.operators.staging import staging_path
+from segmill.operators.staging import Scope, drop_staged, staging_path
 from segmill.sources import read_table
 
 
@@ -32,7 +32,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each class of near duplicates, and all without words.
+    """Keeps the document with the smallest id of each class of near duplicates, and all empty ones.
 
     Of several rows with that id, repeated ones included, one is kept.
     """
@@ -71,10 +71,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of all stages on ``documents``; what lies between is written to the shared folder."""
+    """The result of all stages on ``documents``; what lies between is written to the shared folder and deleted once the next stage is."""
     docs = read_table(spark, f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         path = staging_path(spark, f"pipeline-{number}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with Scope():
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if number:
+            drop_staged(docs)
         docs = read_table(spark, path)
     return docs
