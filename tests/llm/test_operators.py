@@ -338,6 +338,33 @@ def test_recall_of_the_default_coverage(spark):
     assert np.mean([len(got[q] & set(t)) / 5 for q, t in truth.items()]) >= 0.9
 
 
+def test_every_row_is_a_candidate_for_queries_of_its_length(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 0.1]), (1, [2.0, 0.1]), (2, [1.0, 1.0, 1.0]), (50, [1.0, 1.0, 0.9]), (51, [3.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, block int")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in multi_index.nearest(df, F.col("vec_id") % 50 == 0).collect())
+    # The first row finds both copies of 1, then the other row of its own id; that row finds the copies, then the first.
+    assert got == sorted([(0, 1, 1), (0, 2, 1), (0, 3, 0)] * 2 + [(50, 1, 2)])
+
+
+def test_blocks_are_streamed_alike_at_any_size(spark, monkeypatch):
+    rng = np.random.default_rng(41)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    monkeypatch.setattr(multi_index, "BLOCK_VALUES", 200)
+    monkeypatch.setattr(multi_index, "QUERY_ROWS", 3)
+    got = defaultdict(list)
+    for r in multi_index.nearest(df, F.col("vec_id") % 50 == 0, coverage=1.0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    assert dict(got) == brute_nearest(rows)
+
+
+def test_equal_texts_of_marks_are_one_class(spark):
+    docs = spark.createDataFrame(list(enumerate(["-----", "-----", "!!", "", "", None, "word"])), "doc_id long, text string")
+    classed = {r["doc_id"]: r["class_key"] for r in darts.near_duplicates(docs).collect()}
+    assert classed[0] == classed[1] is not None and len({classed[i] for i in (0, 2, 6)}) == 3
+    assert [classed[i] for i in (3, 4, 5)] == [None] * 3
+
+
 def test_few_or_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     assert multi_index.nearest(spark.createDataFrame([], schema), F.col("vec_id") == 0).count() == 0
