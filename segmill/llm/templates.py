@@ -15,7 +15,8 @@ a repetitive text, which fits a repetitive item at thousands of places, is not s
 
 Only DataFrame functions are used. The benchmark's windows are broadcast up to
 ``BROADCAST_WINDOWS`` rows of three numbers, beyond that the join is shuffled; texts are
-not carried through it.
+not carried through it. Of the documents that hold enough windows, up to ``BROADCAST_ROWS`` row numbers are broadcast
+and their tokens staged, so only texts that are scored are shuffled; of more documents, all texts are, once.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ COVERAGE = 0.5
 #: A window needs this many tokens that are not placeholders.
 LEAST_PLAIN = 3
 BROADCAST_WINDOWS = 200_000
+BROADCAST_ROWS = 2_000_000
 #: Shifts are added up over the length of the item, and at least over this many.
 LEAST_REACH = 16
 RESULTS = ["item_id", "n_windows", "item_windows", "coverage", "n_slots", "n_changed"]
@@ -169,11 +171,16 @@ def _no_leaks(rows: DataFrame, items: DataFrame) -> DataFrame:
     return none.select("*", *[(long if name != "coverage" else F.lit(0.0)).alias(name) for name in RESULTS[1:]])
 
 
-def _scored(lines: DataFrame, items: DataFrame, rows: DataFrame) -> DataFrame:
-    """Windows and slots of the alignments ``lines`` (row_no, item_no, width, item_windows, part, met)."""
+def _values(lines: DataFrame, rows: DataFrame) -> DataFrame:
+    """The raw tokens of every row that has lines, staged."""
     wanted = lines.select("row_no").distinct()
-    values = rows.select("row_no", "text").join(wanted, "row_no", "left_semi")
-    values = values.select("row_no", raw_tokens(F.col("text")).alias("doc_raw"))
+    few = wanted.count() <= BROADCAST_ROWS
+    found = rows.select("row_no", "text").join(F.broadcast(wanted) if few else wanted, "row_no", "left_semi")
+    return stage(found.select("row_no", raw_tokens(F.col("text")).alias("doc_raw")), "leak-values")
+
+
+def _scored(lines: DataFrame, items: DataFrame, values: DataFrame) -> DataFrame:
+    """Windows and slots of the alignments ``lines`` (row_no, item_no, width, item_windows, part, met); ``values`` as of ``_values``."""
 
     def positions(window: Column) -> Column:
         return F.transform(
@@ -291,14 +298,14 @@ def find_leaks(
         .where(F.size("met") >= coverage * F.col("item_windows"))
     )
     lines = stage(lines, "leak-lines")
-    texts = usable.select("item_no", "item_id", "tokens", "raw")
+    texts, values = usable.select("item_no", "item_id", "tokens", "raw"), _values(lines, rows)
     pair = ["row_no", "item_no"]
     firsts = lines.groupBy(*pair).agg(F.min(F.struct(F.negative(F.size("met")).alias("n"), "part"))["part"].alias("part"))
-    first = stage(_scored(lines.join(firsts, [*pair, "part"]), texts, rows), "leak-firsts")
+    first = stage(_scored(lines.join(firsts, [*pair, "part"]), texts, values), "leak-firsts")
     more = lines.join(first.select(*pair, F.col("n_windows").alias("sure")), pair).where(F.size("met") > F.col("sure")).drop("sure")
     best = Window.partitionBy(*pair).orderBy(F.desc("n_windows"), F.desc("n_met"), "part")
     leaks = (
-        first.union(_scored(more, texts, rows))
+        first.union(_scored(more, texts, values))
         .where(F.col("n_windows") >= coverage * F.col("item_windows"))
         .withColumn("place", F.row_number().over(best))
         .where("place = 1")

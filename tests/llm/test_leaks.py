@@ -53,3 +53,24 @@ def test_op4_equals_every_alignment(spark):
     expected = {(ids[d], names[i]): v for (d, i), v in brute_leaks(texts.values(), items.values(), templates.UNITS).items()}
     got = contract.queries()["op4_decontamination"](spark, SF).select("doc_id", "item_id", F.array("n_windows", "item_windows", "n_slots", "n_changed").alias("n"))
     assert {(r["doc_id"], r["item_id"]): tuple(r["n"]) for r in got.collect()} == expected
+
+
+def test_only_texts_with_enough_windows_are_read_again(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in ("ba", "ko", "mi", "ru", "se") for b in ("lan", "dor", "fin", "tes", "pul", "gra")]
+    item = " ".join(rng.choice(words) for _ in range(30))
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(40)]
+    texts[7] += f" {item}"
+    texts[9] = f"{item} {texts[9]} {item}"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(0, item)], "item_id long, text string")
+    found = []
+    for most in (templates.BROADCAST_ROWS, 0):  # 0: the row numbers are shuffled, not broadcast
+        monkeypatch.setattr(templates, "BROADCAST_ROWS", most)
+        rows, leaked = templates.find_leaks(docs, benchmark, keep=["doc_id"])
+        read = {file.rsplit("/", 2)[-2].rsplit("-", 1)[0] for file in leaked.inputFiles()}
+        assert "leak-rows" not in read and "leak-values" in read
+        values = {file.rsplit("/", 1)[0] for file in leaked.inputFiles() if "/leak-values-" in file}
+        assert spark.read.parquet(*values).count() == 2
+        found.append(sorted(map(tuple, rows.join(leaked, "row_no").select("row.doc_id", *templates.RESULTS).collect())))
+    assert found[0] == found[1] and [r[0] for r in found[0]] == [7, 9]
