@@ -41,6 +41,8 @@ _REMEMBERED, _SHORT = 500_000, 40
 _BLANK = "\u0120"
 #: Marks that are told apart from a word before them, and the end of the letters for which that is done.
 _TAIL, _LATIN = ".,;:!?$%", "\u0250"
+#: So many documents are cheaper to follow one by one than side by side.
+_FEW = 16
 #: Bytes of text that are encoded at once.
 _CHUNK = 16_000_000
 
@@ -53,6 +55,31 @@ _SELECTOR = np.zeros(256, np.uint8)
 _SELECTOR[list(COUNTS)] = range(len(COUNTS))
 
 
+def _starts(step: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where words begin: at the start of every document, and ``step`` of the place behind each word's start.
+
+    Documents are followed side by side, the last few one by one.
+    """
+    begins = np.zeros(len(step), bool)
+    stop = np.asarray(ends, np.int64)
+    at = stop - np.diff(stop, prepend=0)
+    while True:
+        open_ = at < stop
+        if not open_.all():
+            at, stop = at[open_], stop[open_]
+        if len(at) < _FEW:
+            break
+        begins[at] = True
+        at = at + step[at]
+    for first, last in zip(at.tolist(), stop.tolist()):
+        places, place, hops = [], 0, step[first:last].tolist()
+        while place < last - first:
+            places.append(place)
+            place += hops[place]
+        begins[first + np.array(places, np.int64)] = True
+    return np.flatnonzero(begins)
+
+
 def pack(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words of ``ids`` (unsigned 64-bit), how many of them each document takes, and the escaped ids.
 
@@ -77,11 +104,7 @@ def pack(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
             widest[open_] = np.maximum(widest[open_], narrow[open_ + ahead])
         open_, done = open_[widest[open_] <= _WIDEST[count]], count
         step[open_] = count
-    places, at, hops = [], 0, step.tolist()
-    while at < n:
-        places.append(at)
-        at += hops[at]
-    starts = np.array(places, np.int64)
+    starts = _starts(step, ends)
     used = _SELECTOR[step[starts]]
     words = used.astype(np.uint64) << _SHIFT
     for s, (count, width) in enumerate(zip(COUNTS, WIDTHS)):
@@ -184,7 +207,7 @@ class Encoder:
         pieces, which = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
         pool = list(map(self.known.get, pieces))
         new = [i for i, ids in enumerate(pool) if ids is None]
-        odd = [i for i in new if not (p := pieces[i]) or p[0].isspace() or p[-1].isspace()]
+        odd = [i for i in new if not (p := pieces[i]) or p.strip() != p]
         irregular = np.zeros(len(pieces) + 1, bool)
         irregular[odd] = True
         whole = np.logical_or.reduceat(irregular[which], heads)

@@ -113,3 +113,18 @@ def test_files_ascend(spark, tmp_path):
     blocks = spark.read.parquet(path).select("shard", "block", "doc_ids", F.input_file_name().alias("file")).orderBy("shard", "block").collect()
     ids = [i for b in blocks for i in b["doc_ids"]]
     assert ids == sorted(ids) and [b["file"] for b in blocks] == sorted(b["file"] for b in blocks)
+
+
+@pytest.mark.parametrize("few", [0, 3, 1000])
+def test_words_of_many_documents_start_as_if_followed_one_by_one(monkeypatch, few):
+    monkeypatch.setattr(token_files, "_FEW", few)
+    rng = np.random.default_rng(3)
+    lengths = np.append(rng.integers(1, 40, 50), [400, 1])
+    ends = np.cumsum(lengths)
+    step = np.minimum(rng.integers(1, 9, ends[-1]), np.repeat(ends, lengths) - np.arange(ends[-1])).astype(np.uint8)
+    expected, at = [], 0
+    while at < ends[-1]:
+        expected.append(at)
+        at += int(step[at])
+    assert token_files._starts(step, ends).tolist() == expected
+    assert token_files._starts(np.zeros(0, np.uint8), np.zeros(0, np.int64)).tolist() == []
