@@ -73,46 +73,41 @@ def canonical_tokens(text: Column) -> Column:
     """Lower-case words with placeholders for names, numbers and units; those that may be names begin with ``MAYBE``."""
     named = F.regexp_replace(F.regexp_replace(_flat(text), _NAME, NAME), _FIRST, f"{MAYBE}$1")
     numbered = F.regexp_replace(named, _VALUE, f" {NUMBER} ")
-    lower = F.regexp_replace(F.lower(numbered), f"(?<={NUMBER} {{1,3}}){MAYBE}?(?:{'|'.join(UNITS)})(?![\\p{{L}}\\p{{M}}])", UNIT)
+    lower = F.regexp_replace(F.lower(numbered), f"{NUMBER} {{1,3}}{MAYBE}?(?:{'|'.join(UNITS)})(?![\\p{{L}}\\p{{M}}])", f"{NUMBER} {UNIT}")
     return F.regexp_extract_all(lower, F.lit(f"[{NUMBER}{UNIT}{NAME}]|{MAYBE}?{_LETTERS}"), F.lit(0))
 
 
-def _readings(tokens: Column) -> list[Column]:
-    """The tokens with what may be names as words, and as placeholders."""
-    maybe = lambda t: t.startswith(MAYBE)
-    return [
-        F.transform(tokens, lambda t: F.when(maybe(t), F.substr(t, F.lit(2))).otherwise(t)),
-        F.transform(tokens, lambda t: F.when(maybe(t), F.lit(NAME)).otherwise(t)),
-    ]
-
-
 def _once(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, not for every element of a lambda."""
     return F.transform(F.array(value), use)[0]
 
 
-def _windows(tokens: Column, width: int) -> Column:
-    """(at, named, hash) of every run of ``width`` tokens, and once more with names where words may be names; none for shorter texts."""
-    last = F.size(tokens) - (width - 1)
-    none = F.array().cast("array<int>")
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(none)
-    maybe = F.filter(F.transform(tokens, lambda t, i: F.when(t.startswith(MAYBE), i + 1)), lambda p: p.isNotNull())
-    around = F.transform(maybe, lambda p: F.sequence(F.greatest(p - (width - 1), F.lit(1)), F.least(p, last)))
-    again = F.when(last >= 1, F.array_distinct(F.flatten(around))).otherwise(none)
-
-    def hashed(reading: Column, starts: Column, named: bool) -> Column:
-        one = lambda r, i: F.struct((i - 1).alias("at"), F.lit(named).alias("named"), F.xxhash64(F.slice(r, i, width)).alias("hash"))
-        return _once(F.transform(reading, lambda t: F.xxhash64(t)), lambda r: F.transform(starts, lambda i: one(r, i)))
-
-    words, names = _readings(tokens)
-    return F.concat(hashed(words, starts, False), hashed(names, again, True))
-
+def _windows(texts: DataFrame, widths: list[int], plain: bool = False) -> DataFrame:
+    """``texts`` with ``width, at, hash`` of every run of tokens of the ``widths``, and once more with names where words may be names, for its ``tokens``.
 
-def _plain_windows(tokens: Column, width: int) -> Column:
-    """Those of ``_windows`` that hold enough tokens that are not placeholders."""
-    words, names = _readings(tokens)
-    plain = lambda r, at: F.size(F.filter(F.slice(r, at + 1, width), lambda t: ~t.isin(NUMBER, UNIT, NAME))) >= min(LEAST_PLAIN, width)
-    return F.filter(_windows(tokens, width), lambda w: F.when(w["named"], plain(names, w["at"])).otherwise(plain(words, w["at"])))
+    Shorter texts have none. With ``plain``, runs that hold too few tokens that are not placeholders are left out.
+    """
+    least, most = min(widths), max(widths)
+    starts = F.greatest(F.size("tokens") - (least - 1), F.lit(0))
+    # The tokens from every start on side by side, null behind the last one: generated code hashes these, while it calls a lambda for every window.
+    runs = F.arrays_zip(*[F.slice("tokens", F.lit(i + 1), starts) for i in range(most)])
+    other = [c for c in texts.columns if c != "tokens"]
+    tokens = [F.col("run").getField(str(i)) for i in range(most)]
+    maybe = [t.startswith(MAYBE) for t in tokens]
+    words = [F.when(m, F.substr(t, F.lit(2))).otherwise(t) for m, t in zip(maybe, tokens, strict=True)]
+    names = [F.when(m, F.lit(NAME)).otherwise(t) for m, t in zip(maybe, tokens, strict=True)]
+
+    def hashed(reading: list[Column], width: int, *wanted: Column) -> Column:
+        if width > least:
+            wanted += (tokens[width - 1].isNotNull(),)
+        if plain:
+            wanted += (reduce(Column.__add__, [(~t.isin(NUMBER, UNIT, NAME)).cast("int") for t in reading[:width]]) >= min(LEAST_PLAIN, width),)
+        value = F.xxhash64(*reading[:width])
+        return F.struct(F.lit(width).alias("width"), (F.when(reduce(Column.__and__, wanted), value) if wanted else value).alias("hash"))
+
+    windows = [h for w in widths for h in (hashed(words, w), hashed(names, w, reduce(Column.__or__, maybe[:w])))]
+    found = texts.select(*other, F.posexplode(runs).alias("at", "run")).select(*other, "at", F.explode(F.array(*windows)).alias("window"))
+    return found.select(*other, "window.width", "at", "window.hash").where("hash is not null")
 
 
 def _first_of_each_start(lines: Column) -> Column:
@@ -261,25 +256,20 @@ def find_leaks(
     )
     items = stage(items.where(F.size("tokens") >= min(3, width)).withColumn("width", F.least(F.size("tokens"), F.lit(width))), "leak-items")
     widths = [w for (w,) in items.select("width").distinct().orderBy("width").collect()]  # at most `width` values
-    # The hash is over all tokens of a window, so windows of different widths only meet by a collision; the width is compared as well.
-    keys = [
-        items.where(F.col("width") == w).select("item_no", F.explode(_plain_windows(F.col("tokens"), w)).alias("window"), "width") for w in widths
-    ]
-    if not keys:
+    if not widths:
         return rows.select(ROW, "row_no"), _no_leaks(rows, items)
-    keys = reduce(DataFrame.union, keys).select("window.hash", "width", "item_no", F.col("window.at").alias("item_at"))
-    keys = stage(keys, "leak-keys")
+    keys = [_windows(items.where(F.col("width") == w).select("item_no", "tokens"), [w], plain=True) for w in widths]
+    keys = stage(reduce(DataFrame.union, keys).select("hash", "width", "item_no", F.col("at").alias("item_at")), "leak-keys")
     usable_windows = keys.groupBy("item_no").agg(F.countDistinct("item_at").cast("int").alias("item_windows"))
     tokens = rows.select("row_no", canonical_tokens(F.col("text")).alias("tokens"))
+    windows = _windows(tokens, widths)
+    small = keys.count() <= BROADCAST_WINDOWS
+    # The hash is over all tokens of a window, so windows of different widths only meet by a collision; the width is compared as well.
     if len(widths) == 1:
-        windows = tokens.select("row_no", F.lit(widths[0]).alias("width"), F.explode(_windows(F.col("tokens"), widths[0])).alias("window"))
+        windows, on = windows.drop("width"), ["hash"]  # one long is looked up faster
     else:
-        of_width = [F.struct(F.lit(w).alias("width"), _windows(F.col("tokens"), w).alias("windows")) for w in widths]
-        windows = tokens.select("row_no", F.explode(F.array(*of_width)).alias("of"))
-        windows = windows.select("row_no", "of.width", F.explode("of.windows").alias("window"))
-    windows = windows.select("row_no", "width", "window.at", "window.hash")
-    small = keys.count() <= BROADCAST_WINDOWS
-    found = windows.join(F.broadcast(keys) if small else keys, ["hash", "width"]).select("row_no", "item_no", "at", "item_at", "width")
+        on = ["hash", "width"]
+    found = windows.join(F.broadcast(keys) if small else keys, on).select("row_no", "item_no", "at", "item_at", "width")
     shift = (F.col("at") - F.col("item_at")).alias("shift")
     lines = found.groupBy("row_no", "item_no", "width", shift).agg(F.collect_set("item_at").alias("starts"))
     usable = items.select("item_no", "item_id", "tokens", "raw").join(usable_windows, "item_no")

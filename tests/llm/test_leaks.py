@@ -74,3 +74,20 @@ def test_only_texts_with_enough_windows_are_read_again(spark, monkeypatch):
         assert spark.read.parquet(*values).count() == 2
         found.append(sorted(map(tuple, rows.join(leaked, "row_no").select("row.doc_id", *templates.RESULTS).collect())))
     assert found[0] == found[1] and [r[0] for r in found[0]] == [7, 9]
+
+
+def test_windows_are_hashed_by_generated_code(spark, monkeypatch):
+    plans, stage = {}, templates.stage
+
+    def staged(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(templates, "stage", staged)
+    item = "one two three four five six seven eight nine ten"
+    for items, n_found in (([item], 2), ([item, "a b c d"], 3)):  # one width of windows, and two
+        assert len(leaks(spark, [f"so {item}", f"{item} a b c d", "one two three", "", None], items)) == n_found
+        steps = [line.lstrip(" :+-") for line in plans["leak-lines"].splitlines()]
+        made = [step for step in steps if step.startswith("Generate ")]
+        assert made and not any("lambda" in step for step in made)
+        assert sum("regexp_extract_all" in step for step in steps) == 1
