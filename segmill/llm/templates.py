@@ -52,9 +52,10 @@ UNITS = (
     "cent cents dollar dollars euro euros percent degree degrees"
 ).split()
 
-_VALUE = r"\p{N}+(?:[.,:/]\p{N}+)*"
+# Groups that repeat are possessive: by a backtracking one, Java recurses at every repetition, and a run of thousands overflows its stack.
+_VALUE = r"\p{N}+(?:[.,:/]\p{N}+)*+"
 _LETTERS = r"\p{L}[\p{L}\p{M}]*"
-_NAME = r"(?=\p{Lu})(?<=[\p{Ll}\p{M},;:] )\p{Lu}[\p{L}\p{M}]*(?: \p{Lu}[\p{L}\p{M}]*)*"
+_NAME = r"(?=\p{Lu})(?<=[\p{Ll}\p{M},;:] )\p{Lu}[\p{L}\p{M}]*(?: \p{Lu}[\p{L}\p{M}]*)*+"
 _FIRST = r"(?=\p{Lu})(?<![\p{L}\p{M}])(\p{Lu}[\p{L}\p{M}]*)"
 _SPACE = r"[\s\p{Z}&&[^ ]][\s\p{Z}]*| [\s\p{Z}]+"
 

@@ -91,3 +91,12 @@ def test_windows_are_hashed_by_generated_code(spark, monkeypatch):
         made = [step for step in steps if step.startswith("Generate ")]
         assert made and not any("lambda" in step for step in made)
         assert sum("regexp_extract_all" in step for step in steps) == 1
+
+
+@pytest.mark.parametrize(("word", "gap"), [("Von", " "), ("12", ",")])
+def test_thousands_of_names_or_numbers_in_a_row_are_one_token(spark, word, gap):
+    long = f"the {gap.join([word] * 50_000)} end"
+    tokens = spark.createDataFrame([(long,)], "text string").select(templates.raw_tokens(F.col("text")), templates.canonical_tokens(F.col("text")))
+    raw, canonical = tokens.first()
+    kind = templates.NAME if word == "Von" else templates.NUMBER
+    assert raw == ["the", gap.join([word] * 50_000), "end"] and canonical == ["the", kind, "end"]
