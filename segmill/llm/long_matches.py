@@ -39,6 +39,8 @@ MOST_WINDOWS = 1024
 CROWD = 1024
 #: Bytes indexed at once; a block may exceed it by one key's stretches, at most CROWD of them.
 BLOCK = 1_500_000
+#: Bytes of stretches, and windows, that a task hands on at once: a frame for each text or stretch costs more than its rows do.
+_FRAME_BYTES, _FRAME_WINDOWS = 4_000_000, 50_000
 
 # Odd factors that double the length hashed (32 = 2 ** 5), and the hash of a byte.
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -90,13 +92,23 @@ def _keyed(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFram
 
 
 def _cut(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
-    """The bytes of the stretches wanted of each text."""
-    open_ = zstandard.ZstdDecompressor().decompress
+    """The bytes of the stretches wanted of each text, those of many texts in a frame."""
+    open_, held, size = zstandard.ZstdDecompressor().decompress, [], 0
+
+    def rows() -> pd.DataFrame:
+        return pd.DataFrame(held, columns=["key", "content", "crowded", "alone", "data"])
+
     for batch in batches:
         for packed, wanted in zip(batch["packed"], batch["wanted"], strict=True):
             data = open_(packed)
-            rows = [(w["key"], w["content"], w["crowded"], w["alone"], data[w["first"] : w["first"] + w["windows"] - 1 + length]) for w in wanted]
-            yield pd.DataFrame(rows, columns=["key", "content", "crowded", "alone", "data"])
+            for w in wanted:
+                held.append((w["key"], w["content"], w["crowded"], w["alone"], data[w["first"] : w["first"] + w["windows"] - 1 + length]))
+                size += len(held[-1][-1])
+            if size >= _FRAME_BYTES:
+                yield rows()
+                held, size = [], 0
+    if held:
+        yield rows()
 
 
 def _indexed(batches: Iterator[pd.DataFrame], length: int, block: int) -> Iterator[pd.DataFrame]:
@@ -104,14 +116,14 @@ def _indexed(batches: Iterator[pd.DataFrame], length: int, block: int) -> Iterat
 
     def marks(rows: list[tuple]) -> pd.DataFrame:
         longest, firsts = matching_statistics([r[3] for r in rows])
-        out = []
-        for (key, content, alone, data), at in zip(rows, firsts, strict=True):
-            if alone:
-                hit = np.zeros(len(data) - length + 3, np.int8)
-                hit[1:-1] = longest[at : at + len(data) - length + 1] >= length
-                change = np.diff(hit)
-                out += [(key, content, int(a), int(b)) for a, b in zip(np.flatnonzero(change == 1), np.flatnonzero(change == -1), strict=True)]
-        return pd.DataFrame(out, columns=["key", "content", "low", "high"]).astype("int64")
+        # The last positions of a string have no match of this length, so no run goes on into the next.
+        change = np.diff(np.concatenate([[0], longest >= length, [0]]).astype(np.int8))
+        low, high = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+        of = np.searchsorted(firsts, low, "right") - 1
+        hit = np.array([r[2] for r in rows], bool)[of]
+        low, high, of = low[hit], high[hit], of[hit]
+        key, content = (np.array([r[i] for r in rows], np.int64)[of] for i in (0, 1))
+        return pd.DataFrame({"key": key, "content": content, "low": low - firsts[of], "high": high - firsts[of]})
 
     held: list[tuple] = []
     size, last = 0, None
@@ -127,14 +139,29 @@ def _indexed(batches: Iterator[pd.DataFrame], length: int, block: int) -> Iterat
 
 
 def _windowed(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
-    """A 128-bit hash of every window."""
+    """A 128-bit hash of every window, those of many stretches in a frame."""
+    held: list[tuple] = []
+    digests: list[bytes] = []
+
+    def rows() -> pd.DataFrame:
+        key, content, alone, n = (np.array(c) for c in zip(*held, strict=True))
+        hashes = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        low = np.arange(len(hashes)) - np.repeat(np.cumsum(n) - n, n)
+        return pd.DataFrame(
+            {"w1": hashes[:, 0], "w2": hashes[:, 1], "key": np.repeat(key, n), "content": np.repeat(content, n), "alone": np.repeat(alone, n), "low": low}
+        )
+
     for batch in batches:
         for key, content, alone, data in zip(batch["key"], batch["content"], batch["alone"], batch["data"], strict=True):
             view, n = memoryview(data), len(data) - length + 1
-            digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[i : i + length]) for i in range(n)), np.int64).reshape(n, 2)
-            yield pd.DataFrame(
-                {"w1": digests[:, 0], "w2": digests[:, 1], "key": key, "content": content, "alone": alone, "low": np.arange(n)}
-            )
+            digests += [xxhash.xxh3_128_digest(view[i : i + length]) for i in range(n)]
+            held.append((key, content, alone, n))
+            if len(digests) >= _FRAME_WINDOWS:
+                yield rows()
+                held.clear()
+                digests.clear()
+    if held:
+        yield rows()
 
 
 def covered(spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:

@@ -5,7 +5,10 @@ import re
 from html import escape
 
 import numpy as np
+import pandas as pd
 import pytest
+import xxhash
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -336,3 +339,41 @@ def test_ftrl_is_sparse_and_separates():
     truth = np.array([y for _, y in examples[500:]])
     assert ((scores >= 0.3) == truth).mean() > 0.97
     assert len(model.index) < 400
+
+
+def _stretch_rows(n, length):
+    texts = [bytes([65 + i % 26]) * i + bytes(range(97, 97 + 26)) * 2 for i in range(n)]
+    wanted = [[{"key": i, "content": -i, "crowded": False, "alone": i % 2 == 0, "first": 1, "windows": len(t) - length}] for i, t in enumerate(texts)]
+    return texts, wanted
+
+
+def test_stretches_of_many_texts_share_a_frame():
+    texts, wanted = _stretch_rows(300, 40)
+    squeeze = zstandard.ZstdCompressor().compress
+    batch = pd.DataFrame({"packed": [squeeze(t) for t in texts], "wanted": wanted})
+    frames = list(long_matches._cut(iter([batch.iloc[:150], batch.iloc[150:]]), 40))
+    assert len(frames) == 1 and frames[0]["data"].tolist() == [t[1:] for t in texts]
+    assert frames[0]["key"].tolist() == list(range(300)) and frames[0]["content"].tolist() == [-i for i in range(300)]
+
+
+def test_windows_of_many_stretches_share_a_frame(monkeypatch):
+    texts, _ = _stretch_rows(60, 40)
+    batch = pd.DataFrame({"key": range(60), "content": [-i for i in range(60)], "alone": [i % 2 == 0 for i in range(60)], "data": texts})
+    expected = [
+        (*np.frombuffer(xxhash.xxh3_128_digest(t[at : at + 40]), np.int64).tolist(), i, -i, i % 2 == 0, at)
+        for i, t in enumerate(texts) for at in range(len(t) - 39)
+    ]
+    columns = ["w1", "w2", "key", "content", "alone", "low"]
+    for most, frames in ((50_000, 1), (1000, 3)):
+        monkeypatch.setattr(long_matches, "_FRAME_WINDOWS", most)
+        got = list(long_matches._windowed(iter([batch]), 40))
+        assert len(got) == frames
+        assert [tuple(r) for f in got for r in f[columns].itertuples(index=False)] == expected
+
+
+def test_marks_of_a_block_stay_within_their_stretch():
+    shared = bytes(range(97, 123)) * 2
+    strings = [b"1" + shared, shared + b"2", b"x" * 30 + bytes(range(30)), shared]
+    batch = pd.DataFrame({"key": [1, 1, 2, 3], "content": [5, 6, 7, 8], "alone": [True, False, True, True], "data": strings})
+    (got,) = long_matches._indexed(iter([batch]), 40, 1 << 20)
+    assert [tuple(r) for r in got[["key", "content", "low", "high"]].itertuples(index=False)] == [(1, 5, 1, 14), (3, 8, 0, 13)]
