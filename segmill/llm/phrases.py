@@ -38,7 +38,9 @@ _END = b"\xff"
 VOCABULARY, _VOCABULARY_BYTES = 500_000, 64_000_000
 TRIE = 1_000_000
 _TEXTS, _TEXT_BYTES = 200_000, 64_000_000
-BUCKETS = 1 << 24
+BUCKETS = 1 << 28  # a bit each: 32 MB
+#: Windows that a task gathers before it drops those that it has already.
+_HELD = 1 << 20
 #: Languages up to which their totals are broadcast.
 BROADCAST_LANGS = 10_000
 _SALTS = 64
@@ -198,6 +200,13 @@ def _hashes(ids: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return h
 
 
+def _bits(numbers: np.ndarray, size: int) -> np.ndarray:
+    """``size`` bits in bytes, the highest first, of which those of the ``numbers`` are set."""
+    bits = np.zeros(size >> 3, np.uint8)
+    np.bitwise_or.at(bits, numbers >> 3, (128 >> (numbers & 7)).astype(np.uint8))
+    return bits
+
+
 def _numbers(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     for ids in batch.column(0).to_pylist():
         yield np.frombuffer(ids, "<i4").astype(np.int64)
@@ -208,7 +217,8 @@ def _candidates(corpus: DataFrame, length: int, shorter: list[np.ndarray], total
 
     ``shorter`` are the parts of the frequent phrases of one word less, none for ``length`` 2. If there are several, only
     the first words of a window are looked up, in one part after the other: fewer windows are ruled out, none is lost.
-    The hash buckets are at least a 16th of the corpus's words; beyond ``BUCKETS`` they are dealt with in several passes.
+    The hash buckets are at least a 16th of the corpus's words; beyond ``BUCKETS`` they are dealt with in several passes,
+    which is to be rare, as each pass looks up all windows again.
     """
     context = corpus.sparkSession.sparkContext
     wanted = 1 << max(10, (total // 16).bit_length())
@@ -235,26 +245,30 @@ def _candidates(corpus: DataFrame, length: int, shorter: list[np.ndarray], total
                         yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n)], names=["bucket", "n"])
 
             summed = corpus.mapInArrow(sums, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-            heavy = np.zeros(buckets, bool)
-            heavy[summed.where(F.col("n") >= least).select("bucket").toArrow().column("bucket").to_numpy()] = True
-            bits = context.broadcast(np.packbits(heavy).tobytes())
+            heavy = summed.where(F.col("n") >= least).select("bucket").toArrow().column("bucket").to_numpy()
+            bits = context.broadcast(_bits(heavy, buckets).tobytes())
 
-            kind = f"V{4 * length}"
+            kind = "<i8" if length == 2 else f"V{4 * length}"  # integers are sorted faster
 
             def distinct(batches: Iterator[pa.RecordBatch], windows: Any = windows, bits: Any = bits) -> Iterator[pa.RecordBatch]:
-                heavy = np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
-                seen: dict[int, np.ndarray] = {}
+                heavy = np.frombuffer(bits.value, np.uint8)
+                seen, held, size = np.zeros(0, kind), [], 0
                 for batch in batches:
                     for ids in _numbers(batch):
                         at, bucket = windows(ids)
-                        hit = heavy[bucket]
-                        at, piece = at[hit], bucket[hit] * pieces // buckets
-                        keys = ids[at[:, None] + np.arange(length)].astype("<i4").view(kind).ravel()
-                        order = np.argsort(piece, kind="stable")
-                        for part in np.split(order, np.flatnonzero(np.diff(piece[order])) + 1) if len(at) else ():
-                            number = int(piece[part[0]])
-                            seen[number] = np.unique(np.append(seen.get(number, np.zeros(0, kind)), keys[part]))
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array([k.tobytes() for k in seen.values()], pa.binary())], names=["piece", "keys"])
+                        at = at[heavy[bucket >> 3] & (128 >> (bucket & 7)) > 0]
+                        held.append(np.unique(ids[at[:, None] + np.arange(length)].astype("<i4").view(kind).ravel()))
+                        size += len(held[-1])
+                        if size >= max(_HELD, len(seen)):
+                            seen, held, size = np.unique(np.concatenate([seen, *held])), [], 0
+                seen = np.unique(np.concatenate([seen, *held]))
+                words = seen.view("<i4").astype(np.int64)
+                bucket = (_hashes(words, np.arange(0, len(words), length), length) & np.uint64(buckets - 1)).astype(np.int64)
+                piece = bucket * pieces // buckets
+                order = np.argsort(piece, kind="stable")
+                parts = np.split(order, np.flatnonzero(np.diff(piece[order])) + 1) if len(seen) else []
+                rows = [pa.array([int(piece[part[0]]) for part in parts], pa.int64()), pa.array([seen[part].tobytes() for part in parts], pa.binary())]
+                yield pa.RecordBatch.from_arrays(rows, names=["piece", "keys"])
 
             def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen: dict[int, np.ndarray] = {}

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from segmill.llm import phrases, tries
+from segmill.llm.common import Scratch
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -103,3 +104,18 @@ def test_op13_against_plain_counting(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()]
     assert sorted(tuple(r) for r in queries.queries()["op13_collocations"](spark, sf).collect()) == brute(rows, 100)
+
+
+@pytest.mark.parametrize("held", [phrases._HELD, 1])
+def test_windows_of_a_large_corpus_are_looked_up_in_one_pass(spark, monkeypatch, held):
+    monkeypatch.setattr(phrases, "_HELD", held)
+    blocks = [np.array([1, 2, 3, 0, 1, 2, 4, 0, 5, 6, 0], "<i4"), np.array([1, 2, 3, 0, 7, 8, 0], "<i4")]
+    corpus = spark.createDataFrame([(bytearray(b.tobytes()),) for b in blocks], "ids binary").repartition(1)
+    scratch = Scratch()
+    pairs = phrases._candidates(corpus, 2, [], 1_700_000_000, 2, scratch)  # the words of about 6 GB
+    assert len(scratch.tables) == 1
+    frequent = np.array(sorted(np.frombuffer(r["key"], "<i4").tolist() for r in pairs.collect()), np.int64)
+    assert frequent.tolist() == [[1, 2], [2, 3]]
+    triples = phrases._candidates(corpus, 3, [frequent], 1_700_000_000, 2, scratch).collect()
+    assert len(scratch.tables) == 2 and [np.frombuffer(r["key"], "<i4").tolist() for r in triples] == [[1, 2, 3]]
+    scratch.drop()
