@@ -67,7 +67,7 @@ def _starts(step: np.ndarray, ends: np.ndarray) -> np.ndarray:
         open_ = at < stop
         if not open_.all():
             at, stop = at[open_], stop[open_]
-        if len(at) < _FEW:
+        if len(at) < max(_FEW, 1):
             break
         begins[at] = True
         at = at + step[at]
